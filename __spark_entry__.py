@@ -29,7 +29,7 @@ from depositlens.sources.shared import fresh_path
 from depositlens.sources.tables import ingest_bronze, load_table, save_contacts, save_table
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-USER, OTHER_USER, GROUP = "user_1", "user_2", "advisers_6"
+USER, OTHER_USER, GROUP = "user_1", "user_2", "advisers_1"
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -251,7 +251,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "text_classify": lambda t: voice.classify_by_words(t.documents(), "text", lexicon.LANGUAGE_WORDS).drop(
         "text"
     ),
-    "text_summarise": lambda t: voice.summarise(t.documents(), "doc_id", "text"),
+    "text_summarise": lambda t: voice.summarise(t.documents(), "text").drop("text"),
     "text_mask": lambda t: voice.mask_personal_data(t.documents(), "text"),
     # daily job
     "silver_prepare": _silver_prepare,

@@ -10,7 +10,7 @@ from __future__ import annotations
 from depositlens import schemas
 from depositlens.functions import lexicon
 from depositlens.functions.masking import PERSONAL_DATA_RULES
-from depositlens.operators.voice import SENTENCE
+from depositlens.functions.summary import SENTENCE
 from depositlens.sources.adapters import AS_OF, COMMENT_PHRASES
 
 
@@ -356,7 +356,7 @@ ORACLE: dict[str, str] = {
     "row_filter": _with(
         f"""SELECT {_CUSTOMERS} FROM customers WHERE branch_id IN (
                 SELECT CAST(s_nationkey AS VARCHAR) FROM supplier
-                WHERE 'user_' || (s_suppkey % 5) = 'user_1')""",
+                WHERE 'user_' || (s_suppkey % 40) = 'user_1')""",
         "customers",
     ),
     "customer_count": _with("SELECT count(*) AS customers FROM silver", "silver"),
@@ -446,9 +446,9 @@ ORACLE: dict[str, str] = {
     ),
     "group_gated_mask": _with(
         """SELECT customer_id,
-                  CASE WHEN EXISTS (SELECT 1 FROM supplier WHERE s_suppkey % 5 = 1 AND s_suppkey % 10 = 6)
+                  CASE WHEN EXISTS (SELECT 1 FROM supplier WHERE s_suppkey % 40 = 1 AND s_suppkey % 10 = 1)
                        THEN phone_number ELSE regexp_replace(phone_number, '[0-9]', '*', 'g') END AS phone_member,
-                  CASE WHEN EXISTS (SELECT 1 FROM supplier WHERE s_suppkey % 5 = 2 AND s_suppkey % 10 = 6)
+                  CASE WHEN EXISTS (SELECT 1 FROM supplier WHERE s_suppkey % 40 = 2 AND s_suppkey % 10 = 1)
                        THEN phone_number ELSE regexp_replace(phone_number, '[0-9]', '*', 'g') END AS phone_other
            FROM customers""",
         "customers",

@@ -63,16 +63,23 @@ def sentiment(
 
 def substring_hits(text: Column, terms: Sequence[str]) -> Column:
     """How often the terms occur in the text, each term counted on its own."""
-    hits = (
-        ((F.length(text) - F.length(F.replace(text, F.lit(term)))) / len(term)).cast("int") for term in terms
-    )
-    return reduce(lambda left, right: left + right, hits, F.lit(0))
+
+    def hits(term: str) -> Column:
+        removed = F.length(text) - F.length(F.replace(text, F.lit(term)))
+        return F.when(text.contains(term), (removed / len(term)).cast("int")).otherwise(0)
+
+    return reduce(lambda left, right: left + right, (hits(term) for term in terms))
 
 
 def words(text: Column) -> Column:
     return F.split(F.lower(text), WORD_SEPARATOR)
 
 
+def words_among(text: Column, terms: Sequence[str]) -> Column:
+    """The words of the text that are among the terms, with repetitions."""
+    return F.filter(words(text), lambda word: word.isin(*terms))
+
+
 def word_hits(tokens: Column, terms: Sequence[str]) -> Column:
     """How many of the words are among the terms."""
     return F.size(F.filter(tokens, lambda token: token.isin(*terms)))
@@ -82,7 +89,7 @@ def best_category(hits: Mapping[str, Column], fallback: str = "other") -> Column
     """The category with most hits; ties go to the first name, no hit at all to ``fallback``."""
     names = sorted(hits)
     most = F.greatest(*(hits[name] for name in names)) if len(names) > 1 else hits[names[0]]
-    picked = F.when(most.isNull(), F.lit(None).cast("string")).when(most == 0, F.lit(fallback))
+    picked = F.when(most == 0, F.lit(fallback))
     for name in names:
         picked = picked.when(hits[name] == most, F.lit(name))
     return picked

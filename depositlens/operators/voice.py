@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depositlens.functions import lexicon
 from depositlens.functions.masking import PERSONAL_DATA_RULES, MaskRule, mask_text
-
-SENTENCE = r"[^.!?。！？\n]+[.!?。！？]*"
+from depositlens.functions.summary import summary
 
 
 def voice_sentiment(
@@ -49,14 +48,13 @@ def classify_by_words(
     df: DataFrame, text: str, categories: Mapping[str, Sequence[str]], output: str = "category"
 ) -> DataFrame:
     """The category whose words occur most often in the text."""
-    tokens = df.withColumn("__words", lexicon.words(F.col(text)))
+    known = sorted({term for terms in categories.values() for term in terms})
+    tokens = df.withColumn("__words", lexicon.words_among(F.col(text), known))
     columns = {name: f"__hits_{name}" for name in categories}
     counted = tokens.withColumns(
         {columns[name]: lexicon.word_hits(F.col("__words"), terms) for name, terms in categories.items()}
     )
-    picked = lexicon.best_category({name: F.col(column) for name, column in columns.items()})
-    picked = F.when(F.col(text).isNotNull(), picked)
-    return counted.withColumn(output, picked).drop("__words", *columns.values())
+    return counted.withColumn(output, _pick(text, columns)).drop("__words", *columns.values())
 
 
 def classify_by_substrings(
@@ -70,8 +68,12 @@ def classify_by_substrings(
     counted = df.withColumns(
         {columns[name]: lexicon.substring_hits(F.col(text), terms) for name, terms in categories.items()}
     )
-    picked = lexicon.best_category({name: F.col(column) for name, column in columns.items()})
-    return counted.withColumn(output, picked).drop(*columns.values())
+    return counted.withColumn(output, _pick(text, columns)).drop(*columns.values())
+
+
+def _pick(text: str, columns: Mapping[str, str]) -> Column:
+    hits = {name: F.col(column) for name, column in columns.items()}
+    return F.when(F.col(text).isNotNull(), lexicon.best_category(hits))
 
 
 def mask_personal_data(
@@ -80,42 +82,5 @@ def mask_personal_data(
     return df.withColumn(text, mask_text(F.col(text), rules))
 
 
-def summarise(df: DataFrame, key: str, text: str, sentences: int = 3, output: str = "summary") -> DataFrame:
-    """The sentences with the most typical words, in text order; ``key`` must be unique.
-
-    A sentence scores the mean frequency, in its text, of its words; earlier sentences win ties. The texts
-    are shuffled once, by key. Every later step groups by the key and reuses that partitioning, and the
-    final join reads the same exchange again, so the far larger word rows never travel.
-    """
-    texts = df.select(key, text).repartition(F.col(key))
-    split = F.filter(F.transform(F.regexp_extract_all(F.col(text), F.lit(SENTENCE), 0), F.trim), _not_empty)
-    words = (
-        texts.select(key, F.posexplode(split).alias("position", "sentence"))
-        .select(key, "position", F.explode(lexicon.words(F.col("sentence"))).alias("word"))
-        .filter(F.col("word") != "")
-    )
-    per_sentence = words.groupBy(key, "position", "word").agg(F.count("*").alias("uses"))
-    in_text = Window.partitionBy(key, "word")
-    scores = (
-        per_sentence.withColumn("frequency", F.sum("uses").over(in_text))
-        .groupBy(key, "position")
-        .agg((F.sum(F.col("uses") * F.col("frequency")) / F.sum("uses")).alias("score"))
-    )
-    best = Window.partitionBy(key).orderBy(F.desc("score"), "position")
-    picked = (
-        scores.withColumn("place", F.row_number().over(best))
-        .filter(F.col("place") <= sentences)
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list("position")).alias("positions"))
-    )
-    with_sentences = texts.join(picked, key, "left").withColumn("sentences", split)
-    summary = F.array_join(
-        F.transform("positions", lambda position: F.element_at("sentences", position + 1)), " "
-    )
-    return with_sentences.select(
-        key, F.when(F.col(text).isNotNull(), F.coalesce(summary, F.lit(""))).alias(output)
-    )
-
-
-def _not_empty(value):
-    return value != ""
+def summarise(df: DataFrame, text: str, sentences: int = 3, output: str = "summary") -> DataFrame:
+    return df.withColumn(output, summary(F.col(text), sentences))

@@ -13,10 +13,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depositlens import schemas
+from depositlens.sources.tables import spread_scan
 
 # The day of the last order plays today.
 AS_OF = "2001-08-01"
 
+# Declared, so that no job has to open files to find the types out.
+RAW_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz,"
+    " o_orderpriority string",
+    "lineitem": "l_partkey long, l_quantity double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double",
+    "documents": "doc_id long, text string",
+}
+
 COMMENT_PHRASES = (
     "窓口の方が親切で、説明が丁寧でした。",
     "電話がつながらず、長く待たされました。",
@@ -34,7 +50,7 @@ class Tables:
     folder: str
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def customers(self) -> DataFrame:
         key = F.col("c_custkey")
@@ -129,15 +145,15 @@ class Tables:
     def entitlements(self) -> DataFrame:
         """Staff of a branch may see it; there is one row per member of staff, so pairs repeat."""
         return self.raw("supplier").select(
-            F.concat(F.lit("user_"), F.col("s_suppkey") % 5).alias("user"),
+            F.concat(F.lit("user_"), F.col("s_suppkey") % 40).alias("user"),
             F.col("s_nationkey").cast("string").alias("branch_id"),
         )
 
     def memberships(self) -> DataFrame:
         return self.raw("supplier").select(
-            F.concat(F.lit("user_"), F.col("s_suppkey") % 5).alias("user"),
+            F.concat(F.lit("user_"), F.col("s_suppkey") % 40).alias("user"),
             F.concat(F.lit("advisers_"), F.col("s_suppkey") % 10).alias("group"),
         )
 
     def documents(self) -> DataFrame:
-        return self.raw("documents").select("doc_id", "text")
+        return spread_scan(self.raw("documents").select("doc_id", "text"))
