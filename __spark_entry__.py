@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +26,7 @@ from depositlens.sources import namespace
 from depositlens.sources.adapters import AS_OF, Tables
 from depositlens.sources.files import read_csv, write_csv
 from depositlens.sources.shared import fresh_path
-from depositlens.sources.tables import ingest_bronze, load_table, save_contacts, save_table
+from depositlens.sources.tables import ingest_bronze, load_table, save_all, save_contacts, save_table
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 USER, OTHER_USER, GROUP = "user_1", "user_2", "advisers_1"
@@ -97,8 +97,8 @@ def _csv_scan(t: Tables) -> DataFrame:
 
 def _bronze_ingest(t: Tables) -> DataFrame:
     landing, database = fresh_path(t.spark, "landing"), _new_database(t.spark)
-    for name, frame in _bronze_frames(t).items():
-        write_csv(frame, f"{landing}/{name}")
+    frames = _bronze_frames(t)
+    save_all(t.spark, [partial(write_csv, frame, f"{landing}/{name}") for name, frame in frames.items()])
     ingest_bronze(t.spark, landing, database)
     counts = []
     for name, schema in schemas.BRONZE.items():
@@ -121,11 +121,11 @@ def _silver_roundtrip(t: Tables) -> DataFrame:
 
 def _prepared(t: Tables) -> str:
     database = _new_database(t.spark)
-    for name, frame in _bronze_frames(t).items():
-        if name == "contacts":
-            save_contacts(frame, database)
-        else:
-            save_table(frame, database, f"{name}_bronze")
+    frames = _bronze_frames(t)
+    saves = [
+        partial(save_table, frame, database, f"{name}_bronze") for name, frame in frames.items() if name != "contacts"
+    ]
+    save_all(t.spark, [partial(save_contacts, frames["contacts"], database), *saves])
     prepare_silver(t.spark, database)
     return database
 

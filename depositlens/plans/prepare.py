@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 from depositlens.operators.silver import customers_silver
 from depositlens.operators.voice import voice_sentiment
-from depositlens.sources.tables import load_table, save_table
+from depositlens.sources.tables import load_table, save_all, save_table
 
 CUSTOMERS_SILVER = "customers_silver"
 VOICE_SILVER = "customer_voice_silver"
@@ -21,8 +21,13 @@ def prepare_silver(spark: SparkSession, database: str) -> list[str]:
         name: load_table(spark, database, f"{name}_bronze")
         for name in ("customers", "branch", "employee", "customer_voice")
     }
-    save_table(
-        customers_silver(bronze["customers"], bronze["branch"], bronze["employee"]), database, CUSTOMERS_SILVER
+    customers = customers_silver(bronze["customers"], bronze["branch"], bronze["employee"])
+    comments = voice_sentiment(bronze["customer_voice"])
+    save_all(
+        spark,
+        [
+            lambda: save_table(customers, database, CUSTOMERS_SILVER),
+            lambda: save_table(comments, database, VOICE_SILVER),
+        ],
     )
-    save_table(voice_sentiment(bronze["customer_voice"]), database, VOICE_SILVER)
     return [CUSTOMERS_SILVER, VOICE_SILVER]

@@ -6,13 +6,14 @@ Run it after :func:`depositlens.plans.prepare.prepare_silver`; an exception ther
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import SparkSession
 
 from depositlens.functions.dates import AsOf
 from depositlens.operators import targets as t
 from depositlens.plans.prepare import CUSTOMERS_SILVER
-from depositlens.sources.tables import load_table, save_table
+from depositlens.sources.tables import load_table, save_all, save_table
 
 TARGETS = "target_list"
 DATASETS = (TARGETS, "target_kpis", "targets_by_branch", "target_deposits_by_branch", "branch_segment_heatmap")
@@ -29,8 +30,11 @@ def refresh_gold(spark: SparkSession, database: str, segments: Sequence[str], as
     save_table(t.target_list(t.target_customers(silver, contacts, as_of)), database, TARGETS)
 
     targets = load_table(spark, database, TARGETS)
-    save_table(t.target_kpis(targets), database, "target_kpis")
-    save_table(t.count_by_branch(targets), database, "targets_by_branch")
-    save_table(t.deposits_by_branch(targets), database, "target_deposits_by_branch")
-    save_table(t.branch_segment_heatmap(targets, segments), database, "branch_segment_heatmap")
+    datasets = {
+        "target_kpis": t.target_kpis(targets),
+        "targets_by_branch": t.count_by_branch(targets),
+        "target_deposits_by_branch": t.deposits_by_branch(targets),
+        "branch_segment_heatmap": t.branch_segment_heatmap(targets, segments),
+    }
+    save_all(spark, [partial(save_table, df, database, name) for name, df in datasets.items()])
     return list(DATASETS)

@@ -107,3 +107,49 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared.shared_dir(spark) == folder
     first, second = shared.fresh_path(spark, "x"), shared.fresh_path(spark, "x")
     assert first.startswith(folder + "/x-") and first != second
+
+
+def test_hot_month_is_written_by_many_tasks(spark, database):
+    """A month with most of the contacts is split over several files instead of one task's."""
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.1",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        many = spark.range(0, 80_000, 1, 8).select(
+            F.col("id").alias("contact_id"),
+            F.xxhash64("id").alias("customer_id"),
+            F.when(F.col("id") % 3 != 0, F.lit(data.TODAY))
+            .otherwise(F.date_sub(F.lit(data.TODAY), (F.col("id") % 700).cast("int")))
+            .alias("contact_date"),
+        )
+        tables.save_contacts(many, database)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    saved = tables.load_table(spark, database, "contacts_bronze")
+    hot = saved.filter(F.col("contact_month") == "2026-08-01")
+    assert hot.select(F.input_file_name()).distinct().count() > 3
+    assert saved.count() == 80_000
+
+
+def test_a_failed_write_is_reported(spark, database):
+    def broken():
+        raise ValueError("no such input")
+
+    with pytest.raises(ValueError, match="no such input"):
+        tables.save_all(spark, [lambda: tables.save_table(spark.range(2).toDF("a"), database, "fine"), broken])
+    assert tables.load_table(spark, database, "fine").count() == 2
+
+
+def test_scan_with_few_splits_is_spread(spark, tmp_path):
+    path = str(tmp_path / "one")
+    spark.range(0, 100, 1, 1).write.parquet(path)
+    spread = tables.spread_scan(spark.read.parquet(path))
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread.count() == 100
+    wide = str(tmp_path / "wide")
+    spark.range(0, 100, 1, 8).write.parquet(wide)
+    assert "Exchange" not in data.plan(tables.spread_scan(spark.read.parquet(wide)))
