@@ -209,6 +209,9 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # joins
     "join_branch": lambda t: silver.join_branch(t.customers(), t.branch()),
     "join_employee": lambda t: silver.join_employee(t.customers(), t.employee()),
+    "customer_contacts": lambda t: targets.customer_contacts(
+        _cleansed(t).select("customer_id", "name", "segment", "branch_id"), t.contacts()
+    ),
     "customer_last_contact": lambda t: targets.customer_last_contact(
         _cleansed(t).select("customer_id", "name"), t.contacts()
     ),

@@ -332,6 +332,13 @@ ORACLE: dict[str, str] = {
         "customers",
         "employee",
     ),
+    "customer_contacts": _with(
+        """SELECT s.customer_id, s.name, s.segment, s.branch_id, k.contact_id,
+                  strftime(k.contact_date, '%Y-%m-%d') AS contact_date, k.channel, k.product, k.result
+           FROM contacts k JOIN silver s ON s.customer_id = k.customer_id""",
+        "silver",
+        "contacts",
+    ),
     "customer_last_contact": _with(
         """SELECT s.customer_id, s.name, strftime(l.last_contact_date, '%Y-%m-%d') AS last_contact_date,
                   coalesce(l.contact_count, 0) AS contact_count

@@ -77,6 +77,14 @@ def customer_last_contact(customers: DataFrame, contacts: DataFrame) -> DataFram
     return joined.withColumn("contact_count", F.coalesce("contact_count", F.lit(0)))
 
 
+def customer_contacts(customers: DataFrame, contacts: DataFrame) -> DataFrame:
+    """Every contact with its customer, by customer id; contacts of nobody are left out.
+
+    An inner join, so that adaptive execution may split the contacts of a customer who holds very many.
+    """
+    return customers.join(contacts.filter(F.col("customer_id").isNotNull()), "customer_id")
+
+
 # --- targets ------------------------------------------------------------------------------------------
 
 

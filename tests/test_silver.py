@@ -73,8 +73,9 @@ def test_preview_is_the_first_rows_of_a_total_order(tables):
     assert [row.customer_id for row in shown.collect()] == [1, 2, 3]
 
 
-def test_hot_employee_is_split(spark, tmp_path):
-    """Without a broadcast, the task of an employee with most of the customers is split at run time."""
+@pytest.mark.parametrize("hot", ["E1", None])
+def test_hot_employee_is_split(spark, hot):
+    """Without a broadcast, the task of an employee (or none) with most customers is split at run time."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -90,7 +91,7 @@ def test_hot_employee_is_split(spark, tmp_path):
         keys = spark.range(0, 60_000, 1, 8)
         facts = keys.select(
             F.col("id").alias("customer_id"),
-            F.when(F.col("id") % 3 != 0, "E1").otherwise(F.col("id").cast("string")).alias("employee_id"),
+            F.when(F.col("id") % 3 != 0, F.lit(hot).cast("string")).otherwise(F.col("id").cast("string")).alias("employee_id"),
             F.xxhash64("id").alias("payload"),
         )
         staff = keys.select(
@@ -99,7 +100,8 @@ def test_hot_employee_is_split(spark, tmp_path):
         )
         joined = silver.join_employee(facts, staff)
         rows = joined.collect()
-        assert len(rows) == 60_000 and all(row.employee_name == "someone" for row in rows)
+        assert len(rows) == 60_000
+        assert all((row.employee_name == "someone") == (row.employee_id is not None) for row in rows)
         assert "skew=true" in data.plan(joined)
     finally:
         for key, value in old.items():

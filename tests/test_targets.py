@@ -1,9 +1,11 @@
+import random
 from datetime import date
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from depositlens import schemas
 from depositlens.functions.dates import months_back
 from depositlens.operators import silver, targets
 from depositlens.sources.adapters import AS_OF, Tables
@@ -65,6 +67,41 @@ def test_customer_without_contact_has_zero(customers, contacts):
     assert (row.last_contact_date, row.contact_count) == (None, 0)
 
 
+def test_contacts_with_their_customers(customers, contacts):
+    rows = targets.customer_contacts(customers, contacts).select("customer_id", "contact_id").collect()
+    assert sorted(map(tuple, rows)) == [(2, 1), (3, 2), (3, 7), (7, 3), (9, 5), (9, 6)]
+
+
+def test_random_tables_against_direct_evaluation(spark):
+    """All target conditions, evaluated row by row in plain Python."""
+    chance = random.Random(11)
+    deposits = [None, "999.99", "1000", "1500.5"]
+    people = [
+        data._customer(key, chance.choice(deposits), chance.choice([None, "0", "0.01"]),
+                       branch=chance.choice(["B1", "B2", "B9", None]))
+        for key in range(300)
+    ]
+    dates = [None, date(2026, 2, 17), data.CUTOFF, data.TODAY, date(2020, 1, 1)]
+    calls = [
+        (n, chance.choice([None, 7, *range(300)]) if n % 3 else 7, chance.choice(dates), "phone", "fund", "open")
+        for n in range(400)
+    ]  # a third of all contacts belong to customer 7
+    touched = {call[1] for call in calls if call[2] is not None and call[2] >= data.CUTOFF}
+    expected = sorted(
+        person[0]
+        for person in people
+        if person[4] is not None and person[4] >= 1000 and person[5] == 0 and person[0] not in touched
+    )
+    found = targets.target_customers(
+        silver.customers_silver(
+            spark.createDataFrame(people, schemas.CUSTOMERS), data.branch(spark), data.employee(spark)
+        ),
+        spark.createDataFrame(calls, schemas.CONTACTS),
+        data.TODAY,
+    )
+    assert data.ids(found) == expected and expected
+
+
 def test_list_order(found):
     assert [row.customer_id for row in targets.target_list(found).collect()] == [10, 7, 8, 3]
 
