@@ -38,7 +38,7 @@ def _plain(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.DecimalType):
             value = value.cast("double")
         elif isinstance(field.dataType, T.DateType):
-            value = F.date_format(value, "yyyy-MM-dd")
+            value = value.cast("string")
         elif isinstance(field.dataType, T.TimestampNTZType | T.TimestampType):
             value = F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         return value.alias(field.name)

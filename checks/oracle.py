@@ -173,11 +173,11 @@ def _display_columns() -> str:
 
 
 def _heatmap(source: str, segments) -> str:
-    counters = ", ".join(f"count(*) FILTER (segment = '{name}') AS {name}" for name in segments)
+    counters = ", ".join(f"count(*) FILTER (WHERE segment = '{name}') AS {name}" for name in segments)
     listed = ", ".join(_text(name) for name in segments)
     return (
         f"SELECT branch_id, branch_name, {counters},"
-        f" count(*) FILTER (segment IS NULL OR segment NOT IN ({listed})) AS other_segments"
+        f" count(*) FILTER (WHERE segment IS NULL OR segment NOT IN ({listed})) AS other_segments"
         f" FROM {source} GROUP BY branch_id, branch_name"
     )
 

@@ -1,6 +1,6 @@
 """Row-level access and column masking, as DataFrame operators.
 
-The asking user is always an argument.
+The asking user is an argument; ``None`` means the user of the session.
 """
 
 from __future__ import annotations
@@ -11,8 +11,16 @@ from pyspark.sql import functions as F
 from depositlens.functions.masking import mask_phone
 
 
+def _asks(user: str | None) -> Column:
+    return F.col("user") == (F.current_user() if user is None else F.lit(user))
+
+
 def row_filter(
-    df: DataFrame, branch: DataFrame, entitlements: DataFrame, user: str, key: str = "branch_id"
+    df: DataFrame,
+    branch: DataFrame,
+    entitlements: DataFrame,
+    user: str | None = None,
+    key: str = "branch_id",
 ) -> DataFrame:
     """Rows of the branches the user may see. Double entitlements do not double rows.
 
@@ -20,19 +28,18 @@ def row_filter(
     and broadcasts them while it is small, however long the entitlement table is. Beyond that the rows are
     the outer side of a sort-merge join, which adaptive execution may split when a branch is hot.
     """
-    granted = entitlements.filter(F.col("user") == user).select(key).distinct()
+    granted = entitlements.filter(_asks(user)).select(key).distinct()
     permitted = branch.select(key).join(granted, key, "left_semi")
-    return df.join(permitted, key, "left_semi")
+    return df.join(permitted, key, "left_semi").select(*df.columns)
 
 
-def is_member(memberships: DataFrame, user: str, group: str) -> Column:
+def is_member(memberships: DataFrame, user: str | None, group: str) -> Column:
     """Whether the user belongs to the group, as a one-row subquery: no join, the rows stay where they are."""
-    found = (F.col("user") == user) & (F.col("group") == group)
-    return memberships.filter(found).agg(F.count("*") > 0).scalar()
+    return memberships.filter(_asks(user) & (F.col("group") == group)).agg(F.count("*") > 0).scalar()
 
 
 def gated_mask(
-    df: DataFrame, memberships: DataFrame, user: str, group: str, column: str = "phone_number"
+    df: DataFrame, memberships: DataFrame, user: str | None, group: str, column: str = "phone_number"
 ) -> DataFrame:
     """The column in clear for members of the group, masked for everyone else."""
     clear = is_member(memberships, user, group)

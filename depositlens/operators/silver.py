@@ -22,12 +22,14 @@ def drop_missing(df: DataFrame, column: str = "deposit_balance_manyen") -> DataF
 
 def join_branch(customers: DataFrame, branch: DataFrame) -> DataFrame:
     """Left join: customers of an unknown branch stay, with NULL branch columns."""
-    return customers.join(branch.select("branch_id", *BRANCH_COLUMNS), "branch_id", "left")
+    joined = customers.join(branch.select("branch_id", *BRANCH_COLUMNS), "branch_id", "left")
+    return joined.select(*customers.columns, *BRANCH_COLUMNS)
 
 
 def join_employee(customers: DataFrame, employee: DataFrame) -> DataFrame:
     """Left join by employee only; the employee's own branch is left out, it may differ."""
-    return customers.join(employee.select("employee_id", "employee_name"), "employee_id", "left")
+    joined = customers.join(employee.select("employee_id", "employee_name"), "employee_id", "left")
+    return joined.select(*customers.columns, "employee_name")
 
 
 def customers_silver(customers: DataFrame, branch: DataFrame, employee: DataFrame) -> DataFrame:
@@ -35,10 +37,14 @@ def customers_silver(customers: DataFrame, branch: DataFrame, employee: DataFram
 
     Rows without a deposit balance are dropped before the joins.
     """
-    joined = join_employee(join_branch(drop_missing(customers), branch), employee)
-    return joined.select(*customers.columns, *BRANCH_COLUMNS, "employee_name")
+    return join_employee(join_branch(drop_missing(customers), branch), employee)
 
 
 def display_columns(df: DataFrame) -> DataFrame:
     """Japanese headings for the columns that have one."""
     return df.withColumnsRenamed(DISPLAY_NAMES)
+
+
+def english_columns(df: DataFrame) -> DataFrame:
+    """The way back: column names for the Japanese headings."""
+    return df.withColumnsRenamed({shown: name for name, shown in DISPLAY_NAMES.items()})

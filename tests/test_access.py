@@ -17,9 +17,13 @@ def test_row_filter(spark, entitlements, user, seen):
     # carl's branch is not in the branch table, dora's entitlement names no branch
     rows = access.row_filter(data.customers(spark), data.branch(spark), entitlements, user)
     assert data.ids(rows) == seen
-    assert rows.columns == data.customers(spark).select("branch_id", "*").columns[:1] + [
-        c for c in data.customers(spark).columns if c != "branch_id"
-    ]
+    assert rows.columns == data.customers(spark).columns
+
+
+def test_session_user_is_the_default(spark, entitlements):
+    me = spark.sql("SELECT current_user()").first()[0]
+    mine = entitlements.union(spark.createDataFrame([(me, "B2")], entitlements.schema))
+    assert data.ids(access.row_filter(data.customers(spark), data.branch(spark), mine)) == [3]
 
 
 def test_gated_mask(spark):

@@ -94,7 +94,7 @@ def test_namespace(spark, tmp_path):
         assert properties["domain"] == "retail"
         namespace.drop_table(spark, "course.customers")
         namespace.drop_table(spark, "course.customers")
-        assert spark.catalog.listTables("course") == []
+        assert not spark.catalog.tableExists("course.customers")
     finally:
         spark.catalog.setCurrentDatabase("default")
         namespace.reset_schema(spark, "course")

@@ -2,6 +2,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from depositlens.operators import usage
 
@@ -38,6 +39,15 @@ def test_window_includes_the_seventh_day_back(rows):
     ]
 
 
+def test_window_ends_today_by_default(spark):
+    rows = spark.range(12).select(
+        F.date_sub(F.current_date(), F.col("id").cast("int")).alias("usage_date"),
+        F.lit("A").alias("sku_name"),
+        F.lit(D("1")).alias("usage_quantity"),
+    )
+    assert usage.usage_window(rows).count() == 8
+
+
 def test_cost_is_exact_and_leaves_out_unpriced(rows, prices):
     shown = {row.sku_name: row.cost for row in usage.usage_cost(rows, prices).collect()}
     assert shown == {"A": D("8.525"), "B": D("0.00000333")}
