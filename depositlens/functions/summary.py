@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -24,6 +25,10 @@ def summary(text: Column, sentences: int = 3) -> Column:
     A sentence scores the mean frequency, in the whole text, of its words; the earlier one wins a tie. A
     text without words has an empty summary, NULL stays NULL.
     """
+    return summary_function(sentences)(text)
+
+
+def summary_function(sentences: int) -> Callable[[Column], Column]:
     sentence_pattern = SENTENCE
 
     # Nested, so that it travels to the executors by value and they need not have this package.
@@ -49,4 +54,4 @@ def summary(text: Column, sentences: int = 3) -> Column:
     def summarise(texts: pd.Series) -> pd.Series:
         return texts.map(shorten, na_action="ignore")
 
-    return summarise(text)
+    return summarise

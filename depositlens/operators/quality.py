@@ -29,7 +29,8 @@ def null_profile(df: DataFrame) -> DataFrame:
         *(F.count_if(F.col(f"`{name}`").isNull()).alias(name) for name in df.columns),
     )
     types = F.create_map(*(F.lit(part) for name, kind in df.dtypes for part in (name, kind)))
-    return stats.unpivot("row_count", df.columns, "column_name", "null_count").select(
+    counters = [F.col(f"`{name}`") for name in df.columns]
+    return stats.unpivot("row_count", counters, "column_name", "null_count").select(
         "column_name",
         types[F.col("column_name")].alias("data_type"),
         "null_count",

@@ -67,6 +67,12 @@ def test_null_profile(tables):
     assert {row.row_count for row in rows.values()} == {10}
 
 
+def test_null_profile_of_display_names(tables):
+    shown = silver.display_columns(tables[0]).withColumnRenamed("phone_number", "phone.number")
+    rows = {row.column_name: row.null_count for row in quality.null_profile(shown).collect()}
+    assert rows["預金残高(万円)"] == 1 and rows["phone.number"] == 1
+
+
 def test_null_profile_of_an_empty_table(tables):
     rows = quality.null_profile(tables[0].limit(0)).collect()
     assert {(row.null_count, row.row_count) for row in rows} == {(0, 0)}

@@ -48,6 +48,17 @@ def test_window_ends_today_by_default(spark):
     assert usage.usage_window(rows).count() == 8
 
 
+def test_window_equals_its_sql(spark, rows):
+    rows.createOrReplaceTempView("usage")
+    by_sql = spark.sql(
+        """SELECT usage_date, sku_name, sum(usage_quantity) AS total_dbus FROM usage
+           WHERE usage_date >= DATE '2026-08-18' - INTERVAL 7 DAYS
+           GROUP BY usage_date, sku_name ORDER BY usage_date DESC, total_dbus DESC"""
+    )
+    assert by_sql.collect() == usage.usage_window(rows, "2026-08-18").collect()
+    spark.catalog.dropTempView("usage")
+
+
 def test_cost_is_exact_and_leaves_out_unpriced(rows, prices):
     shown = {row.sku_name: row.cost for row in usage.usage_cost(rows, prices).collect()}
     assert shown == {"A": D("8.525"), "B": D("0.00000333")}

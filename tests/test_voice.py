@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.oracle import ORACLE
-from depositlens.functions import lexicon
+from depositlens.functions import lexicon, sql
 from depositlens.functions.masking import mask_phone, mask_text
+from depositlens.functions.summary import summary
 from depositlens.operators import voice
 from tests import data
 
@@ -131,6 +132,22 @@ def test_long_text_is_processed_whole(spark):
     assert "last last" in assert_summaries_equal_sql(spark, [only])[0]
 
 
+def test_functions_by_name_in_sql(spark):
+    sql.register(spark)
+    texts = [row[3] for row in COMMENTS] + ["it's 10.0.0.1. a@b.cd, call 090-1234-5678. The end is here."]
+    spark.createDataFrame([(text,) for text in texts], "t string").createOrReplaceTempView("texts")
+    by_sql = spark.sql("SELECT text_sentiment(t) s, text_mask(t) m, phone_mask(t) p, text_summary(t) u FROM texts")
+    text = F.col("t")
+    by_column = spark.table("texts").select(
+        lexicon.sentiment(text).alias("s"),
+        mask_text(text).alias("m"),
+        mask_phone(text).alias("p"),
+        summary(text).alias("u"),
+    )
+    assert by_sql.collect() == by_column.collect()
+    spark.catalog.dropTempView("texts")
+
+
 def test_text_operators_do_not_shuffle(spark):
     df = spark.range(3).select(F.col("id").cast("string").alias("text"))
     for result in (
