@@ -447,6 +447,14 @@ ORACLE: dict[str, str] = {
                count(*) AS actions
         FROM events GROUP BY ALL""",
     "target_list": _with(_TARGET_ROWS + " ORDER BY deposit_balance_manyen DESC, customer_id", "targets"),
+    "target_follow_up": _with(
+        f"""SELECT {_CUSTOMERS}, {_BRANCH}, strftime(last_contact_date, '%Y-%m-%d') AS last_contact_date,
+                   contact_count
+            FROM (SELECT t.*, l.last_contact_date, coalesce(l.contact_count, 0) AS contact_count
+                  FROM targets t LEFT JOIN last_contacts l ON t.customer_id = l.customer_id)""",
+        "targets",
+        "last_contacts",
+    ),
     "phone_mask": _with(
         "SELECT customer_id, regexp_replace(phone_number, '[0-9]', '*', 'g') AS phone_number FROM customers",
         "customers",

@@ -6,16 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, free_text: bool = False) -> DataFrame:
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    free_text: bool = False,
+    encoding: str = "UTF-8",
+) -> DataFrame:
     """Scan CSV files with a declared schema.
 
+    A file whose header names other columns, or the same in another order, is an error, and so is a value
+    that does not fit its type. An empty cell, quoted or not, is NULL.
+
     ``free_text`` allows line breaks inside quotes. Such files cannot be split, so each one is read by a
     single task; leave it off for tables without free text, and deliver free text in many files.
     """
     return (
         spark.read.schema(schema)
         .option("header", True)
-        .option("encoding", "UTF-8")
+        .option("enforceSchema", False)
+        .option("encoding", encoding)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", free_text)
@@ -25,7 +35,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, free_text: bo
 
 
 def write_csv(df: DataFrame, path: str, max_records_per_file: int = 1_000_000) -> None:
-    """Write CSV files that :func:`read_csv` reads back unchanged.
+    """Write CSV files that :func:`read_csv` reads back unchanged, but for empty text, which becomes NULL.
 
     The row cap per file starts further files, it drops nothing: it keeps unsplittable files small.
     """
@@ -35,6 +45,8 @@ def write_csv(df: DataFrame, path: str, max_records_per_file: int = 1_000_000) -
         .option("encoding", "UTF-8")
         .option("quote", '"')
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("maxRecordsPerFile", max_records_per_file)
         .csv(path)
     )

@@ -34,6 +34,18 @@ def test_csv_refuses_bad_values(spark, tmp_path):
         read_csv(spark, str(tmp_path), schemas.CUSTOMER_VOICE).collect()
 
 
+@pytest.mark.parametrize("free_text", [False, True])
+def test_csv_refuses_another_header(spark, tmp_path, free_text):
+    (tmp_path / "swapped.csv").write_text("branch_id,area,branch_name,prefecture\nB1,a,b,c\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path), schemas.BRANCH, free_text).collect()
+
+
+def test_csv_in_another_encoding(spark, tmp_path):
+    (tmp_path / "latin.csv").write_bytes("branch_id,branch_name,area,prefecture\nB1,café,a,b\n".encode("iso-8859-1"))
+    assert read_csv(spark, str(tmp_path), schemas.BRANCH, encoding="ISO-8859-1").first().branch_name == "café"
+
+
 def test_csv_round_trip(spark, tmp_path):
     path = str(tmp_path / "customers")
     write_csv(data.customers(spark), path)
@@ -41,6 +53,15 @@ def test_csv_round_trip(spark, tmp_path):
     assert back.exceptAll(data.customers(spark)).isEmpty() and back.count() == 10
 
 
+def test_free_text_round_trip(spark, tmp_path):
+    texts = ["", None, " padded ", '"', 'a ""b"", c', "back\\slash", "\\", "two\nlines", "dos\r\nlines", "，、。", "#", "'"]
+    df = spark.createDataFrame([(n, None, "x", text) for n, text in enumerate(texts)], schemas.CUSTOMER_VOICE)
+    path = str(tmp_path / "voice")
+    write_csv(df, path)
+    back = read_csv(spark, path, schemas.CUSTOMER_VOICE, free_text=True).orderBy("voice_id").collect()
+    assert [row.voice_text for row in back] == [None, *texts[1:]]
+
+
 def test_free_text_is_written_to_many_files(spark, tmp_path):
     path = str(tmp_path / "numbers")
     write_csv(spark.range(0, 10, 1, 1), path, max_records_per_file=3)
