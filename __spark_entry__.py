@@ -243,9 +243,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "audit_summary": lambda t: usage.audit_summary(t.audit()),
     # sorts
     "target_list": lambda t: targets.target_list(_targets(t, _with_branch(t))),
-    "target_follow_up": lambda t: targets.target_list(
-        targets.customer_last_contact(_targets(t, _with_branch(t)), t.contacts())
-    ),
+    "target_follow_up": lambda t: targets.target_follow_up(_with_branch(t), t.contacts(), AS_OF),
     # masking
     "phone_mask": lambda t: t.customers().select(
         "customer_id", mask_phone(F.col("phone_number")).alias("phone_number")

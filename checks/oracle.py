@@ -28,7 +28,7 @@ CUTOFF = f"(DATE '{AS_OF}' - INTERVAL 6 MONTH)"
 
 TABLES = {
     "customers": f"""
-        SELECT c_custkey AS customer_id, c_name AS name, 20 + c_custkey % 70 AS age,
+        SELECT c_custkey AS customer_id, c_name AS name, CAST(20 + c_custkey % 70 AS INTEGER) AS age,
                c_mktsegment AS segment,
                CASE WHEN c_custkey % 20 = 0 THEN NULL ELSE CAST(c_acctbal AS DECIMAL(15,2)) END
                    AS deposit_balance_manyen,

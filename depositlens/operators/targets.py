@@ -106,6 +106,23 @@ def target_list(targets: DataFrame) -> DataFrame:
     return targets.orderBy(F.desc(DEPOSIT), "customer_id")
 
 
+def target_follow_up(
+    customers: DataFrame,
+    contacts: DataFrame,
+    as_of: AsOf = None,
+    threshold: int = HIGH_DEPOSIT_MANYEN,
+    months: int = UNTOUCHED_MONTHS,
+) -> DataFrame:
+    """The target list with each customer's last contact.
+
+    The date of the last contact also tells who is untouched, so contacts are read and shuffled once.
+    """
+    candidates = zero_asset(high_deposit(customers, threshold))
+    last = F.col("last_contact_date")
+    untouched_ones = last.isNull() | (last < months_back(as_of, months))
+    return target_list(customer_last_contact(candidates, contacts).filter(untouched_ones))
+
+
 def target_filter(
     targets: DataFrame,
     prefectures: Sequence[str] = (),

@@ -106,6 +106,16 @@ def test_list_order(found):
     assert [row.customer_id for row in targets.target_list(found).collect()] == [10, 7, 8, 3]
 
 
+def test_follow_up_is_the_list_with_the_last_contact(customers, contacts):
+    rows = targets.target_follow_up(customers, contacts, data.TODAY).collect()
+    assert [(row.customer_id, row.last_contact_date, row.contact_count) for row in rows] == [
+        (10, None, 0),
+        (7, None, 1),
+        (8, None, 0),
+        (3, date(2026, 2, 17), 2),
+    ]
+
+
 def test_filters(found):
     assert data.ids(targets.target_filter(found)) == [3, 7, 8, 10]
     assert data.ids(targets.target_filter(found, segments=["wealthy"])) == [3, 10]

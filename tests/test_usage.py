@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from depositlens.operators import usage
+from depositlens.sources import tables
+from tests import data
 
 D = Decimal
 
@@ -39,6 +41,12 @@ def test_window_includes_the_seventh_day_back(rows):
     ]
 
 
+def test_window_prunes_a_table_partitioned_by_day(spark, database, rows):
+    tables.save_table(rows, database, "usage", partition_by="usage_date")
+    text = data.plan(usage.usage_window(tables.load_table(spark, database, "usage"), "2026-08-18"), "formatted")
+    assert "PartitionFilters: [isnotnull(usage_date" in text and "2026-08-11" in text
+
+
 def test_window_ends_today_by_default(spark):
     rows = spark.range(12).select(
         F.date_sub(F.current_date(), F.col("id").cast("int")).alias("usage_date"),
