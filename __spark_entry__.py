@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,7 +33,7 @@ USER, OTHER_USER, GROUP = "user_1", "user_2", "advisers_1"
 
 
 def _plain(df: DataFrame) -> DataFrame:
-    def column(field: T.StructField) -> F.Column:
+    def column(field: T.StructField) -> Column:
         value = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DecimalType):
             value = value.cast("double")
@@ -148,7 +148,7 @@ def _gold_refresh(t: Tables) -> DataFrame:
     database = _prepared(t)
     refresh_gold(t.spark, database, SEGMENTS, AS_OF)
 
-    def rows(dataset: str, label: F.Column, measure: F.Column) -> DataFrame:
+    def rows(dataset: str, label: Column, measure: Column) -> DataFrame:
         return load_table(t.spark, database, dataset).select(
             F.lit(dataset).alias("dataset"), label.alias("label"), measure.cast("decimal(38,2)").alias("measure")
         )

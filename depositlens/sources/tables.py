@@ -31,7 +31,7 @@ def spread_scan(df: DataFrame) -> DataFrame:
 
 
 def save_table(df: DataFrame, database: str, name: str, partition_by: str | None = None) -> None:
-    """Write the whole table anew.
+    """Write the whole table anew, in the session's format (``spark.sql.sources.default``, Parquet if unset).
 
     A partitioned table is rebalanced on its partition column first, so that a partition is neither
     scattered over one file per task nor squeezed into one task when it is hot: adaptive execution splits
@@ -39,7 +39,7 @@ def save_table(df: DataFrame, database: str, name: str, partition_by: str | None
     """
     if partition_by:
         df = df.hint("rebalance", partition_by)
-    writer = df.write.mode("overwrite").format("parquet")
+    writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.saveAsTable(f"`{database}`.`{name}`")

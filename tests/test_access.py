@@ -27,9 +27,11 @@ def test_session_user_is_the_default(spark, entitlements):
 
 
 def test_gated_mask(spark):
-    members = spark.createDataFrame([("anna", "advisers"), ("anna", "advisers"), ("ben", "other")], "user string, group string")
+    pairs = [("anna", "advisers"), ("anna", "advisers"), ("ben", "other")]
+    members = spark.createDataFrame(pairs, "user string, group string")
     customers = data.customers(spark)
     clear = access.gated_mask(customers, members, "anna", "advisers")
     assert clear.exceptAll(customers).isEmpty() and customers.exceptAll(clear).isEmpty()
-    masked = {row.customer_id: row.phone_number for row in access.gated_mask(customers, members, "ben", "advisers").collect()}
+    hidden = access.gated_mask(customers, members, "ben", "advisers")
+    masked = {row.customer_id: row.phone_number for row in hidden.collect()}
     assert masked[1] == "***-****-****" and masked[9] is None and masked[10] == "none"

@@ -101,7 +101,9 @@ def test_hot_employee_is_split(spark, hot):
         keys = spark.range(0, 60_000, 1, 8)
         facts = keys.select(
             F.col("id").alias("customer_id"),
-            F.when(F.col("id") % 3 != 0, F.lit(hot).cast("string")).otherwise(F.col("id").cast("string")).alias("employee_id"),
+            F.when(F.col("id") % 3 != 0, F.lit(hot).cast("string"))
+            .otherwise(F.col("id").cast("string"))
+            .alias("employee_id"),
             F.xxhash64("id").alias("payload"),
         )
         staff = keys.select(

@@ -28,7 +28,8 @@ def rows(spark):
 
 @pytest.fixture(scope="module")
 def prices(spark):
-    return spark.createDataFrame([("A", D("0.55")), ("B", D("3.33")), ("idle", D("1"))], "sku_name string, price decimal(12,2)")
+    pairs = [("A", D("0.55")), ("B", D("3.33")), ("idle", D("1"))]
+    return spark.createDataFrame(pairs, "sku_name string, price decimal(12,2)")
 
 
 def test_window_includes_the_seventh_day_back(rows):
@@ -100,7 +101,7 @@ def test_run_status(spark):
 
 def test_audit_summary(spark):
     audit = spark.createDataFrame(
-        [(datetime(2026, 8, 18, 1), "u", "read"), (datetime(2026, 8, 18, 23), "u", "read"), (datetime(2026, 8, 19), "u", "read")],
+        [(datetime(2026, 8, day, hour), "u", "read") for day, hour in ((18, 1), (18, 23), (19, 0))],
         "ts timestamp, actor string, action string",
     )
     shown = sorted(tuple(row) for row in usage.audit_summary(audit).collect())
