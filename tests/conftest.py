@@ -33,3 +33,33 @@ def database(spark):
     namespace.create_schema(spark, name, "tables of one test")
     yield name
     namespace.reset_schema(spark, name)
+
+
+@pytest.fixture
+def settings(spark):
+    """Change session settings for one test: ``settings({"key": "value"})``."""
+    old = {}
+
+    def change(new):
+        for key, value in new.items():
+            old.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield change
+    for key, value in old.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture
+def small_skew(settings):
+    """Sort-merge joins only, and partitions count as skewed at sizes a test can make."""
+    settings(
+        {
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        }
+    )

@@ -77,12 +77,9 @@ def test_table_is_replaced_whole(spark, database):
     assert back.columns == ["b"] and back.count() == 2
 
 
-def test_table_format_is_the_sessions(spark, database):
-    spark.conf.set("spark.sql.sources.default", "orc")
-    try:
-        tables.save_table(spark.range(3), database, "t")
-    finally:
-        spark.conf.unset("spark.sql.sources.default")
+def test_table_format_is_the_sessions(spark, database, settings):
+    settings({"spark.sql.sources.default": "orc"})
+    tables.save_table(spark.range(3), database, "t")
     described = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE EXTENDED {database}.t").collect()}
     assert described["Provider"] == "orc"
     assert tables.load_table(spark, database, "t").count() == 3
@@ -143,26 +140,22 @@ def test_shared_folder_comes_from_the_session(spark):
     assert first.startswith(folder + "/x-") and first != second
 
 
-def test_hot_month_is_written_by_many_tasks(spark, database):
+def test_hot_month_is_written_by_many_tasks(spark, database, settings):
     """A month with most of the contacts is split over several files instead of one task's."""
-    settings = {
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
-        "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.1",
-    }
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        many = spark.range(0, 80_000, 1, 8).select(
-            F.col("id").alias("contact_id"),
-            F.xxhash64("id").alias("customer_id"),
-            F.when(F.col("id") % 3 != 0, F.lit(data.TODAY))
-            .otherwise(F.date_sub(F.lit(data.TODAY), (F.col("id") % 700).cast("int")))
-            .alias("contact_date"),
-        )
-        tables.save_contacts(many, database)
-    finally:
-        for key in settings:
-            spark.conf.unset(key)
+    settings(
+        {
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+            "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.1",
+        }
+    )
+    many = spark.range(0, 80_000, 1, 8).select(
+        F.col("id").alias("contact_id"),
+        F.xxhash64("id").alias("customer_id"),
+        F.when(F.col("id") % 3 != 0, F.lit(data.TODAY))
+        .otherwise(F.date_sub(F.lit(data.TODAY), (F.col("id") % 700).cast("int")))
+        .alias("contact_date"),
+    )
+    tables.save_contacts(many, database)
     saved = tables.load_table(spark, database, "contacts_bronze")
     hot = saved.filter(F.col("contact_month") == "2026-08-01")
     assert hot.select(F.input_file_name()).distinct().count() > 3

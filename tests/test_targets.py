@@ -72,6 +72,19 @@ def test_contacts_with_their_customers(customers, contacts):
     assert sorted(map(tuple, rows)) == [(2, 1), (3, 2), (3, 7), (7, 3), (9, 5), (9, 6)]
 
 
+def test_contacts_of_a_hot_customer_are_split(spark, small_skew):
+    keys = spark.range(0, 60_000, 1, 8)
+    people = keys.select(F.col("id").alias("customer_id"), F.lit("someone").alias("name"))
+    calls = keys.select(
+        F.col("id").alias("contact_id"),
+        F.when(F.col("id") % 3 != 0, 7).otherwise(F.col("id")).alias("customer_id"),
+        F.xxhash64("id").alias("payload"),
+    )
+    joined = targets.customer_contacts(people, calls)
+    assert len(joined.collect()) == 60_000
+    assert "skew=true" in data.plan(joined)
+
+
 def test_random_tables_against_direct_evaluation(spark):
     """All target conditions, evaluated row by row in plain Python."""
     chance = random.Random(11)
