@@ -156,4 +156,4 @@ class Tables:
         )
 
     def documents(self) -> DataFrame:
-        return spread_scan(self.raw("documents").select("doc_id", "text"))
+        return spread_scan(self.raw("documents").select("doc_id", "text"), "doc_id")

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from depositlens.operators import silver
+from depositlens.plans import daily
 from depositlens.plans.prepare import prepare_silver
 from depositlens.plans.refresh import DATASETS, refresh_gold
 from depositlens.sources import tables
@@ -48,6 +49,16 @@ def test_ingest_prepare_refresh(spark, database, landing):
     assert tables.load_table(spark, database, "target_kpis").first().target_count == 0
 
 
+def test_daily_job(spark, database, landing, capsys):
+    daily.main(
+        ["--database", database, "--landing", landing, "--as-of", str(data.TODAY), "--segments", "wealthy", "mass"]
+    )
+    written = capsys.readouterr().out.split()
+    assert len(written) == 5 + 2 + len(DATASETS)
+    assert all(spark.catalog.tableExists(name) for name in written)
+    assert data.ids(tables.load_table(spark, database, "target_list")) == [3, 7, 8, 10]
+
+
 def test_refresh_needs_prepared_tables(spark, database, landing):
     tables.ingest_bronze(spark, landing, database)
     with pytest.raises(Exception, match="customers_silver"):

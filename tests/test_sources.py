@@ -174,9 +174,9 @@ def test_a_failed_write_is_reported(spark, database):
 def test_scan_with_few_splits_is_spread(spark, tmp_path):
     path = str(tmp_path / "one")
     spark.range(0, 100, 1, 1).write.parquet(path)
-    spread = tables.spread_scan(spark.read.parquet(path))
+    spread = tables.spread_scan(spark.read.parquet(path), "id")
     assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert spread.count() == 100
     wide = str(tmp_path / "wide")
     spark.range(0, 100, 1, 8).write.parquet(wide)
-    assert "Exchange" not in data.plan(tables.spread_scan(spark.read.parquet(wide)))
+    assert "Exchange" not in data.plan(tables.spread_scan(spark.read.parquet(wide), "id"))
