@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from depositlens.operators import access
 from tests import data
@@ -20,6 +21,33 @@ def test_row_filter(spark, entitlements, user, seen):
     assert rows.columns == data.customers(spark).columns
 
 
+def test_hot_branch_is_spread(spark, small_skew):
+    """Without a broadcast, the rows of a branch with two thirds of all customers reach many tasks."""
+    rows = spark.range(0, 60_000, 1, 8).select(
+        F.col("id").alias("customer_id"),
+        F.when(F.col("id") % 3 != 0, "B0").otherwise(F.concat(F.lit("B"), F.col("id") % 100)).alias("branch_id"),
+    )
+    branch = spark.range(100).select(F.concat(F.lit("B"), F.col("id")).alias("branch_id"))
+    rights = spark.createDataFrame([("anna", "B0"), ("anna", "B0"), ("anna", "B3")], "user string, branch_id string")
+    seen = access.row_filter(rows, branch, rights, "anna").withColumn("task", F.spark_partition_id())
+    assert seen.count() == rows.filter("branch_id IN ('B0', 'B3')").count()
+    hot = seen.filter("branch_id = 'B0'").groupBy("task").count().collect()
+    assert len(hot) >= 4 and max(row["count"] for row in hot) < 30_000
+
+
+def test_small_branch_table_is_broadcast_however_long_the_entitlements(spark, tmp_path, settings):
+    for name, df in (
+        ("customers", spark.range(1000).selectExpr("id AS customer_id", "id % 9 AS branch_id")),
+        ("branch", spark.range(9).selectExpr("id AS branch_id")),
+        ("rights", spark.range(100_000).selectExpr("concat('user', id) AS user", "id % 7 AS branch_id")),
+    ):
+        df.coalesce(1).write.parquet(str(tmp_path / name))
+    settings({"spark.sql.autoBroadcastJoinThreshold": "2000"})
+    customers, branch, rights = (spark.read.parquet(str(tmp_path / n)) for n in ("customers", "branch", "rights"))
+    text = data.plan(access.row_filter(customers, branch, rights, "user3"), "simple")
+    assert text.index("BroadcastHashJoin") < text.index("SortMergeJoin")  # rows stay, rights are shuffled
+
+
 def test_session_user_is_the_default(spark, entitlements):
     me = spark.sql("SELECT current_user()").first()[0]
     mine = entitlements.union(spark.createDataFrame([(me, "B2")], entitlements.schema))
