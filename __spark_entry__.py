@@ -28,6 +28,11 @@ from depositlens.sources.files import read_csv, write_csv
 from depositlens.sources.shared import fresh_path
 from depositlens.sources.tables import ingest_bronze, load_table, save_all, save_contacts, save_table
 
+try:  # the corpus operators may be taken out
+    from depositlens.llm import queries as llm
+except ImportError:
+    llm = None
+
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 USER, OTHER_USER, GROUP = "user_1", "user_2", "advisers_1"
 
@@ -273,8 +278,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _runner(query) for name, query in _QUERIES.items()}
+    return {name: _runner(query) for name, query in _QUERIES.items()} | (dict(llm.QUERIES) if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return dict(ORACLE) | (dict(llm.ORACLE) if llm else {})
