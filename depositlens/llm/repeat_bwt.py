@@ -11,8 +11,8 @@ their inner part, one at least. A text thus becomes a short string of symbols; s
   that is alone over all shards is resolved and leaves. After ``ORDER`` rounds each suffix knows its common prefix with
   others. No suffix of the whole is ever sorted again, and no shard sees another's text.
 * Only the starts whose inner symbols lie in a repeated interval can be repeated. They are verified on bytes: runs of starts between
-  two anchors by the digest of all bytes they cover; where runs with the same anchor differ, start by
-  start.
+  two anchors by the digest of all bytes they cover; where runs with the same anchor differ, in steps of ``STEP`` starts, and single
+  starts only where steps with the same common bytes differ.
 
 Digests are 128-bit XXH3 of the bytes themselves.
 """
@@ -20,7 +20,6 @@ Digests are 128-bit XXH3 of the bytes themselves.
 from __future__ import annotations
 
 import hashlib
-import secrets
 from collections.abc import Iterator
 from functools import reduce
 
@@ -28,6 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +36,8 @@ from depositlens.llm.common import forget, settle
 
 LENGTH = 400
 GRAM = 8
-ORDER = 4
+ORDER = 3
+STEP = 8
 SHARD_ANCHORS = 1 << 16
 PIECE = 4 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -46,8 +47,8 @@ class Cut:
     """Sizes that follow from the length of the strings looked for."""
 
     def __init__(self, length: int):
-        if length < 4 * GRAM:
-            raise ValueError(f"strings of {4 * GRAM} bytes or more can be looked for")
+        if not 8 * GRAM <= length < 1 << 15:
+            raise ValueError(f"the length has to be {8 * GRAM} at least and below {1 << 15}")
         self.length = length
         grams = length - GRAM + 1
         self.window = (grams + 2) // 3
@@ -116,95 +117,92 @@ def _parsed(texts: list[bytes], cut: Cut) -> Iterator[tuple[np.ndarray, np.ndarr
         yield flush()
 
 
+def pack(high: np.ndarray, middle: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Three numbers in one: of any, 16 and 16 bits."""
+    return high.astype(np.int64) << 32 | middle.astype(np.int64) << 16 | low.astype(np.int64)
+
+
+def unpack(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return packed >> 32, packed >> 16 & 0xFFFF, packed & 0xFFFF
+
+
+PARSED = ["doc", "text_hash", "row", "n_bytes", "sha256", "at", "links", "symbol"]
+
+
 def _parser(cut: Cut):
+    """Per text a row with its number, size and digest; per anchor a row with its position ``at``, ``links`` (bytes to the
+    anchors before and after, 0 for none, and to the end, if near) and ``symbol``."""
+
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
             texts = [text or b"" for text in batch.column(2).to_pylist()]
             count = len(texts)
-            rows = np.array([secrets.randbits(63) for _ in texts], np.int64)
+            rows = np.arange(number, number + count)
+            number += count
             sizes = np.array([len(text) for text in texts], np.int64)
-            none, nothing = np.full(count, -1, np.int32), pa.nulls(count, pa.int64())
             digests = pa.array([hashlib.sha256(text).hexdigest() for text in texts], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows), pa.array(none), pa.array(none), pa.array(none), pa.array(none), nothing, pa.array(sizes), digests], ANCHOR_NAMES)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows), pa.array(sizes), digests, *[pa.nulls(count, pa.int64())] * 3], PARSED)
             parts = list(_parsed(texts, cut))
-            if not sum(len(at) for _, at, _ in parts):
+            of, at = (np.concatenate([np.zeros(0, np.int64), *(part[n] for part in parts)]) for n in range(2))
+            if not len(of):
                 continue
-            of, at = (np.concatenate([part[n] for part in parts]) for n in range(2))
             symbols = np.array([symbol for part in parts for symbol in part[2]], np.uint64).view(np.int64)
-            order = np.lexsort((at, of))
-            of, at, symbols = of[order], at[order], symbols[order]
-            starts = np.searchsorted(of, of)
-            nth = np.arange(len(of)) - starts
             same = np.concatenate([[False], of[1:] == of[:-1]])
             before = np.where(same, at - np.roll(at, 1), 0)
             after = np.where(np.roll(same, -1), np.roll(at, -1) - at, 0)
-            places = [pa.array(x.astype(np.int32)) for x in (at, nth, before, after)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(of)), batch.column(1).take(pa.array(of)), pa.array(rows[of]), *places, pa.array(symbols), pa.array(sizes[of]), pa.nulls(len(of), pa.string())], ANCHOR_NAMES
-            )
+            links = pack(before, after, np.minimum(sizes[of] - at, 0xFFFF))
+            none = pa.nulls(len(of), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(of), batch.column(0).type), none, pa.array(rows[of]), none, pa.nulls(len(of), pa.string()), pa.array(at), pa.array(links), pa.array(symbols)], PARSED)
 
     return parse
 
 
-ANCHOR_NAMES = ["doc", "text_hash", "row", "at", "nth", "before", "after", "symbol", "n_bytes", "sha256"]
-
-
 # --- transforms and their merge ----------------------------------------------------------------------
 
 
-def transform(rows: np.ndarray, nth: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Suffix array by ``ORDER`` symbols, symbols before and at the suffixes, and the place of the suffix one symbol longer.
+def transform(rows: np.ndarray, at: np.ndarray, before: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Suffix array by four symbols, the first symbol of each suffix, and the place of the suffix one symbol longer.
 
-    Strings break where the row changes or an anchor is missing; there the place is -1.
+    Anchors are given by row and position. Strings break where the row changes or the anchor before is missing; there the
+    place is -1. The symbol before a suffix, its entry in the transform, is the first symbol at that place.
     """
     count = len(rows)
-    piece = np.cumsum(np.concatenate([[0], (rows[1:] != rows[:-1]) | (nth[1:] != nth[:-1] + 1)]))
+    joined = np.zeros(count, bool)
+    joined[1:] = (rows[1:] == rows[:-1]) & (before[1:] > 0) & (at[1:] - before[1:] == at[:-1])
+    piece = np.cumsum(~joined)
     rank = np.unique(symbols, return_inverse=True)[1] + 1
-    reach = 1
-    while reach < ORDER:
+    for reach in (1, 2):
         ahead = np.zeros(count, np.int64)
         ahead[:-reach] = np.where(piece[reach:] == piece[:-reach], rank[reach:], 0)
         rank = np.unique(rank * (rank.max() + 1) + ahead, return_inverse=True)[1] + 1
-        reach *= 2
     suffixes = np.argsort(rank, kind="stable")
     place = np.empty(count, np.int64)
     place[suffixes] = np.arange(count)
-    joined = (suffixes > 0) & (piece[suffixes] == piece[suffixes - 1])
-    return suffixes, symbols[suffixes - 1], symbols[suffixes], np.where(joined, place[suffixes - 1], -1)
+    return suffixes, symbols[suffixes], np.where(joined[suffixes], place[suffixes - 1], -1)
 
 
 def _shards(alive: DataFrame) -> DataFrame:
-    """One row per shard: its transform and, as an Arrow stream, its anchors."""
+    """One row per shard: its transform, and where its suffixes are."""
 
     def build(_, anchors: pd.DataFrame) -> pd.DataFrame:
-        anchors = anchors.sort_values(["row", "nth"], ignore_index=True)
-        suffixes, before, first, longer = transform(*(anchors[c].to_numpy() for c in ("row", "nth", "symbol")))
-        table = pa.Table.from_pandas(anchors.drop(columns=["shard", "nth"]), preserve_index=False)
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, table.schema) as stream:
-            stream.write_table(table)
-        blobs = [x.astype(kind).tobytes() for x, kind in ((suffixes, np.int32), (before, np.int64), (first, np.int64), (longer, np.int32))]
-        return pd.DataFrame({"shard": [anchors["shard"][0]], "suffixes": blobs[:1], "before": blobs[1:2], "first": blobs[2:3], "longer": blobs[3:], "anchors": [sink.getvalue().to_pybytes()]})
-
-    schema = "shard bigint, suffixes binary, before binary, first binary, longer binary, anchors binary"
+        anchors = anchors.sort_values(["row", "at"], ignore_index=True)
+        row, at, links, symbols = (anchors[c].to_numpy() for c in ("row", "at", "links", "symbol"))
+        suffixes, first, longer = transform(row, at, unpack(links)[0], symbols)
+        blobs = {"suffixes": suffixes.astype(np.int32), "first": first, "longer": longer.astype(np.int32), "row": row, "at": at, "links": links}
+        return pd.DataFrame({"shard": [anchors["shard"][0]]} | {name: [blob.tobytes()] for name, blob in blobs.items()})
+
+    schema = "shard bigint, suffixes binary, first binary, longer binary, row binary, at binary, links binary"
     return alive.groupBy("shard").applyInPandas(build, schema)
 
 
 INTERVALS = "shard bigint, key bigint, lo int, hi int"
 
 
-def _first_intervals(shards: DataFrame) -> DataFrame:
-    """Intervals of equal first symbols."""
-
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for shard, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                first = np.frombuffer(blob, np.int64)
-                lo = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]]))
-                hi = np.append(lo[1:], len(first))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(lo), shard)), pa.array(first[lo]), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], ["shard", "key", "lo", "hi"])
-
-    return shards.select("shard", "first").mapInArrow(runs, INTERVALS)
+def first_intervals(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Key, lo and hi of the runs of equal first symbols."""
+    lo = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]]))
+    return first[lo], lo, np.append(lo[1:], len(first))
 
 
 def _flat(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -214,12 +212,12 @@ def _flat(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + lo[owner], owner
 
 
-def extend(before: np.ndarray, longer: np.ndarray, keys: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
+def extend(first: np.ndarray, longer: np.ndarray, keys: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
     """The intervals one symbol longer to the left: key, lo, hi."""
     places, owner = _flat(lo.astype(np.int64), hi.astype(np.int64))
     joined = longer[places] >= 0
-    places, owner = places[joined], owner[joined]
-    symbols, targets = before[places], longer[places]
+    targets, owner = longer[places[joined]], owner[joined]
+    symbols = first[targets]
     order = np.lexsort((targets, symbols, owner))
     symbols, owner, targets = symbols[order], owner[order], targets[order]
     new = np.ones(len(order), bool)
@@ -231,15 +229,28 @@ def extend(before: np.ndarray, longer: np.ndarray, keys: np.ndarray, lo: np.ndar
     return mixed.view(np.int64), targets[start], targets[start] + sizes
 
 
+def _second_intervals(shards: DataFrame) -> DataFrame:
+    """The first round: every interval of one symbol is repeated, as only such symbols are left."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, first, longer in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                first = np.frombuffer(first, np.int64)
+                key, lo, hi = extend(first, np.frombuffer(longer, np.int32), *first_intervals(first))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), shard)), pa.array(key), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], ["shard", "key", "lo", "hi"])
+
+    return shards.select("shard", "first", "longer").mapInArrow(step, INTERVALS)
+
+
 def _extended(shards: DataFrame, intervals: DataFrame) -> DataFrame:
     def step(transform: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         if not len(own) or not len(transform):
             return pd.DataFrame({"shard": [], "key": [], "lo": [], "hi": []})
-        before, longer = np.frombuffer(transform["before"][0], np.int64), np.frombuffer(transform["longer"][0], np.int32)
-        key, lo, hi = extend(before, longer, *(own[c].to_numpy() for c in ("key", "lo", "hi")))
+        first, longer = np.frombuffer(transform["first"][0], np.int64), np.frombuffer(transform["longer"][0], np.int32)
+        key, lo, hi = extend(first, longer, *(own[c].to_numpy() for c in ("key", "lo", "hi")))
         return pd.DataFrame({"shard": transform["shard"][0], "key": key, "lo": lo, "hi": hi})
 
-    left = shards.select("shard", "before", "longer").groupBy("shard")
+    left = shards.select("shard", "first", "longer").groupBy("shard")
     return left.cogroup(intervals.groupBy("shard")).applyInPandas(step, INTERVALS)
 
 
@@ -250,84 +261,125 @@ def _repeated(intervals: DataFrame) -> DataFrame:
 
 
 def merged_intervals(shards: DataFrame) -> list[DataFrame]:
-    """Settled repeated intervals of 2 .. ``ORDER`` symbols; all anchors given lie in repeated ones of one symbol."""
-    found, intervals = [], _first_intervals(shards)
+    """Settled repeated intervals of 2 .. ``ORDER`` symbols."""
+    found: list[DataFrame] = []
     for _ in range(2, ORDER + 1):
-        longer = settle(_extended(shards, intervals), "extended")
-        intervals = settle(_repeated(longer), "intervals")
+        longer = settle(_extended(shards, found[-1]) if found else _second_intervals(shards), "extended")
+        found.append(settle(_repeated(longer), "intervals"))
         forget(longer)
-        found.append(intervals)
     return found
 
 
-def _start_runs(shards: DataFrame, intervals: list[DataFrame], cut: Cut) -> DataFrame:
-    """(row, symbol, lo, hi): runs of starts whose inner symbols all lie in repeated intervals.
+def start_runs(row: np.ndarray, at: np.ndarray, links: np.ndarray, depth: np.ndarray, cut: Cut) -> tuple[np.ndarray, np.ndarray]:
+    """(anchor, packed run): starts whose first inner anchor it is and whose inner symbols lie in a repeated interval.
 
-    A run has the starts for which the same anchor is the first inner one.
+    A run is its first start, its anchor's distance from it and the number of starts after it.
     """
+    before, after, room = unpack(links)
+    lo = np.maximum(np.where(before > 0, at - before + 1 - cut.left, 0), np.maximum(at - cut.last, 0))
+    hi = np.minimum(at - cut.left, at + room - cut.length)
+    # A start's inner part must not reach the anchor after the repeated symbols; ORDER symbols stand for any number.
+    final = np.arange(len(row)) + depth - 1
+    short = (depth < ORDER) & (after[final] > 0)
+    hi = np.where(short, np.minimum(hi, at[final] + after[final] - 1 - cut.last), hi)
+    keep = np.flatnonzero(hi >= lo)
+    return keep, pack(lo[keep], (at - lo)[keep], (hi - lo)[keep])
+
+
+def _start_runs(shards: DataFrame, intervals: list[DataFrame], cut: Cut) -> DataFrame:
+    """(row, symbol, run) for all anchors with starts."""
 
     def step(transform: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         if not len(transform):
-            return pd.DataFrame({name: [] for name in ("row", "symbol", "lo", "hi")})
-        with pa.ipc.open_stream(transform["anchors"][0]) as stream:
-            found = stream.read_all().to_pandas()
+            return pd.DataFrame({"row": [], "symbol": [], "run": []})
+        row, at, links, first = (np.frombuffer(transform[name][0], np.int64) for name in ("row", "at", "links", "first"))
         suffixes = np.frombuffer(transform["suffixes"][0], np.int32)
-        depth = np.ones(len(found), np.int64)
+        symbols = np.empty(len(first), np.int64)
+        symbols[suffixes] = first
+        depth = np.ones(len(row), np.int64)
         places, owner = _flat(own["lo"].to_numpy(np.int64), own["hi"].to_numpy(np.int64))
         np.maximum.at(depth, suffixes[places], own["order"].to_numpy(np.int64)[owner])
-        at, before, after = (found[c].to_numpy(np.int64) for c in ("at", "before", "after"))
-        lo = np.maximum(np.where(before > 0, at - before + 1 - cut.left, 0), np.maximum(at - cut.last, 0))
-        hi = np.minimum(at - cut.left, found["n_bytes"].to_numpy(np.int64) - cut.length)
-        # A start's inner part must not reach the anchor after the repeated symbols; ORDER symbols stand for any number.
-        final = np.arange(len(found)) + depth - 1
-        short = (depth < ORDER) & (after[final] > 0)
-        hi = np.where(short, np.minimum(hi, at[final] + after[final] - 1 - cut.last), hi)
-        keep = hi >= lo
-        out = found.loc[keep, ["row", "symbol"]].copy()
-        out["lo"], out["hi"] = lo[keep], hi[keep]
-        return out
+        keep, runs = start_runs(row, at, links, depth, cut)
+        return pd.DataFrame({"row": row[keep], "symbol": symbols[keep], "run": runs})
 
     union = reduce(DataFrame.union, (own.withColumn("order", F.lit(order)) for order, own in enumerate(intervals, 2)))
-    schema = "row bigint, symbol bigint, lo bigint, hi bigint"
-    left = shards.select("shard", "suffixes", "anchors").groupBy("shard")
-    return left.cogroup(union.groupBy("shard")).applyInPandas(step, schema)
+    left = shards.drop("longer").groupBy("shard")
+    return left.cogroup(union.drop("key").groupBy("shard")).applyInPandas(step, "row bigint, symbol bigint, run bigint")
 
 
 # --- verification on bytes ---------------------------------------------------------------------------
 
 
-def _run_digests(candidates: DataFrame, kind: T.DataType, cut: Cut) -> DataFrame:
-    """(doc, text_hash, symbol, lo, hi, digest of the bytes that the run's starts cover)."""
+def _halves(digests: list[bytes]) -> tuple[pa.Array, pa.Array]:
+    pairs = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+    return pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))
+
+
+def _run_digests(candidates: DataFrame, cut: Cut) -> DataFrame:
+    """(row, run, symbol, d1, d2): digest of the bytes that the run's starts cover."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, runs = batch.column(2).to_pylist(), batch.column(3)
-            of = np.repeat(np.arange(len(texts)), np.diff(runs.offsets.to_numpy()))
-            lo, hi, symbol = (runs.flatten().field(n) for n in ("lo", "hi", "symbol"))
+            texts, lists = batch.column(1).to_pylist(), batch.column(2)
+            of = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+            symbol, run = lists.flatten().field("symbol"), lists.flatten().field("run")
+            lo, _, more = unpack(run.to_numpy())
             made = [
-                xxhash.xxh3_128_digest(texts[n][x : y + cut.length])
-                for n, x, y in zip(of.tolist(), lo.to_pylist(), hi.to_pylist(), strict=True)
+                xxhash.xxh3_128_digest(texts[n][x:y])
+                for n, x, y in zip(of.tolist(), lo.tolist(), (lo + more + cut.length).tolist(), strict=True)
             ]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of)), batch.column(1).take(pa.array(of)), symbol, lo, hi, pa.array(made, pa.binary())], ["doc", "text_hash", "symbol", "lo", "hi", "digest"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of)), run, symbol, *_halves(made)], ["row", "run", "symbol", "d1", "d2"])
+
+    return candidates.select("row", "octets", "runs").mapInArrow(digest, "row bigint, run bigint, symbol bigint, d1 bigint, d2 bigint")
+
+
+def steps(run: int, cut: Cut) -> list[tuple[int, int, int, int]]:
+    """A run in steps of ``STEP`` starts counted from its anchor: first and last start, first byte and end of what all starts of
+    such a step have in common."""
+    lo, distance, more = (int(x) for x in unpack(np.int64(run)))
+    at, found = lo + distance, []
+    for n in range((distance - more) // STEP, distance // STEP + 1):
+        first, last = max(lo, at - n * STEP - STEP + 1), min(lo + more, at - n * STEP)
+        found.append((first, last, at - n * STEP, at - n * STEP - STEP + 1 + cut.length))
+    return found
+
+
+def _step_digests(opened: DataFrame, cut: Cut) -> DataFrame:
+    """(row, lo, hi, alone, digests v1, v2 of all bytes of a step's starts and c1, c2 of the common ones)."""
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            whole, common = [], []
+            for row, text, runs in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                for run in runs:
+                    for first, last, start, end in steps(run["run"], cut):
+                        out.append((row, first, last, run["alone"]))
+                        whole.append(xxhash.xxh3_128_digest(text[first : last + cut.length]))
+                        common.append(xxhash.xxh3_128_digest(text[start:end]))
+            if out:
+                columns = [pa.array(column) for column in zip(*out, strict=True)]
+                yield pa.RecordBatch.from_arrays([*columns, *_halves(whole), *_halves(common)], ["row", "lo", "hi", "alone", "v1", "v2", "c1", "c2"])
 
-    longs = [T.StructField(n, T.LongType()) for n in ("text_hash", "symbol", "lo", "hi")]
-    return candidates.mapInArrow(digest, T.StructType([T.StructField("doc", kind), *longs, T.StructField("digest", T.BinaryType())]))
+    return opened.mapInArrow(digest, "row bigint, lo bigint, hi bigint, alone boolean, v1 bigint, v2 bigint, c1 bigint, c2 bigint")
 
 
-def _start_digests(candidates: DataFrame, kind: T.DataType, cut: Cut) -> DataFrame:
-    """(doc, text_hash, lo, alone, digest): one row for each start of the runs given, with its own bytes' digest."""
+def _start_digests(opened: DataFrame, cut: Cut) -> DataFrame:
+    """(row, lo, alone, s1, s2): each single start of the steps given, with its own bytes' digest."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for n, runs in enumerate(batch.column(3).to_pylist()):
-                text = batch.column(2)[n].as_py()
-                starts = [(x, run["alone"]) for run in runs for x in range(run["lo"], run["hi"] + 1)]
-                made = [xxhash.xxh3_128_digest(text[x : x + cut.length]) for x, _ in starts]
-                of = pa.array(np.full(len(starts), n))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(of), batch.column(1).take(of), pa.array([x for x, _ in starts], pa.int64()), pa.array([alone for _, alone in starts], pa.bool_()), pa.array(made, pa.binary())], ["doc", "text_hash", "lo", "alone", "digest"])
+            out: list[tuple] = []
+            made = []
+            for row, text, runs in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                for run in runs:
+                    for start in range(run["lo"], run["hi"] + 1):
+                        out.append((row, start, run["alone"]))
+                        made.append(xxhash.xxh3_128_digest(text[start : start + cut.length]))
+            if out:
+                yield pa.RecordBatch.from_arrays([*(pa.array(column) for column in zip(*out, strict=True)), *_halves(made)], ["row", "lo", "alone", "s1", "s2"])
 
-    fields = [T.StructField("doc", kind), T.StructField("text_hash", T.LongType()), T.StructField("lo", T.LongType()), T.StructField("alone", T.BooleanType()), T.StructField("digest", T.BinaryType())]
-    return candidates.mapInArrow(digest, T.StructType(fields))
+    return opened.mapInArrow(digest, "row bigint, lo bigint, alone boolean, s1 bigint, s2 bigint")
 
 
 def covered_spans(runs: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
@@ -341,6 +393,9 @@ def covered_spans(runs: list[tuple[int, int]], length: int) -> list[tuple[int, i
     return spans
 
 
+SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+
+
 def _removed(found: DataFrame, kind: T.DataType, cut: Cut) -> DataFrame:
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -362,17 +417,38 @@ def _removed(found: DataFrame, kind: T.DataType, cut: Cut) -> DataFrame:
     return found.mapInArrow(remove, T.StructType([T.StructField("doc", kind), T.StructField("n_bytes", T.LongType()), T.StructField("kept_sha256", T.StringType()), T.StructField("spans", SPANS)]))
 
 
-SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-
-
-def _same_text(left: DataFrame, right: DataFrame):
-    return left["doc"].eqNullSafe(right["doc_"]) & (left["text_hash"] == right["hash_"])
-
-
-def _by_text(rows: DataFrame, *fields: str) -> DataFrame:
-    """Rows gathered by text: as many as a text has starts at most."""
-    own = F.collect_set(F.struct(*fields)).alias("runs")
-    return rows.groupBy(F.col("doc").alias("doc_"), F.col("text_hash").alias("hash_")).agg(own)
+def _with_runs(candidates: DataFrame, rows: DataFrame, *fields: str) -> DataFrame:
+    """(row, octets, runs): the texts that ``rows`` name, with those rows gathered; a text has so many starts at most."""
+    runs = rows.groupBy("row").agg(F.collect_set(F.struct(*fields)).alias("runs"))
+    return candidates.select("row", "octets").join(runs, "row")
+
+
+def _twice(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").drop("n")
+
+
+def repeated_runs(candidates: DataFrame, cut: Cut) -> DataFrame:
+    """(row, lo, hi): all repeated starts of ``candidates`` (row, octets, runs)."""
+    digests = settle(_run_digests(candidates, cut), "run-digests")
+    one = F.min(F.struct("row", "run")).alias("one")
+    contexts = settle(digests.groupBy("d1", "d2", "symbol").agg(F.count("*").alias("n"), one), "contexts")
+    either = F.struct("d1", "d2")
+    differing = contexts.groupBy("symbol").agg((F.min(either) != F.max(either)).alias("differ")).where("differ").select("symbol")
+    single = contexts.join(differing, "symbol", "left_semi").select("one.*", (F.col("n") == 1).alias("alone"))
+    parts = settle(_step_digests(_with_runs(candidates, single, "run", "alone"), cut), "steps")
+    one = F.min(F.struct("row", "lo", "hi", "alone")).alias("one")
+    variants = settle(parts.groupBy("c1", "c2", "v1", "v2").agg(F.count("*").alias("n"), one), "variants")
+    mixed = variants.join(_twice(variants, "c1", "c2"), ["c1", "c2"], "left_semi")
+    opened = mixed.select("one.row", "one.lo", "one.hi", ((F.col("n") == 1) & F.col("one.alone")).alias("alone"))
+    starts = settle(_start_digests(_with_runs(candidates, opened, "lo", "hi", "alone"), cut), "starts")
+    lo, more = F.expr("run >> 32"), F.expr("run & 65535")
+    plain = digests.join(contexts.where("n > 1").select("d1", "d2"), ["d1", "d2"], "left_semi").select("row", lo.alias("lo"), (lo + more).alias("hi"))
+    whole = variants.where("n > 1").select("v1", "v2")
+    steps_too = parts.where("alone").join(whole, ["v1", "v2"], "left_semi").select("row", "lo", "hi")
+    starts_too = starts.where("alone").join(_twice(starts, "s1", "s2"), ["s1", "s2"], "left_semi").select("row", "lo", F.col("lo").alias("hi"))
+    found = settle(plain.union(steps_too).union(starts_too), "repeated")
+    forget(digests, contexts, parts, variants, starts)
+    return found
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
@@ -387,40 +463,31 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.col(f"`{id_col}`").alias("doc"), F.xxhash64(F.col(f"`{text_col}`")).alias("text_hash"), F.col(f"`{text_col}`").cast("binary").alias("octets")
     )
     kind = texts.schema["doc"].dataType
-    types = [kind, T.LongType(), T.LongType(), *[T.IntegerType()] * 4, T.LongType(), T.LongType(), T.StringType()]
-    schema = T.StructType([T.StructField(*pair) for pair in zip(ANCHOR_NAMES, types, strict=True)])
-    parsed = settle(texts.mapInArrow(_parser(cut), schema), "anchors")
-    whole = parsed.where("at < 0").select("row", "doc", "text_hash", "n_bytes", "sha256")
-    found = parsed.where("at >= 0").select("row", "at", "nth", "before", "after", "symbol", "n_bytes")
-    common = found.groupBy("symbol").agg(F.count("*").alias("n")).where("n > 1").select("symbol")
-    alive = settle(found.join(common, "symbol", "left_semi"), "alive")
+    longs = T.LongType()
+    schema = T.StructType([T.StructField(name, kind if name == "doc" else T.StringType() if name == "sha256" else longs) for name in PARSED])
+    parsed = settle(texts.mapInArrow(_parser(cut), schema), "parsed")
+    whole = settle(parsed.where("sha256 IS NOT NULL").select("doc", "text_hash", "row", "n_bytes", "sha256"), "whole")
+    found = parsed.where("symbol IS NOT NULL").select("row", "at", "links", "symbol")
+    alive = settle(found.join(_twice(found, "symbol"), "symbol", "left_semi"), "alive")
+    forget(parsed)
     shard_count = 1 + alive.count() // SHARD_ANCHORS
     shards = settle(_shards(alive.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shard_count)))), "shards")
+    forget(alive)
     intervals = merged_intervals(shards)
     runs = settle(_start_runs(shards, intervals, cut), "runs")
-    forget(alive, shards, *intervals)
-    by_row = runs.groupBy("row").agg(F.collect_list(F.struct("lo", "hi", "symbol")).alias("runs"))
-    of_text = whole.select("row", F.col("doc").alias("doc_"), F.col("text_hash").alias("hash_"))
-    by_text = settle(of_text.join(by_row, "row").drop("row").dropDuplicates(["doc_", "hash_"]), "runs-by-text")
+    forget(shards, *intervals)
+
+    by_row = runs.groupBy("row").agg(F.collect_list(F.struct("symbol", "run")).alias("runs"))
+    named = whole.select(F.col("doc").alias("doc_"), F.col("text_hash").alias("hash_"), "row")
+    by_text = settle(named.join(by_row, "row").dropDuplicates(["doc_", "hash_"]), "runs-by-text")
     forget(runs)
-    candidates = settle(texts.join(by_text, _same_text(texts, by_text)).select("doc", "text_hash", "octets", "runs"), "candidates")
-    digests = settle(_run_digests(candidates, kind, cut), "run-digests")
-    contexts = settle(
-        digests.groupBy("digest", "symbol").agg(F.count("*").alias("n"), F.min(F.struct("doc", "text_hash", "lo", "hi")).alias("one")), "contexts"
-    )
-    differing = contexts.groupBy("symbol").agg((F.min("digest") != F.max("digest")).alias("differ")).where("differ")
-    single = contexts.join(differing.select("symbol"), "symbol", "left_semi").select("one.*", (F.col("n") == 1).alias("alone"))
-    to_open = _by_text(single, "lo", "hi", "alone")
-    opened = candidates.drop("runs").join(to_open, _same_text(candidates, to_open)).select("doc", "text_hash", "octets", "runs")
-    starts = settle(_start_digests(opened, kind, cut), "start-digests")
-    twice = starts.groupBy("digest").agg(F.count("*").alias("n"), F.bool_or("alone").alias("any")).where("n > 1 AND any")
-    repeated = digests.join(contexts.where("n > 1").select("digest"), "digest", "left_semi").select("doc", "text_hash", "lo", "hi")
-    repeated_starts = starts.where("alone").join(twice.select("digest"), "digest", "left_semi").select("doc", "text_hash", "lo", F.col("lo").alias("hi"))
-    final = _by_text(repeated.union(repeated_starts), "lo", "hi")
-    kept = candidates.select("doc", "text_hash", "octets")
-    changed = _removed(kept.join(final, _same_text(kept, final), "left").select("doc", "octets", "runs"), kind, cut)
+    same = texts["doc"].eqNullSafe(by_text["doc_"]) & (texts["text_hash"] == by_text["hash_"])
+    candidates = settle(texts.join(by_text, same).select("doc", "row", "octets", "runs"), "candidates")
+    gathered = repeated_runs(candidates, cut).groupBy("row").agg(F.collect_set(F.struct("lo", "hi")).alias("found"))
+    changed = _removed(candidates.select("doc", "row", "octets").join(gathered, "row", "left").select("doc", "octets", "found"), kind, cut)
     seen = by_text.select("doc_", "hash_")
-    clean = whole.join(seen, _same_text(whole, seen), "left_anti").select("doc", "n_bytes", F.col("sha256").alias("kept_sha256"), F.array().cast(SPANS).alias("spans"))
+    other = whole["doc"].eqNullSafe(seen["doc_"]) & (whole["text_hash"] == seen["hash_"])
+    clean = whole.join(seen, other, "left_anti").select("doc", "n_bytes", F.col("sha256").alias("kept_sha256"), F.array().cast(SPANS).alias("spans"))
     length_of = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
     return changed.union(clean).select(
         F.col("doc").alias(id_col), "n_bytes", length_of.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256", "spans"
