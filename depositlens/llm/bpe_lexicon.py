@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from depositlens.llm.common import free_name
+from depositlens.llm.common import forget, free_name, most_frequent, settle
 from depositlens.sources.shared import fresh_path
 
 LEXICON_WORDS = 1 << 16
@@ -217,7 +217,7 @@ def mapped(path: str | None, octets: bytes) -> mmap.mmap | bytes:
 
 
 def frequent_words(docs: DataFrame, shared: Broadcast, text_col: str, words: int) -> list[str]:
-    """The ``words`` most frequent words of all texts, ties by the word; ``shared`` has the tokenizer file."""
+    """The most frequent words of all texts, ``words`` at most; ``shared`` has the tokenizer file."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, chunks = vocabulary_of(shared.value), Counter()
@@ -240,7 +240,10 @@ def frequent_words(docs: DataFrame, shared: Broadcast, text_col: str, words: int
 
     texts = docs.select(F.col(f"`{text_col}`").alias("text")).where("text IS NOT NULL")
     counted = texts.mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return [row.word for row in counted.orderBy(F.desc("n"), "word").limit(words).select("word").collect()]
+    counted = settle(counted, "word-counts")
+    found = [word for word, _ in most_frequent(counted, "word", "n", words)]
+    forget(counted)
+    return found
 
 
 @cache

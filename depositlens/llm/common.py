@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,3 +63,36 @@ def map_arrow(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], s
                 yield work(batch)
 
     return df.mapInArrow(run, schema)
+
+
+def pieces(batches: Iterator[pa.RecordBatch], octets: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that the binary column ``octets`` has about ``most`` bytes in each, whole rows though."""
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(octets)), 0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            done = sizes[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(sizes, done + most, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+
+
+def most_frequent(counted: DataFrame, word: str, count: str, most: int) -> list[tuple[bytes | str, int]]:
+    """Words with their counts, frequent first, ties by the word: all down to the level of count at which there are
+    ``most`` at most.
+
+    Levels are eighths of a power of two, so the driver gets a few hundred level sizes and then ``most`` rows at most, however
+    many tasks and words there are.
+    """
+    levelled = counted.withColumn("level", F.floor(F.log2(F.col(count)) * 8))
+    sizes = sorted(levelled.groupBy("level").count().collect(), key=lambda row: -row.level)
+    lowest, total = None, 0
+    for row in sizes:
+        total += row["count"]
+        if total > most:
+            break
+        lowest = row.level
+    if lowest is None:
+        return []
+    rows = levelled.where(F.col("level") >= lowest).select(word, count).collect()
+    return sorted(((bytes(w) if isinstance(w, bytearray) else w, n) for w, n in rows), key=lambda pair: (-pair[1], pair[0]))
