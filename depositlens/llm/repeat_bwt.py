@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from depositlens.llm.common import forget, settle
+from depositlens.llm.common import forget, pieces, settle
 
 LENGTH = 400
 GRAM = 8
@@ -135,7 +135,7 @@ def _parser(cut: Cut):
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        for batch in batches:
+        for batch in pieces(batches, "octets", PIECE):
             texts = [text or b"" for text in batch.column(2).to_pylist()]
             count = len(texts)
             rows = np.arange(number, number + count)
@@ -257,6 +257,7 @@ def _extended(shards: DataFrame, intervals: DataFrame) -> DataFrame:
 def _repeated(intervals: DataFrame) -> DataFrame:
     """Intervals with two suffixes or more over all shards."""
     counts = intervals.groupBy("key").agg(F.sum(F.col("hi") - F.col("lo")).alias("n")).where("n > 1").select("key")
+    counts = settle(counts, "interval-keys")
     return intervals.join(counts, "key", "left_semi").select("shard", "key", "lo", "hi")
 
 
@@ -319,7 +320,7 @@ def _run_digests(candidates: DataFrame, cut: Cut) -> DataFrame:
     """(row, run, symbol, d1, d2): digest of the bytes that the run's starts cover."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, "octets", PIECE):
             texts, lists = batch.column(1).to_pylist(), batch.column(2)
             of = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
             symbol, run = lists.flatten().field("symbol"), lists.flatten().field("run")
@@ -348,7 +349,7 @@ def _step_digests(opened: DataFrame, cut: Cut) -> DataFrame:
     """(row, lo, hi, alone, digests v1, v2 of all bytes of a step's starts and c1, c2 of the common ones)."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, "octets", PIECE):
             out: list[tuple] = []
             whole, common = [], []
             for row, text, runs in zip(*(column.to_pylist() for column in batch.columns), strict=True):
@@ -368,7 +369,7 @@ def _start_digests(opened: DataFrame, cut: Cut) -> DataFrame:
     """(row, lo, alone, s1, s2): each single start of the steps given, with its own bytes' digest."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, "octets", PIECE):
             out: list[tuple] = []
             made = []
             for row, text, runs in zip(*(column.to_pylist() for column in batch.columns), strict=True):
@@ -398,7 +399,7 @@ SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.Struct
 
 def _removed(found: DataFrame, kind: T.DataType, cut: Cut) -> DataFrame:
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, "octets", PIECE):
             sizes, kept, spans = [], [], []
             for text, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 own = covered_spans([(run["lo"], run["hi"]) for run in runs or ()], cut.length)
@@ -424,7 +425,8 @@ def _with_runs(candidates: DataFrame, rows: DataFrame, *fields: str) -> DataFram
 
 
 def _twice(rows: DataFrame, *keys: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    """Keys that several rows have; settled, so that a join with them can split a hot key."""
+    return settle(rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").drop("n"), "twice")
 
 
 def repeated_runs(candidates: DataFrame, cut: Cut) -> DataFrame:
@@ -434,6 +436,7 @@ def repeated_runs(candidates: DataFrame, cut: Cut) -> DataFrame:
     contexts = settle(digests.groupBy("d1", "d2", "symbol").agg(F.count("*").alias("n"), one), "contexts")
     either = F.struct("d1", "d2")
     differing = contexts.groupBy("symbol").agg((F.min(either) != F.max(either)).alias("differ")).where("differ").select("symbol")
+    differing = settle(differing, "differing")
     single = contexts.join(differing, "symbol", "left_semi").select("one.*", (F.col("n") == 1).alias("alone"))
     parts = settle(_step_digests(_with_runs(candidates, single, "run", "alone"), cut), "steps")
     one = F.min(F.struct("row", "lo", "hi", "alone")).alias("one")
