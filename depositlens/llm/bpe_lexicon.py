@@ -21,13 +21,15 @@ import mmap
 import os
 import re
 import struct
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import cache
+from functools import cache, lru_cache
 from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,9 +39,9 @@ from tokenizers import Tokenizer
 from depositlens.llm.common import forget, free_name, most_frequent, settle
 from depositlens.sources.shared import fresh_path
 
-LEXICON_WORDS = 1 << 16
+LEXICON_WORDS = 1 << 18
 FLUSH_WORDS = 1 << 18
-CACHED_CHUNKS = 1 << 17
+CACHED_CHUNKS = 1 << 18
 SHORT = 24
 INFORMATION_SEPARATORS = re.compile("[\x1c-\x1f]")
 WHITE_SPACE = re.compile("[^\\S\x1c-\x1f]+")
@@ -57,24 +59,32 @@ class Vocabulary:
         self.special = {token["content"]: token["id"] for token in parts["added_tokens"] if token["special"]}
         self.tokens = {number: token for token, number in (self.ids | self.special).items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
+        steps = parts["pre_tokenizer"]["pretokenizers"]
+        self.pattern = regex.compile(next(step["pattern"]["Regex"] for step in steps if step["type"] == "Split"))
         rules = Tokenizer.from_str(definition)
         self.normalize, self.split = rules.normalizer.normalize_str, rules.pre_tokenizer.pre_tokenize_str
 
-    def chunks(self, text: str) -> Iterator[str]:
+    def chunks(self, text: str) -> list[str]:
         """What white space separates; special tokens are chunks of their own."""
         cut = "<|" in text
         if text.isascii() and not cut:
             text = text.lower()
+        elif not cut and not INFORMATION_SEPARATORS.search(text):
+            return text.split()
+        found: list[str] = []
         for part in self.cut.split(text) if cut else [text]:
             if part in self.special:
-                yield part
+                found.append(part)
             elif INFORMATION_SEPARATORS.search(part):  # white space for split(), not for the pattern
-                yield from filter(None, WHITE_SPACE.split(part))
+                found += filter(None, WHITE_SPACE.split(part))
             else:
-                yield from part.split()
+                found += part.split()
+        return found
 
     def words(self, chunk: str) -> list[str]:
-        """The chunk's words, each byte as the letter that stands for it."""
+        """The chunk's words, each byte as the letter that stands for it; printable ASCII stands for itself."""
+        if chunk.isascii() and chunk.isprintable():
+            return self.pattern.findall(chunk.lower())
         return [word for word, _ in self.split(self.normalize(chunk))]
 
     def merge(self, word: str) -> list[int]:
@@ -85,12 +95,16 @@ class Vocabulary:
         return [self.ids[part] for part in parts]
 
     def _merge_short(self, parts: list[str]) -> list[str]:
-        ranks, none = self.ranks, len(self.ranks)
-        while len(parts) > 1:
-            best, at = min((ranks.get(pair, none), n) for n, pair in enumerate(zip(parts, parts[1:], strict=False)))
-            if best == none:
-                break
+        rank, none = self.ranks.get, len(self.ranks)
+        ranks = [rank(pair, none) for pair in zip(parts, parts[1:], strict=False)]
+        while ranks and (best := min(ranks)) < none:
+            at = ranks.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank((parts[at - 1], parts[at]), none)
+            if at < len(ranks):
+                ranks[at] = rank((parts[at], parts[at + 1]), none)
         return parts
 
     def _merge_long(self, parts: list[str]) -> list[str]:
@@ -252,11 +266,15 @@ def vocabulary_of(definition: str) -> Vocabulary:
 
 
 class Encoder(dict):
-    """Chunk -> (number of tokens, ids joined by a space, tokens joined by a space), filled as chunks are met."""
+    """Chunk -> (number of tokens, ids joined by a space, tokens joined by a space), filled as chunks are met.
+
+    When it is full it becomes the older half and a new one begins, so that frequent chunks stay known.
+    """
 
     def __init__(self, vocabulary: Vocabulary, transducer: Transducer):
         super().__init__()
         self.vocabulary, self.transducer = vocabulary, transducer
+        self.older: dict[str, tuple[int, str, str]] = {}
 
     def ids(self, chunk: str) -> list[int]:
         vocabulary = self.vocabulary
@@ -269,21 +287,31 @@ class Encoder(dict):
         return found
 
     def __missing__(self, chunk: str) -> tuple[int, str, str]:
+        entry = self.older.get(chunk)
+        if entry is None:
+            ids = self.ids(chunk)
+            entry = len(ids), " ".join(map(str, ids)), " ".join(map(self.vocabulary.tokens.__getitem__, ids))
         if len(self) >= CACHED_CHUNKS:
+            self.older = dict(self)
             self.clear()
-        ids = self.ids(chunk)
-        entry = len(ids), " ".join(map(str, ids)), " ".join(map(self.vocabulary.tokens.__getitem__, ids))
         if len(chunk) <= 64:
             self[chunk] = entry
         return entry
 
     def encode(self, text: str) -> tuple[int, str, str]:
-        entries = [entry for chunk in self.vocabulary.chunks(text) if (entry := self[chunk])[0]]
-        return (
-            sum([entry[0] for entry in entries]),
-            " ".join([entry[1] for entry in entries]),
-            " ".join([entry[2] for entry in entries]),
-        )
+        entries = list(map(self.__getitem__, self.vocabulary.chunks(text)))
+        if not entries:
+            return 0, "", ""
+        counts, ids, tokens = zip(*entries, strict=True)
+        if 0 in counts:
+            ids, tokens = filter(None, ids), filter(None, tokens)
+        return sum(counts), " ".join(ids), " ".join(tokens)
+
+
+@lru_cache(1)
+def encoder_of(name: str, definition: str, path: str | None, octets: bytes) -> Encoder:
+    """The worker's encoder for a lexicon, kept from task to task."""
+    return Encoder(vocabulary_of(definition), Transducer(mapped(path, octets)))
 
 
 def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", digest: bool = False, keep_text: bool = True, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
@@ -300,7 +328,7 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", digest:
     spark = docs.sparkSession
     vocabulary, shared = vocabulary_of(definition), spark.sparkContext.broadcast(definition)
     lexicon = {word.encode(): vocabulary.merge(word) for word in frequent_words(docs, shared, text_col, lexicon_words)}
-    octets = compile_transducer(lexicon)
+    octets, name = compile_transducer(lexicon), uuid.uuid4().hex
     compiled = spark.sparkContext.broadcast((publish(spark, octets), octets))
     new = [T.StructField("n_tokens", T.LongType())]
     if digest:
@@ -315,7 +343,7 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", digest:
         return hashlib.sha256(text.encode("utf-8", "replace")).hexdigest()
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary_of(shared.value), Transducer(mapped(*compiled.value)))
+        encoder = encoder_of(name, shared.value, *compiled.value)
         for batch in batches:
             counts, firsts, seconds = [], [], []
             for text in batch.column(batch.num_columns - 1).to_pylist():
