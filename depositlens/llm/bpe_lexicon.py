@@ -1,7 +1,7 @@
 """BPE encoding through a lexicon transducer of frequent words, and decoding.
 
-The words of all texts are counted by a Spark job; the ``LEXICON_WORDS`` most frequent are merged once and
-compiled into a minimal acyclic transducer: common prefixes and suffixes share states, and the numbers on the arcs
+What white space separates in all texts is counted by a Spark job; the words of the ``LEXICON_CHUNKS`` most frequent are
+merged once and compiled into a minimal acyclic transducer: common prefixes and suffixes share states, and the numbers on the arcs
 of a word add up to its row in a table of token ids. The file is written to the shared folder and memory-mapped by the
 Python workers, which so share one copy on a machine; where the shared folder is a store without
 file paths they use the same bytes from a broadcast. A word that the transducer does not accept is merged by the
@@ -39,14 +39,25 @@ from tokenizers import Tokenizer
 from depositlens.llm.common import forget, free_name, most_frequent, settle
 from depositlens.sources.shared import fresh_path
 
-LEXICON_WORDS = 1 << 18
+LEXICON_CHUNKS = 1 << 18
 FLUSH_WORDS = 1 << 18
-CACHED_CHUNKS = 1 << 18
+CACHED_CHUNKS = 1 << 19
 SHORT = 24
 INFORMATION_SEPARATORS = re.compile("[\x1c-\x1f]")
 WHITE_SPACE = re.compile("[^\\S\x1c-\x1f]+")
 
 
+def byte_letters() -> dict[int, str]:
+    """The printable letter that stands for each byte in byte-level vocabularies: itself, or else those from 256 on."""
+    itself = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = (byte for byte in range(256) if byte not in itself)
+    return {byte: chr(byte) for byte in itself} | {byte: chr(256 + n) for n, byte in enumerate(others)}
+
+
+END_OF_LATIN = "\u0250"
+BYTE_LETTERS = byte_letters()
+
+
 class Vocabulary:
     """A tokenizer file's merges, ids, word pattern and special tokens."""
 
@@ -82,9 +93,14 @@ class Vocabulary:
         return found
 
     def words(self, chunk: str) -> list[str]:
-        """The chunk's words, each byte as the letter that stands for it; printable ASCII stands for itself."""
-        if chunk.isascii() and chunk.isprintable():
-            return self.pattern.findall(chunk.lower())
+        """The chunk's words, each byte as the letter that stands for it.
+
+        Printable Latin letters are composed already, and lower-casing and splitting them needs no other tables.
+        """
+        if chunk.isprintable() and max(chunk) < END_OF_LATIN:
+            low = chunk.lower()
+            words = [low] if low.isalpha() else self.pattern.findall(low)
+            return words if low.isascii() else [word.encode().decode("latin-1").translate(BYTE_LETTERS) for word in words]
         return [word for word, _ in self.split(self.normalize(chunk))]
 
     def merge(self, word: str) -> list[int]:
@@ -230,19 +246,16 @@ def mapped(path: str | None, octets: bytes) -> mmap.mmap | bytes:
         return mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
 
 
-def frequent_words(docs: DataFrame, shared: Broadcast, text_col: str, words: int) -> list[str]:
-    """The most frequent words of all texts, ``words`` at most; ``shared`` has the tokenizer file."""
+def frequent_words(docs: DataFrame, shared: Broadcast, text_col: str, words: int) -> set[str]:
+    """The words of the most frequent chunks, ``words`` chunks at most; ``shared`` has the tokenizer file."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, chunks = vocabulary_of(shared.value), Counter()
 
         def flush() -> pa.RecordBatch:
-            found: Counter[str] = Counter()
-            for chunk, n in chunks.items():
-                for word in vocabulary.words(chunk):
-                    found[word] += n
+            batch = pa.RecordBatch.from_arrays([pa.array(chunks.keys(), pa.string()), pa.array(chunks.values(), pa.int64())], ["chunk", "n"])
             chunks.clear()
-            return pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], ["word", "n"])
+            return batch
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -253,11 +266,11 @@ def frequent_words(docs: DataFrame, shared: Broadcast, text_col: str, words: int
             yield flush()
 
     texts = docs.select(F.col(f"`{text_col}`").alias("text")).where("text IS NOT NULL")
-    counted = texts.mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    counted = settle(counted, "word-counts")
-    found = [word for word, _ in most_frequent(counted, "word", "n", words)]
+    counted = settle(texts.mapInArrow(count, "chunk string, n bigint").groupBy("chunk").agg(F.sum("n").alias("n")), "chunk-counts")
+    found = most_frequent(counted, "chunk", "n", words)
     forget(counted)
-    return found
+    vocabulary = vocabulary_of(shared.value)
+    return {word for chunk, _ in found if chunk not in vocabulary.special for word in vocabulary.words(chunk)}
 
 
 @cache
@@ -314,7 +327,7 @@ def encoder_of(name: str, definition: str, path: str | None, octets: bytes) -> E
     return Encoder(vocabulary_of(definition), Transducer(mapped(path, octets)))
 
 
-def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", digest: bool = False, keep_text: bool = True, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
+def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", digest: bool = False, keep_text: bool = True, lexicon_chunks: int = LEXICON_CHUNKS) -> DataFrame:
     """``docs`` with ``n_tokens`` and either ``ids`` (array of int) and ``decoded`` or, with ``digest``, ``ids_sha256``
     (of the decimal ids joined by a space) and ``decoded_sha256`` in place of them.
 
@@ -327,7 +340,7 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", digest:
         definition = file.read()
     spark = docs.sparkSession
     vocabulary, shared = vocabulary_of(definition), spark.sparkContext.broadcast(definition)
-    lexicon = {word.encode(): vocabulary.merge(word) for word in frequent_words(docs, shared, text_col, lexicon_words)}
+    lexicon = {word.encode(): vocabulary.merge(word) for word in frequent_words(docs, shared, text_col, lexicon_chunks)}
     octets, name = compile_transducer(lexicon), uuid.uuid4().hex
     compiled = spark.sparkContext.broadcast((publish(spark, octets), octets))
     new = [T.StructField("n_tokens", T.LongType())]
