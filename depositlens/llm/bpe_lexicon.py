@@ -36,13 +36,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from depositlens.llm.common import forget, free_name, most_frequent, settle
+from depositlens.llm.common import forget, most_frequent, pieces, settle
 from depositlens.sources.shared import fresh_path
 
 LEXICON_CHUNKS = 1 << 18
 FLUSH_WORDS = 1 << 18
-CACHED_CHUNKS = 1 << 19
+CACHED_CHUNKS = 1 << 18
+DOORS = 1 << 22
 SHORT = 24
+PIECE = 4 << 20
 INFORMATION_SEPARATORS = re.compile("[\x1c-\x1f]")
 WHITE_SPACE = re.compile("[^\\S\x1c-\x1f]+")
 
@@ -281,13 +283,15 @@ def vocabulary_of(definition: str) -> Vocabulary:
 class Encoder(dict):
     """Chunk -> (number of tokens, ids joined by a space, tokens joined by a space), filled as chunks are met.
 
-    When it is full it becomes the older half and a new one begins, so that frequent chunks stay known.
+    A chunk is kept from the second time on that it is met. When the table is full it becomes the older half and a new one
+    begins, so that frequent chunks stay known.
     """
 
     def __init__(self, vocabulary: Vocabulary, transducer: Transducer):
         super().__init__()
         self.vocabulary, self.transducer = vocabulary, transducer
         self.older: dict[str, tuple[int, str, str]] = {}
+        self.met = bytearray(DOORS)
 
     def ids(self, chunk: str) -> list[int]:
         vocabulary = self.vocabulary
@@ -304,9 +308,14 @@ class Encoder(dict):
         if entry is None:
             ids = self.ids(chunk)
             entry = len(ids), " ".join(map(str, ids)), " ".join(map(self.vocabulary.tokens.__getitem__, ids))
+            door = hash(chunk) % DOORS
+            if not self.met[door]:
+                self.met[door] = 1
+                return entry
         if len(self) >= CACHED_CHUNKS:
             self.older = dict(self)
             self.clear()
+            self.met = bytearray(DOORS)
         if len(chunk) <= 64:
             self[chunk] = entry
         return entry
@@ -348,24 +357,25 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", digest:
         new += [T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
     else:
         new += [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
-    gone = set() if keep_text else {text_col.lower()}
-    kept = [field for field in docs.schema.fields if field.name.lower() not in {f.name for f in new} | gone]
-    plain = free_name(docs, "text_to_encode")
+    read = [field for field in docs.schema.fields if field.name.lower() not in {f.name for f in new}]
+
+    place = [field.name.lower() for field in read].index(text_col.lower())
+    kept = [n for n in range(len(read)) if keep_text or n != place]
 
     def sha(text: str) -> str:
         return hashlib.sha256(text.encode("utf-8", "replace")).hexdigest()
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(name, shared.value, *compiled.value)
-        for batch in batches:
+        for batch in pieces(batches, read[place].name, PIECE):
             counts, firsts, seconds = [], [], []
-            for text in batch.column(batch.num_columns - 1).to_pylist():
+            for text in batch.column(place).to_pylist():
                 n, ids, tokens = encoder.encode(text or "")
                 counts.append(n)
                 firsts.append(sha(ids) if digest else list(map(int, ids.split())))
                 seconds.append(sha(tokens) if digest else tokens)
             made = [pa.array(counts, pa.int64()), pa.array(firsts, pa.string() if digest else pa.list_(pa.int32())), pa.array(seconds, pa.string())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], [*batch.schema.names[:-1], *(f.name for f in new)])
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *made], [*(read[n].name for n in kept), *(f.name for f in new)])
 
-    ready = docs.select(*(F.col(f"`{field.name}`") for field in kept), F.col(f"`{text_col}`").alias(plain))
-    return ready.mapInArrow(work, T.StructType([*kept, *new]))
+    ready = docs.select(*(F.col(f"`{field.name}`") for field in read))
+    return ready.mapInArrow(work, T.StructType([*(read[n] for n in kept), *new]))

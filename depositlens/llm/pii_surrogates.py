@@ -27,10 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from depositlens.llm.common import pieces
+
 KEY = "depositlens"
 ROUNDS = 6
 CACHED = 1 << 14
 LONGEST = 60
+PIECE = 4 << 20
 
 # Given names by gender and script.
 GIVEN_NAMES = {
@@ -385,11 +388,12 @@ def replace_personal_data(docs: DataFrame, key: str = KEY, text_col: str = "text
     """
     span = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("original", T.StringType()), T.StructField("surrogate", T.StringType())])
     place = [c.lower() for c in docs.columns].index(text_col.lower())
+    name = docs.columns[place]
     arrow_span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("original", pa.string()), ("surrogate", pa.string())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replace = replacer(key)
-        for batch in batches:
+        for batch in pieces(batches, name, PIECE):
             done = [replace(text) for text in batch.column(place).to_pylist()]
             columns = list(batch.columns)
             columns[place] = pa.array([text for text, _, _ in done], pa.string())

@@ -17,22 +17,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from depositlens.llm.common import crc_bucket, free_name
+from depositlens.llm.common import crc_bucket, free_name, pieces
 
 UNKNOWN = "und"
 SAMPLE_TEXTS = 256
 MAX_CONTEXTS = 1 << 15
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 PAD = b"\n\n\n"
+LETTER = regex.compile(r"\p{L}")
 
 
-def octets(text: Column) -> Column:
-    """What is coded: lower-cased text in UTF-8."""
-    return F.lower(text).cast("binary")
+def octets(text: str | None) -> bytes | None:
+    """What is coded: lower-cased text in UTF-8; None for a text without letters."""
+    return text.lower().encode() if text and LETTER.search(text) else None
 
 
 def held_out(key: Column) -> Column:
@@ -54,7 +56,7 @@ def sample_counts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, te
     """(lang, gram, n) over a sample: of each language the text of smallest id hash in each of ``texts`` hash classes."""
     known = docs.select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang")
-    ).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("id")))
+    ).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("id")))
     hashed = F.xxhash64("id")
     chosen = (
         known.groupBy(F.col("lang").alias("of"), F.pmod(hashed, F.lit(texts)).alias("part"))
@@ -63,12 +65,12 @@ def sample_counts(docs: DataFrame, id_col: str, text_col: str, lang_col: str, te
     )
     sample = known.join(
         F.broadcast(chosen), (known["lang"] == chosen["of"]) & known["id"].eqNullSafe(chosen["chosen"]), "left_semi"
-    ).select("lang", octets(F.col("text")).alias("text"))
+    ).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = np.array(batch.column(0).to_pylist(), object)
-            texts = batch.column(1).to_pylist()
+            texts = [octets(text) or b"" for text in batch.column(1).to_pylist()]
             for lang in sorted(set(langs)):
                 grams, counts = _gram_counts([text for text, own in zip(texts, langs, strict=True) if own == lang])
                 yield pa.RecordBatch.from_arrays(
@@ -165,9 +167,9 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample_tex
     )
 
 
-def _judge(model: ContextTrees, texts: list[bytes | None], letters: list[bool | None]) -> tuple[list[str], np.ndarray]:
+def _judge(model: ContextTrees, texts: list[bytes | None]) -> tuple[list[str], np.ndarray]:
     langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-    rows = [i for i, ok in enumerate(letters) if ok] if model.languages else []
+    rows = [i for i, text in enumerate(texts) if text is not None] if model.languages else []
     if rows:
         bits = model.lengths([texts[i] for i in rows])
         best = bits.argmin(1)
@@ -179,21 +181,18 @@ def _judge(model: ContextTrees, texts: list[bytes | None], letters: list[bool |
 
 def with_language(docs: DataFrame, model: ContextTrees, lang: str, score: str, text_col: str = "text") -> DataFrame:
     """``docs`` with two more columns: the language predicted from the text alone, and its score."""
-    names = [free_name(docs, "text_octets"), free_name(docs, "text_letters")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    text = F.col(f"`{text_col}`")
+    place = [column.lower() for column in docs.columns].index(text_col.lower())
+    name = docs.columns[place]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = shared.value
-        for batch in batches:
-            langs, scores = _judge(trees, batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-2], pa.array(langs, pa.string()), pa.array(scores)], [*batch.schema.names[:-2], lang, score]
-            )
+        for batch in pieces(batches, name, CHUNK):
+            langs, scores = _judge(trees, [octets(text) for text in batch.column(place).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores)], [*batch.schema.names, lang, score])
 
-    ready = docs.select("*", octets(text).alias(names[0]), text.rlike(r"\p{L}").alias(names[1]))
     fields = [T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())]
-    return ready.mapInArrow(judge, T.StructType([*docs.schema.fields, *fields]))
+    return docs.mapInArrow(judge, T.StructType([*docs.schema.fields, *fields]))
 
 
 def predict_languages(

@@ -9,6 +9,7 @@ all differ by two bits at most; each is linked to the smallest, so that no link
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
@@ -18,13 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from depositlens.llm.common import forget, free_name, map_arrow, settle
+from depositlens.llm.common import forget, free_name, pieces, settle
 from depositlens.llm.components import components
 
 SHINGLE = 3
 SEED = 42
 MAX_BITS = 2
 COUNT_ROWS = 1 << 16
+PIECE = 4 << 20
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -46,15 +48,16 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 def with_fingerprint(docs: DataFrame, name: str, text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """``docs`` and a long column ``name``: the fingerprint's bits."""
-    plain = free_name(docs, "text_octets")
+    place = [column.lower() for column in docs.columns].index(text_col.lower())
 
-    def mark(batch: pa.RecordBatch) -> pa.RecordBatch:
-        marks = [fingerprint(text, shingle) for text in batch.column(batch.num_columns - 1).to_pylist()]
-        column = pa.array(np.array(marks, np.uint64).view(np.int64))
-        return pa.RecordBatch.from_arrays([*batch.columns[:-1], column], [*batch.schema.names[:-1], name])
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, docs_text, PIECE):
+            marks = [fingerprint(text, shingle) for text in batch.column(place).cast(pa.binary()).to_pylist()]
+            column = pa.array(np.array(marks, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, name])
 
-    octets = docs.withColumn(plain, F.col(f"`{text_col}`").cast("binary"))
-    return map_arrow(octets, mark, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+    docs_text = docs.columns[place]
+    return docs.mapInArrow(mark, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
 
 
 def links(fingerprints: DataFrame) -> DataFrame:
