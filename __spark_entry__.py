@@ -223,21 +223,22 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "untouched_anti": lambda t: targets.untouched(
         _cleansed(t).select("customer_id", "name"), t.contacts(), AS_OF
     ),
+    "duplicate_keys": lambda t: quality.duplicate_keys(t.list_prices(), "sku_name"),
     "usage_cost": lambda t: usage.usage_cost(t.usage(), t.list_prices()),
-    "row_filter": lambda t: access.row_filter(t.customers(), t.branch(), t.entitlements(), USER),
+    "row_filter": lambda t: access.row_filter(t.customers(), t.entitlements(), USER),
     # aggregations
     "customer_count": lambda t: targets.customer_count(_cleansed(t)),
     "segment_counts": lambda t: targets.segment_counts(_cleansed(t)),
-    "branch_avg_deposit": lambda t: targets.branch_avg_deposit(_with_branch(t)),
-    "targets_by_branch": lambda t: targets.count_by_branch(_targets(t, _with_branch(t))),
-    "targets_by_prefecture": lambda t: targets.count_by_prefecture(_targets(t, _with_branch(t))),
+    "branch_avg_deposit": lambda t: targets.branch_avg_deposit(_cleansed(t), t.branch()),
+    "targets_by_branch": lambda t: targets.count_by_branch(_targets(t, _cleansed(t)), t.branch()),
+    "targets_by_prefecture": lambda t: targets.count_by_prefecture(_targets(t, _cleansed(t)), t.branch()),
     "last_contact": lambda t: targets.last_contact(t.contacts()),
     "recent_contacts": lambda t: targets.recently_contacted(t.contacts(), months_back(AS_OF, 6)),
-    "target_deposits_by_branch": lambda t: targets.deposits_by_branch(_targets(t, _with_branch(t))),
+    "target_deposits_by_branch": lambda t: targets.deposits_by_branch(_targets(t, _cleansed(t)), t.branch()),
     "sentiment_counts": lambda t: voice.sentiment_counts(_voice(t)),
     "negative_by_channel": lambda t: voice.negative_by_channel(_voice(t)),
     "branch_segment_heatmap": lambda t: targets.branch_segment_heatmap(
-        _targets(t, _with_branch(t)), SEGMENTS[:4]
+        _targets(t, _cleansed(t)), t.branch(), SEGMENTS[:4]
     ),
     "usage_7d": lambda t: usage.usage_window(t.usage(), AS_OF),
     "usage_by_product": lambda t: usage.usage_by_product(t.usage()),

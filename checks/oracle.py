@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from depositlens import schemas
 from depositlens.functions import lexicon
-from depositlens.functions.masking import PERSONAL_DATA_RULES
 from depositlens.functions.summary import SENTENCE
 from depositlens.sources.adapters import AS_OF, COMMENT_PHRASES
 
@@ -37,7 +36,11 @@ TABLES = {
                CAST(DATE '{AS_OF}' - to_years(CAST(20 + c_custkey % 70 AS INTEGER)) AS DATE) AS birth_date,
                CAST(c_nationkey AS VARCHAR) AS branch_id,
                CAST(c_custkey % 120 AS VARCHAR) AS employee_id,
-               '+1 (' || (200 + c_custkey % 700) || ') 555-' || (1000 + c_custkey % 9000) AS phone_number
+               CASE WHEN c_custkey % 10 = 7
+                    THEN translate('0' || (10 + c_custkey % 90) || '-' || (1000 + c_custkey % 9000) || '-5678',
+                                   '0123456789-', '０１２３４５６７８９－')
+                    ELSE '+1 (' || (200 + c_custkey % 700) || ') 555-' || (1000 + c_custkey % 9000) END
+                   AS phone_number
         FROM customer""",
     "branch": """
         SELECT CAST(n_nationkey AS VARCHAR) AS branch_id, n_name AS branch_name,
@@ -67,8 +70,13 @@ TABLES = {
                CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_linestatus END AS cost_center
         FROM lineitem""",
     "list_prices": """
-        SELECT 'SKU_' || p_partkey AS sku_name, CAST(p_retailprice AS DECIMAL(12,2)) AS price
-        FROM part""",
+        SELECT CASE WHEN p_partkey % 11 = 5 THEN 'RETIRED_' ELSE 'SKU_' END || p_partkey AS sku_name,
+               CAST(p_retailprice AS DECIMAL(12,2)) AS price
+        FROM part
+        UNION ALL
+        SELECT CASE WHEN p_partkey % 11 = 5 THEN 'RETIRED_' ELSE 'SKU_' END || p_partkey,
+               CAST(CAST(p_retailprice AS DECIMAL(12,2)) / 2 AS DECIMAL(12,2))
+        FROM part WHERE p_partkey % 7 = 0""",
     "runs": """
         SELECT event_id AS run_id, 'task_' || (user_id % 4) AS task,
                CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
@@ -99,15 +107,25 @@ _NEEDS = {
 }
 
 
-def _any(terms) -> str:
-    return f"regexp_matches(voice_text, {_text('|'.join(terms))})"
+def _negated(terms) -> str:
+    listed = "|".join(terms)
+    return f"[不非未無]({listed})|({listed})[^。、！？\\n]{{0,4}}(ない|なく|なか|ません|とは言え|とはいえ)"
 
 
+def _said(terms, opposite) -> str:
+    """One side's terms without a negation, or the other side's with one."""
+    rest = f"regexp_replace(voice_text, {_text(_negated(terms))}, '', 'g')"
+    plain = f"regexp_matches({rest}, {_text('|'.join(terms))})"
+    return f"({plain} OR regexp_matches(voice_text, {_text(_negated(opposite))}))"
+
+
+_GOOD = _said(lexicon.POSITIVE_TERMS, lexicon.NEGATIVE_TERMS)
+_BAD = _said(lexicon.NEGATIVE_TERMS, lexicon.POSITIVE_TERMS)
 TABLES["voice_silver"] = f"""
         SELECT *, CASE WHEN voice_text IS NULL THEN NULL
-                       WHEN {_any(lexicon.POSITIVE_TERMS)} AND {_any(lexicon.NEGATIVE_TERMS)} THEN 'mixed'
-                       WHEN {_any(lexicon.POSITIVE_TERMS)} THEN 'positive'
-                       WHEN {_any(lexicon.NEGATIVE_TERMS)} THEN 'negative'
+                       WHEN {_GOOD} AND {_BAD} THEN 'mixed'
+                       WHEN {_GOOD} THEN 'positive'
+                       WHEN {_BAD} THEN 'negative'
                        ELSE 'neutral' END AS sentiment
         FROM customer_voice"""
 
@@ -223,10 +241,26 @@ def _voice_classify() -> str:
     )
 
 
+# The kinds of personal data, on their own from the library's rules.
+_MASKED = (
+    (r"[[:alnum:]._%+-]+@[[:alnum:]-]+(\.[[:alnum:]-]+)+", "[EMAIL]"),
+    (r'"?(?i:token|secret|password|api_key)"? ?[:=] ?"[^"]*"', "[SECRET]"),
+    (r"\d{13,}|\d{4}([ -]\d{4}){3}", "[CARD]"),
+    (
+        r"\+[\d０-９]{1,3}[ －-]?([(（][\d０-９]{1,4}[)）]|[\d０-９]{1,4})([ －-]?[\d０-９]{2,4}){2,3}"
+        r"|[(（][\d０-９]{2,4}[)）][ －-]?[\d０-９]{2,4}[ －-][\d０-９]{3,4}"
+        r"|[0０][\d０-９]{1,4}[－-][\d０-９]{1,4}[－-][\d０-９]{4}"
+        r"|[\d０-９]{3}[－-][\d０-９]{3}[－-][\d０-９]{4}|[0０][\d０-９]{9,10}",
+        "[PHONE]",
+    ),
+    (r"\d{1,3}(\.\d{1,3}){3}", "[IP]"),
+)
+
+
 def _text_mask() -> str:
     masked = "text"
-    for rule in PERSONAL_DATA_RULES:
-        masked = f"regexp_replace({masked}, {_text(rule.pattern)}, {_text(rule.replacement)}, 'g')"
+    for pattern, replacement in _MASKED:
+        masked = f"regexp_replace({masked}, {_text(pattern)}, {_text(replacement)}, 'g')"
     return f"SELECT doc_id, {masked} AS text FROM documents"
 
 
@@ -353,10 +387,16 @@ ORACLE: dict[str, str] = {
         "silver",
         "last_contacts",
     ),
+    "duplicate_keys": _with(
+        """SELECT sku_name, count(*) AS row_count FROM list_prices GROUP BY sku_name HAVING count(*) > 1""",
+        "list_prices",
+    ),
     "usage_cost": _with(
         """SELECT u.sku_name, CAST(sum(usage_quantity) AS DOUBLE) AS total_dbus,
                   CAST(sum(usage_quantity * price) AS DOUBLE) AS cost
-           FROM usage u JOIN list_prices p ON u.sku_name = p.sku_name GROUP BY u.sku_name""",
+           FROM usage u LEFT JOIN (SELECT sku_name, max(price) AS price FROM list_prices GROUP BY sku_name) p
+                ON u.sku_name = p.sku_name
+           GROUP BY u.sku_name""",
         "usage",
         "list_prices",
     ),
@@ -415,8 +455,11 @@ ORACLE: dict[str, str] = {
     "cost_by_tag": _with(
         """SELECT coalesce(cost_center, 'untagged') AS cost_center,
                   CAST(sum(usage_quantity) AS DOUBLE) AS total_dbus,
+                  CAST(coalesce(sum(CASE WHEN price IS NULL THEN usage_quantity END), 0) AS DOUBLE) AS unpriced_dbus,
                   CAST(sum(usage_quantity * price) AS DOUBLE) AS cost
-           FROM usage u JOIN list_prices p ON u.sku_name = p.sku_name GROUP BY ALL""",
+           FROM usage u LEFT JOIN (SELECT sku_name, max(price) AS price FROM list_prices GROUP BY sku_name) p
+                ON u.sku_name = p.sku_name
+           GROUP BY ALL""",
         "usage",
         "list_prices",
     ),
@@ -456,15 +499,15 @@ ORACLE: dict[str, str] = {
         "last_contacts",
     ),
     "phone_mask": _with(
-        "SELECT customer_id, regexp_replace(phone_number, '[0-9]', '*', 'g') AS phone_number FROM customers",
+        "SELECT customer_id, regexp_replace(phone_number, '[0-9０-９]', '*', 'g') AS phone_number FROM customers",
         "customers",
     ),
     "group_gated_mask": _with(
         """SELECT customer_id,
                   CASE WHEN EXISTS (SELECT 1 FROM supplier WHERE s_suppkey % 40 = 1 AND s_suppkey % 10 = 1)
-                       THEN phone_number ELSE regexp_replace(phone_number, '[0-9]', '*', 'g') END AS phone_member,
+                       THEN phone_number ELSE regexp_replace(phone_number, '[0-9０-９]', '*', 'g') END AS phone_member,
                   CASE WHEN EXISTS (SELECT 1 FROM supplier WHERE s_suppkey % 40 = 2 AND s_suppkey % 10 = 1)
-                       THEN phone_number ELSE regexp_replace(phone_number, '[0-9]', '*', 'g') END AS phone_other
+                       THEN phone_number ELSE regexp_replace(phone_number, '[0-9０-９]', '*', 'g') END AS phone_other
            FROM customers""",
         "customers",
     ),

@@ -5,6 +5,7 @@ All of it is one expression per row: no shuffle, whatever the size or the skew o
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -14,21 +15,25 @@ from pyspark.sql import functions as F
 # The label set.
 POSITIVE, NEGATIVE, NEUTRAL, MIXED = "positive", "negative", "neutral", "mixed"
 
+# Common words of praise and of complaint; a stem stands for all its forms.
 POSITIVE_TERMS = (
-    "親切", "丁寧", "安心", "便利", "助かり", "感謝", "ありがとう",
-    "スムーズ", "信頼して", "理解してくれ", "分かりやす", "満足",
+    "嬉し", "楽し", "快適", "素晴らし", "満足", "安心", "便利", "親切", "丁寧", "感謝", "助か",
+    "信頼", "迅速", "優れ", "見やす", "使いやす", "良い", "良か", "良く", "納得", "最高", "好感",
 )
 NEGATIVE_TERMS = (
-    "待たされ", "待ち時間は長", "つながらず", "分かりにく", "不信", "曖昧", "面倒",
-    "押し売り", "合っておらず", "困り", "改善してほし", "二度と", "不満",
+    "不便", "不満", "不安", "残念", "遅い", "遅く", "遅か", "悪い", "悪く", "悪か", "困", "怒", "面倒", "失礼",
+    "最悪", "苦痛", "心配", "複雑", "間違", "迷惑", "嫌", "腹が立", "待たされ", "狭", "雑な", "使いにく", "見にく",
 )
+# What turns a term into its opposite: before it, or up to four characters after it in the same clause.
+NEGATION_BEFORE = "[不非未無]"
+NEGATION_AFTER = "[^。、！？\\n]{0,4}(?:ない|なく|なか|ません|とは言え|とはいえ)"
 
 # Kinds of comment, by substrings: Japanese has no spaces to split on.
 COMMENT_CATEGORIES = {
-    "app": ("アプリ", "ログイン", "画面", "システム"),
-    "staff": ("親切", "丁寧", "担当", "窓口", "行員"),
-    "waiting": ("待", "つなが"),
-    "procedure": ("手続", "変更", "相続", "振込"),
+    "app": ("アプリ", "ログイン", "サイト", "パスワード"),
+    "staff": ("職員", "受付", "スタッフ", "係員"),
+    "waiting": ("待ち", "待た", "行列", "混雑"),
+    "procedure": ("手続", "書類", "申込", "振込"),
 }
 
 # Frequent short words of four languages, for texts with spaces.
@@ -42,8 +47,13 @@ LANGUAGE_WORDS = {
 WORD_SEPARATOR = r"[^\p{L}]+"
 
 
-def contains_any(text: Column, terms: Sequence[str]) -> Column:
-    return reduce(lambda left, right: left | right, (text.contains(term) for term in terms), F.lit(False))
+def term_pattern(terms: Sequence[str]) -> str:
+    return "(?:" + "|".join(re.escape(term) for term in terms) + ")"
+
+
+def negated_pattern(terms: Sequence[str]) -> str:
+    """A term with a negation."""
+    return f"{NEGATION_BEFORE}{term_pattern(terms)}|{term_pattern(terms)}{NEGATION_AFTER}"
 
 
 def sentiment(
@@ -51,8 +61,19 @@ def sentiment(
     positive: Sequence[str] = POSITIVE_TERMS,
     negative: Sequence[str] = NEGATIVE_TERMS,
 ) -> Column:
-    """positive, negative, mixed (both occur) or neutral (neither does); NULL for NULL text."""
-    good, bad = contains_any(text, positive), contains_any(text, negative)
+    """positive, negative, mixed (both occur) or neutral (neither does); NULL for NULL text.
+
+    A negated term counts for the other side.
+    """
+
+    def plain(terms: Sequence[str]) -> Column:
+        return F.regexp_replace(text, negated_pattern(terms), "").rlike(term_pattern(terms))
+
+    def negated(terms: Sequence[str]) -> Column:
+        return text.rlike(negated_pattern(terms))
+
+    good = plain(positive) | negated(negative)
+    bad = plain(negative) | negated(positive)
     return (
         F.when(text.isNull(), F.lit(None).cast("string"))
         .when(good, F.when(bad, F.lit(MIXED)).otherwise(F.lit(POSITIVE)))

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 
 def mask_phone(phone: Column) -> Column:
-    """Every digit becomes ``*``; the punctuation stays. NULL stays NULL."""
-    return F.translate(phone, "0123456789", "*" * 10)
+    """Every decimal digit of any script becomes ``*``; the punctuation stays. NULL stays NULL."""
+    return F.regexp_replace(phone, r"\p{Nd}", "*")
 
 
 @dataclass(frozen=True)
@@ -26,12 +26,22 @@ class MaskRule:
     needs: str
 
 
+_D = "[0-9０-９]"
+_S = "[ －-]"
+_PHONES = (
+    rf"\+{_D}{{1,3}}{_S}?(?:[(（]{_D}{{1,4}}[)）]|{_D}{{1,4}})(?:{_S}?{_D}{{2,4}}){{2,3}}",
+    rf"[(（]{_D}{{2,4}}[)）]{_S}?{_D}{{2,4}}{_S}{_D}{{3,4}}",
+    rf"[0０]{_D}{{1,4}}[－-]{_D}{{1,4}}[－-]{_D}{{4}}",
+    rf"{_D}{{3}}[－-]{_D}{{3}}[－-]{_D}{{4}}",
+    rf"[0０]{_D}{{9,10}}",
+)
+
 # Applied in this order: a later rule must not cut up what an earlier one covers whole.
 PERSONAL_DATA_RULES = (
     MaskRule(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "[EMAIL]", "@"),
-    MaskRule(r'(token|secret|password|api_key) ?= ?"[^"]*"', "[SECRET]", '"'),
-    MaskRule(r"[0-9]{4}([ -]?[0-9]{4}){3}", "[CARD]", ""),
-    MaskRule(r"\+?[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}|0[0-9]{1,4}-[0-9]{1,4}-[0-9]{4}", "[PHONE]", "-"),
+    MaskRule(r'"?(?i:token|secret|password|api_key)"? ?[:=] ?"[^"]*"', "[SECRET]", '"'),
+    MaskRule(r"[0-9]{13,}|[0-9]{4}(?:[ -][0-9]{4}){3}", "[CARD]", ""),
+    MaskRule("|".join(_PHONES), "[PHONE]", ""),
     MaskRule(r"[0-9]{1,3}(\.[0-9]{1,3}){3}", "[IP]", "."),
 )
 

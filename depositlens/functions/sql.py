@@ -19,12 +19,18 @@ def _literal(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _any(text: str, terms: Sequence[str]) -> str:
-    return "(" + " OR ".join(f"contains({text}, {_literal(term)})" for term in terms) + ")"
+def _plain(terms: Sequence[str]) -> str:
+    rest = f"regexp_replace(txt, {_literal(lexicon.negated_pattern(terms))}, '')"
+    return f"regexp_like({rest}, {_literal(lexicon.term_pattern(terms))})"
+
+
+def _negated(terms: Sequence[str]) -> str:
+    return f"regexp_like(txt, {_literal(lexicon.negated_pattern(terms))})"
 
 
 def _sentiment() -> str:
-    good, bad = _any("txt", lexicon.POSITIVE_TERMS), _any("txt", lexicon.NEGATIVE_TERMS)
+    good = f"({_plain(lexicon.POSITIVE_TERMS)} OR {_negated(lexicon.NEGATIVE_TERMS)})"
+    bad = f"({_plain(lexicon.NEGATIVE_TERMS)} OR {_negated(lexicon.POSITIVE_TERMS)})"
     return (
         f"CASE WHEN txt IS NULL THEN NULL WHEN {good} AND {bad} THEN '{lexicon.MIXED}'"
         f" WHEN {good} THEN '{lexicon.POSITIVE}' WHEN {bad} THEN '{lexicon.NEGATIVE}'"
@@ -44,7 +50,7 @@ def register(spark: SparkSession) -> None:
     bodies = {
         "text_sentiment": _sentiment(),
         "text_mask": _mask(),
-        "phone_mask": "translate(txt, '0123456789', '**********')",
+        "phone_mask": "regexp_replace(txt, '\\\\p{Nd}', '*')",
     }
     for name, body in bodies.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(txt STRING) RETURNS STRING RETURN {body}")

@@ -15,30 +15,16 @@ def _asks(user: str | None) -> Column:
     return F.col("user") == (F.current_user() if user is None else F.lit(user))
 
 
-# Parts that the rows of one branch are spread over when the join has to shuffle.
-SALTS = 32
-
-
-def row_filter(
-    df: DataFrame,
-    branch: DataFrame,
-    entitlements: DataFrame,
-    user: str | None = None,
-    key: str = "branch_id",
-    spread_by: str = "customer_id",
-) -> DataFrame:
+def row_filter(df: DataFrame, entitlements: DataFrame, user: str | None = None, key: str = "branch_id") -> DataFrame:
     """Rows of the branches the user may see. Double entitlements do not double rows.
 
-    The permitted branches are picked out of the branch table, so Spark knows them to be no larger than it
-    and broadcasts them while it is small, however long the entitlement table is. Beyond that the rows are
-    shuffled by branch and salt, so that a branch with a third of the rows is the work of many tasks.
-    ``spread_by`` is a column with many values per branch.
+    A semi join straight to the user's entitlement rows. Spark broadcasts them while their estimated size is small: keep a
+    long entitlement table partitioned by user, so that the estimate is that user's share. Beyond that both sides are plain
+    exchanges by branch, and adaptive execution splits a branch with a third of the rows into as many tasks as its
+    size asks for.
     """
-    granted = entitlements.filter(_asks(user)).select(key).distinct()
-    permitted = branch.select(key).join(granted, key, "left_semi")
-    salted = permitted.select(key, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
-    rows = df.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
-    return rows.join(salted, [key, "__salt"], "left_semi").select(*df.columns)
+    granted = entitlements.filter(_asks(user)).select(key)
+    return df.join(granted, key, "left_semi").select(*df.columns)
 
 
 def is_member(memberships: DataFrame, user: str | None, group: str) -> Column:

@@ -22,6 +22,19 @@ def row_reconcile(before: DataFrame, after: DataFrame) -> DataFrame:
     return counts.withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
 
 
+def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
+    """Keys that several rows have, and how many; a lookup table should have none."""
+    return df.groupBy(*keys).agg(F.count("*").alias("row_count")).filter("row_count > 1")
+
+
+def require_unique(df: DataFrame, name: str, *keys: str) -> None:
+    """Raise an error that names some of the repeated keys of a lookup table."""
+    repeated = duplicate_keys(df, *keys).limit(5).collect()
+    if repeated:
+        shown = ", ".join(str(tuple(row)[: len(keys)]) for row in repeated)
+        raise ValueError(f"{name} has several rows for {', '.join(keys)}: {shown}")
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """Type and missing values of every column, in one pass."""
     stats = df.agg(

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depositlens.functions.dates import AsOf, months_back
-from depositlens.sources.tables import CONTACT_MONTH
 
 # The limits the business question names.
 HIGH_DEPOSIT_MANYEN = 1000
@@ -43,23 +42,29 @@ def zero_asset(customers: DataFrame, null_is_zero: bool = False) -> DataFrame:
 # --- contacts -----------------------------------------------------------------------------------------
 
 
-def recently_contacted(contacts: DataFrame, cutoff: Column) -> DataFrame:
+def recently_contacted(contacts: DataFrame, cutoff: Column, month_column: str | None = None) -> DataFrame:
     """Ids of customers with a contact on or after the cutoff, once each.
 
     Duplicates go before the shuffle (partial aggregation), so one customer with a third of all contacts
-    costs one row per map task. On a table partitioned by month only the months from the cutoff are read.
+    costs one row per map task. ``month_column`` names the partition column of a table partitioned by the month
+    of the contact date: only the months from the cutoff are then read.
     """
     recent = contacts.filter((F.col("contact_date") >= cutoff) & F.col("customer_id").isNotNull())
-    if CONTACT_MONTH in contacts.columns:
-        recent = recent.filter(F.col(CONTACT_MONTH) >= F.trunc(cutoff, "month"))
+    if month_column:
+        recent = recent.filter(F.col(month_column) >= F.trunc(cutoff, "month"))
     return recent.select("customer_id").distinct()
 
 
 def untouched(
-    customers: DataFrame, contacts: DataFrame, as_of: AsOf = None, months: int = UNTOUCHED_MONTHS
+    customers: DataFrame,
+    contacts: DataFrame,
+    as_of: AsOf = None,
+    months: int = UNTOUCHED_MONTHS,
+    month_column: str | None = None,
 ) -> DataFrame:
     """Customers without a contact in the last months. Those never contacted are untouched too."""
-    return customers.join(recently_contacted(contacts, months_back(as_of, months)), "customer_id", "left_anti")
+    recent = recently_contacted(contacts, months_back(as_of, months), month_column)
+    return customers.join(recent, "customer_id", "left_anti")
 
 
 def last_contact(contacts: DataFrame) -> DataFrame:
@@ -95,10 +100,11 @@ def target_customers(
     threshold: int = HIGH_DEPOSIT_MANYEN,
     months: int = UNTOUCHED_MONTHS,
     null_is_zero: bool = False,
+    month_column: str | None = None,
 ) -> DataFrame:
     """All three conditions. The two cheap ones come first and shrink the input of the join."""
     candidates = zero_asset(high_deposit(customers, threshold), null_is_zero)
-    return untouched(candidates, contacts, as_of, months)
+    return untouched(candidates, contacts, as_of, months, month_column)
 
 
 def target_list(targets: DataFrame) -> DataFrame:
@@ -112,12 +118,13 @@ def target_follow_up(
     as_of: AsOf = None,
     threshold: int = HIGH_DEPOSIT_MANYEN,
     months: int = UNTOUCHED_MONTHS,
+    null_is_zero: bool = False,
 ) -> DataFrame:
     """The target list with each customer's last contact.
 
     The date of the last contact also tells who is untouched, so contacts are read and shuffled once.
     """
-    candidates = zero_asset(high_deposit(customers, threshold))
+    candidates = zero_asset(high_deposit(customers, threshold), null_is_zero)
     last = F.col("last_contact_date")
     untouched_ones = last.isNull() | (last < months_back(as_of, months))
     return target_list(customer_last_contact(candidates, contacts).filter(untouched_ones))
@@ -180,48 +187,51 @@ def segment_counts(customers: DataFrame) -> DataFrame:
     return customers.groupBy("segment").agg(F.count("*").alias("customers"))
 
 
-def branch_avg_deposit(customers: DataFrame) -> DataFrame:
+def _by_branch(rows: DataFrame, branch: DataFrame, *columns: Column) -> DataFrame:
+    """Aggregates per branch with its name. Aggregated by id before the join: a branch with a third of the rows leaves
+    each map task as one row, and only one row per branch meets the branch table. An unknown branch has no name."""
+    totals = rows.groupBy("branch_id").agg(*columns)
+    named = totals.join(branch.select(*BRANCH_KEY), "branch_id", "left")
+    return named.select(*BRANCH_KEY, *(c for c in totals.columns if c != "branch_id"))
+
+
+def branch_avg_deposit(customers: DataFrame, branch: DataFrame) -> DataFrame:
     """Mean deposit per branch, largest first; summed exactly, divided once."""
     total = F.sum(DEPOSIT).cast("double") / F.count(DEPOSIT)
-    return (
-        customers.groupBy(*BRANCH_KEY)
-        .agg(F.count("*").alias("customers"), total.alias("avg_deposit_manyen"))
-        .orderBy(F.desc("avg_deposit_manyen"), *BRANCH_KEY)
-    )
+    means = _by_branch(customers, branch, F.count("*").alias("customers"), total.alias("avg_deposit_manyen"))
+    return means.orderBy(F.desc("avg_deposit_manyen"), *BRANCH_KEY)
 
 
-def count_by_branch(targets: DataFrame) -> DataFrame:
-    return (
-        targets.groupBy(*BRANCH_KEY)
-        .agg(F.count("*").alias("targets"))
-        .orderBy(F.desc("targets"), *BRANCH_KEY)
-    )
+def count_by_branch(targets: DataFrame, branch: DataFrame) -> DataFrame:
+    return _by_branch(targets, branch, F.count("*").alias("targets")).orderBy(F.desc("targets"), *BRANCH_KEY)
 
 
-def count_by_prefecture(targets: DataFrame) -> DataFrame:
+def count_by_prefecture(targets: DataFrame, branch: DataFrame) -> DataFrame:
+    """Counted per branch first, so one row per branch is joined and counted again."""
+    counts = targets.groupBy("branch_id").agg(F.count("*").alias("targets"))
     return (
-        targets.groupBy("prefecture")
-        .agg(F.count("*").alias("targets"))
+        counts.join(branch.select("branch_id", "prefecture"), "branch_id", "left")
+        .groupBy("prefecture")
+        .agg(F.sum("targets").alias("targets"))
         .orderBy(F.desc("targets"), "prefecture")
     )
 
 
-def deposits_by_branch(targets: DataFrame) -> DataFrame:
-    return (
-        targets.groupBy(*BRANCH_KEY)
-        .agg(F.sum(DEPOSIT).alias("total_deposit_manyen"))
-        .orderBy(F.desc("total_deposit_manyen"), *BRANCH_KEY)
-    )
+def deposits_by_branch(targets: DataFrame, branch: DataFrame) -> DataFrame:
+    total = F.sum(DEPOSIT).alias("total_deposit_manyen")
+    return _by_branch(targets, branch, total).orderBy(F.desc("total_deposit_manyen"), *BRANCH_KEY)
 
 
-def branch_segment_heatmap(targets: DataFrame, segments: Sequence[str]) -> DataFrame:
+def branch_segment_heatmap(targets: DataFrame, branch: DataFrame, segments: Sequence[str]) -> DataFrame:
     """Targets per branch (rows) and segment (columns).
 
     One conditional count per segment needs a single aggregation. Segments not asked for, and NULL, are
     counted under ``other_segments`` so that every target is in the map.
     """
     segment = F.coalesce("segment", F.lit(""))
-    return targets.groupBy(*BRANCH_KEY).agg(
+    return _by_branch(
+        targets,
+        branch,
         *(F.count_if(segment == name).alias(name) for name in segments),
         F.count_if(~segment.isin(*segments)).alias("other_segments"),
     )

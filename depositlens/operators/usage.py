@@ -29,10 +29,16 @@ def usage_window(usage: DataFrame, as_of: AsOf = None, days: int = USAGE_WINDOW_
     )
 
 
-def usage_cost(usage: DataFrame, prices: DataFrame) -> DataFrame:
-    """Usage times list price per product; products without a price drop out."""
+def one_price(prices: DataFrame, valid_from: str | None = None) -> DataFrame:
+    """One list price per product: the latest by the column ``valid_from``, or without one the highest."""
+    chosen = F.max_by("price", valid_from) if valid_from else F.max("price")
+    return prices.groupBy("sku_name").agg(chosen.alias("price"))
+
+
+def usage_cost(usage: DataFrame, prices: DataFrame, valid_from: str | None = None) -> DataFrame:
+    """Usage times list price per product; products without a price stay, with NULL cost."""
     totals = usage.groupBy("sku_name").agg(F.sum("usage_quantity").cast(_TOTAL).alias("total_dbus"))
-    return totals.join(prices.select("sku_name", "price"), "sku_name").select(
+    return totals.join(one_price(prices, valid_from), "sku_name", "left").select(
         "sku_name", "total_dbus", (F.col("total_dbus") * F.col("price")).alias("cost")
     )
 
@@ -41,8 +47,11 @@ def usage_by_product(usage: DataFrame) -> DataFrame:
     return usage.groupBy("product").agg(F.sum("usage_quantity").alias("total_dbus"))
 
 
-def cost_by_tag(usage: DataFrame, prices: DataFrame, tag: str) -> DataFrame:
-    """Cost per value of a tag; usage without the tag is gathered under one label."""
+def cost_by_tag(usage: DataFrame, prices: DataFrame, tag: str, valid_from: str | None = None) -> DataFrame:
+    """Cost per value of a tag; usage without the tag is gathered under one label.
+
+    Usage without a price counts in the total and, by itself, as ``unpriced_dbus``.
+    """
     totals = (
         usage.select(
             F.coalesce(F.element_at("tags", tag), F.lit(UNTAGGED)).alias(tag), "sku_name", "usage_quantity"
@@ -50,9 +59,11 @@ def cost_by_tag(usage: DataFrame, prices: DataFrame, tag: str) -> DataFrame:
         .groupBy("sku_name", tag)
         .agg(F.sum("usage_quantity").cast(_TOTAL).alias("total_dbus"))
     )
-    priced = totals.join(prices.select("sku_name", "price"), "sku_name")
+    priced = totals.join(one_price(prices, valid_from), "sku_name", "left")
+    unpriced = F.when(F.col("price").isNull(), F.col("total_dbus"))
     return priced.groupBy(tag).agg(
         F.sum("total_dbus").alias("total_dbus"),
+        F.coalesce(F.sum(unpriced), F.lit(0)).alias("unpriced_dbus"),
         F.sum(F.col("total_dbus") * F.col("price")).alias("cost"),
     )
 

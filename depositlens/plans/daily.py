@@ -13,6 +13,8 @@ from pyspark.sql import SparkSession
 from depositlens.functions.dates import AsOf
 from depositlens.plans.prepare import prepare_silver
 from depositlens.plans.refresh import refresh_gold
+from depositlens.session import CLUSTER_CONF
+from depositlens.sources.namespace import create_schema
 from depositlens.sources.tables import ingest_bronze
 
 
@@ -23,7 +25,8 @@ def run_daily(
     landing: str | None = None,
     as_of: AsOf = None,
 ) -> list[str]:
-    """Ingest (if there is a landing folder), prepare, refresh; each step only after the one before."""
+    """Create the schema unless it is there, ingest (if there is a landing folder), prepare, refresh; each step only after the one before."""
+    create_schema(spark, database, "customers to call")
     bronze = ingest_bronze(spark, landing, database) if landing else []
     return [*bronze, *prepare_silver(spark, database), *refresh_gold(spark, database, segments, as_of)]
 
@@ -35,7 +38,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--landing", help="folder with one folder of CSV files per table")
     parser.add_argument("--as-of", help="date that plays today, as YYYY-MM-DD")
     chosen = parser.parse_args(arguments)
-    spark = SparkSession.builder.appName("depositlens daily").getOrCreate()
+    own = SparkSession.builder.appName("depositlens daily").config(map=CLUSTER_CONF)
+    spark = SparkSession.getActiveSession() or own.getOrCreate()  # a session that is there keeps its settings
     for name in run_daily(spark, chosen.database, chosen.segments, chosen.landing, chosen.as_of):
         print(f"{chosen.database}.{name}")
 

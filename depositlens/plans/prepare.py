@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from depositlens.operators.quality import require_unique
 from depositlens.operators.silver import customers_silver
 from depositlens.operators.voice import voice_sentiment
 from depositlens.sources.tables import load_table, save_all, save_table
@@ -13,7 +14,7 @@ VOICE_SILVER = "customer_voice_silver"
 
 
 def prepare_silver(spark: SparkSession, database: str) -> list[str]:
-    """Regenerate the Silver tables; returns their names.
+    """Regenerate the Silver tables; returns their names. A lookup table with a repeated key is an error.
 
     Neither needs a shuffle while the lookup tables are small: rows go from scan to file in one stage.
     """
@@ -21,6 +22,8 @@ def prepare_silver(spark: SparkSession, database: str) -> list[str]:
         name: load_table(spark, database, f"{name}_bronze")
         for name in ("customers", "branch", "employee", "customer_voice")
     }
+    require_unique(bronze["branch"], "branch", "branch_id")
+    require_unique(bronze["employee"], "employee", "employee_id")
     customers = customers_silver(bronze["customers"], bronze["branch"], bronze["employee"])
     comments = voice_sentiment(bronze["customer_voice"])
     save_all(

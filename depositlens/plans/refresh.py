@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from depositlens.functions.dates import AsOf
 from depositlens.operators import targets as t
 from depositlens.plans.prepare import CUSTOMERS_SILVER
-from depositlens.sources.tables import load_table, save_all, save_table
+from depositlens.sources.tables import CONTACT_MONTH, load_table, save_all, save_table
 
 TARGETS = "target_list"
 DATASETS = (TARGETS, "target_kpis", "targets_by_branch", "target_deposits_by_branch", "branch_segment_heatmap")
@@ -27,14 +27,16 @@ def refresh_gold(spark: SparkSession, database: str, segments: Sequence[str], as
     """
     silver = load_table(spark, database, CUSTOMERS_SILVER)
     contacts = load_table(spark, database, "contacts_bronze")
-    save_table(t.target_list(t.target_customers(silver, contacts, as_of)), database, TARGETS)
+    branch = load_table(spark, database, "branch_bronze")
+    found = t.target_customers(silver, contacts, as_of, month_column=CONTACT_MONTH)
+    save_table(found, database, TARGETS)  # unsorted: a table has no order, sort with target_list when showing it
 
     targets = load_table(spark, database, TARGETS)
     datasets = {
         "target_kpis": t.target_kpis(targets),
-        "targets_by_branch": t.count_by_branch(targets),
-        "target_deposits_by_branch": t.deposits_by_branch(targets),
-        "branch_segment_heatmap": t.branch_segment_heatmap(targets, segments),
+        "targets_by_branch": t.count_by_branch(targets, branch),
+        "target_deposits_by_branch": t.deposits_by_branch(targets, branch),
+        "branch_segment_heatmap": t.branch_segment_heatmap(targets, branch, segments),
     }
     save_all(spark, [partial(save_table, df, database, name) for name, df in datasets.items()])
     return list(DATASETS)

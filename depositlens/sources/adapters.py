@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depositlens import schemas
-from depositlens.sources.tables import spread_scan
 
 # The day of the last order plays today.
 AS_OF = "2001-08-01"
@@ -34,13 +33,15 @@ RAW_SCHEMAS = {
 }
 
 COMMENT_PHRASES = (
-    "窓口の方が親切で、説明が丁寧でした。",
-    "電話がつながらず、長く待たされました。",
-    "住所変更の手続きをしました。",
-    "アプリは便利ですが、画面が分かりにくいです。",
-    '"安心"できる提案で助かりました。\n感謝しています。',
-    "手数料の話が曖昧で、不信感が残り、二度と相談したくありません。",
-    "担当の方の訪問日の連絡を受け、相続の書類を出しました。",
+    "新しい店内は快適で、職員の案内も迅速でした。",
+    "駐車場が狭くて残念です。",
+    "通帳を繰り越しました。",
+    "サイトは見やすいですが、入力が複雑です。",
+    "入口の階段は不便です。\n手すりがあると嬉しいです。",
+    "\"迅速\"とは言えません。書類の間違いもありました。",
+    "受付の対応に失礼はありませんでした。",
+    "次のセミナーを期待しています。",
+    "ATMの表示は見やすくないです。",
 )
 
 
@@ -64,9 +65,16 @@ class Tables:
             F.add_months(F.lit(AS_OF).cast("date"), (-12 * (20 + key % 70)).cast("int")).alias("birth_date"),
             F.col("c_nationkey").cast("string").alias("branch_id"),
             (key % 120).cast("string").alias("employee_id"),
-            F.concat(
-                F.lit("+1 ("), 200 + key % 700, F.lit(") 555-"), 1000 + key % 9000
-            ).alias("phone_number"),
+            F.when(
+                key % 10 == 7,
+                F.translate(
+                    F.concat(F.lit("0"), 10 + key % 90, F.lit("-"), 1000 + key % 9000, F.lit("-5678")),
+                    "0123456789-",
+                    "０１２３４５６７８９－",
+                ),
+            )
+            .otherwise(F.concat(F.lit("+1 ("), 200 + key % 700, F.lit(") 555-"), 1000 + key % 9000))
+            .alias("phone_number"),
         )
 
     def branch(self) -> DataFrame:
@@ -120,10 +128,14 @@ class Tables:
         )
 
     def list_prices(self) -> DataFrame:
-        return self.raw("part").select(
-            F.concat(F.lit("SKU_"), F.col("p_partkey")).alias("sku_name"),
-            F.col("p_retailprice").cast(schemas.PRICE).alias("price"),
+        """Every eleventh part is listed under another name only, every seventh twice, the second time at half price."""
+        key = F.col("p_partkey")
+        prefix = F.when(key % 11 == 5, "RETIRED_").otherwise("SKU_")
+        prices = self.raw("part").select(
+            key, F.concat(prefix, key).alias("sku_name"), F.col("p_retailprice").cast(schemas.PRICE).alias("price")
         )
+        again = prices.filter(key % 7 == 0).withColumn("price", (F.col("price") / 2).cast(schemas.PRICE))
+        return prices.union(again).drop("p_partkey")
 
     def runs(self) -> DataFrame:
         seconds = F.col("value").cast("decimal(12,6)")
@@ -156,4 +168,4 @@ class Tables:
         )
 
     def documents(self) -> DataFrame:
-        return spread_scan(self.raw("documents").select("doc_id", "text"), "doc_id")
+        return self.raw("documents").select("doc_id", "text")

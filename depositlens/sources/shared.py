@@ -13,17 +13,17 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session on one machine may go without the setting; it then gets a fresh temporary folder,
-    which stays in the setting for the rest of the session.
+    Only a session on one machine may go without the setting; it then gets a fresh temporary folder as its
+    checkpoint folder, for the rest of the session.
     """
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="depositlens-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="depositlens-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -20,17 +20,6 @@ def load_table(spark: SparkSession, database: str, name: str) -> DataFrame:
     return spark.table(f"`{database}`.`{name}`")
 
 
-def spread_scan(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores for costly work per row on a scan with few splits, e.g. one file of one row group.
-
-    A scan that already has a split per core is left as it is, so a large table is never shuffled for this.
-    Only for plain scans: counting their splits needs file metadata, but runs nothing. ``key`` is a column
-    with many values, best a unique one.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def save_table(df: DataFrame, database: str, name: str, partition_by: str | None = None) -> None:
     """Write the whole table anew, in the session's format (``spark.sql.sources.default``, Parquet if unset).
 

@@ -1,7 +1,10 @@
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from depositlens.operators import access
+from depositlens.sources import tables
 from tests import data
 
 
@@ -12,11 +15,11 @@ def entitlements(spark):
 
 
 @pytest.mark.parametrize(
-    ("user", "seen"), [("anna", [1, 2, 3, 4, 5, 6, 9, 10]), ("ben", [3]), ("carl", []), ("dora", []), ("eve", [])]
+    ("user", "seen"), [("anna", [1, 2, 3, 4, 5, 6, 9, 10]), ("ben", [3]), ("carl", [7]), ("dora", []), ("eve", [])]
 )
 def test_row_filter(spark, entitlements, user, seen):
-    # carl's branch is not in the branch table, dora's entitlement names no branch
-    rows = access.row_filter(data.customers(spark), data.branch(spark), entitlements, user)
+    # carl's branch is known to the entitlements only, dora's entitlement names no branch
+    rows = access.row_filter(data.customers(spark), entitlements, user)
     assert data.ids(rows) == seen
     assert rows.columns == data.customers(spark).columns
 
@@ -26,32 +29,32 @@ def test_hot_branch_is_spread(spark, small_skew):
     rows = spark.range(0, 60_000, 1, 8).select(
         F.col("id").alias("customer_id"),
         F.when(F.col("id") % 3 != 0, "B0").otherwise(F.concat(F.lit("B"), F.col("id") % 100)).alias("branch_id"),
+        F.xxhash64("id").alias("payload"),
     )
-    branch = spark.range(100).select(F.concat(F.lit("B"), F.col("id")).alias("branch_id"))
     rights = spark.createDataFrame([("anna", "B0"), ("anna", "B0"), ("anna", "B3")], "user string, branch_id string")
-    seen = access.row_filter(rows, branch, rights, "anna").withColumn("task", F.spark_partition_id())
-    assert seen.count() == rows.filter("branch_id IN ('B0', 'B3')").count()
-    hot = seen.filter("branch_id = 'B0'").groupBy("task").count().collect()
-    assert len(hot) >= 4 and max(row["count"] for row in hot) < 30_000
+    seen = access.row_filter(rows, rights, "anna").withColumn("task", F.spark_partition_id())
+    found = seen.collect()
+    assert len(found) == rows.filter("branch_id IN ('B0', 'B3')").count()
+    hot = Counter(row.task for row in found if row.branch_id == "B0")
+    assert len(hot) >= 4 and max(hot.values()) < 30_000
+    assert "skew=true" in data.plan(seen)
 
 
-def test_small_branch_table_is_broadcast_however_long_the_entitlements(spark, tmp_path, settings):
-    for name, df in (
-        ("customers", spark.range(1000).selectExpr("id AS customer_id", "id % 9 AS branch_id")),
-        ("branch", spark.range(9).selectExpr("id AS branch_id")),
-        ("rights", spark.range(100_000).selectExpr("concat('user', id) AS user", "id % 7 AS branch_id")),
-    ):
-        df.coalesce(1).write.parquet(str(tmp_path / name))
-    settings({"spark.sql.autoBroadcastJoinThreshold": "2000"})
-    customers, branch, rights = (spark.read.parquet(str(tmp_path / n)) for n in ("customers", "branch", "rights"))
-    text = data.plan(access.row_filter(customers, branch, rights, "user3"), "simple")
-    assert text.index("BroadcastHashJoin") < text.index("SortMergeJoin")  # rows stay, rights are shuffled
+def test_rights_partitioned_by_user_are_broadcast_however_many_users(spark, database, settings):
+    customers = spark.range(20_000).selectExpr("id AS customer_id", "id % 9 AS branch_id")
+    rights = spark.range(700).selectExpr("concat('user', id % 40) AS user", "id % 7 AS branch_id")
+    tables.save_table(customers, database, "customers")
+    tables.save_table(rights, database, "rights", partition_by="user")
+    settings({"spark.sql.autoBroadcastJoinThreshold": "5000"})
+    customers, rights = (tables.load_table(spark, database, name) for name in ("customers", "rights"))
+    text = data.plan(access.row_filter(customers, rights, "user3"), "simple")
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
 
 
 def test_session_user_is_the_default(spark, entitlements):
     me = spark.sql("SELECT current_user()").first()[0]
     mine = entitlements.union(spark.createDataFrame([(me, "B2")], entitlements.schema))
-    assert data.ids(access.row_filter(data.customers(spark), data.branch(spark), mine)) == [3]
+    assert data.ids(access.row_filter(data.customers(spark), mine)) == [3]
 
 
 def test_gated_mask(spark):

@@ -50,6 +50,7 @@ def test_ingest_prepare_refresh(spark, database, landing):
 
 
 def test_daily_job(spark, database, landing, capsys):
+    spark.sql(f"DROP SCHEMA {database}")  # the job makes it
     daily.main(
         ["--database", database, "--landing", landing, "--as-of", str(data.TODAY), "--segments", "wealthy", "mass"]
     )
@@ -73,3 +74,11 @@ def test_silver_is_one_stage_while_the_lookups_are_small(spark, database, landin
     assert physical.count("BroadcastHashJoin") == 2
     assert "Exchange hashpartitioning" not in physical
     assert "PushedFilters: [IsNotNull(deposit_balance_manyen)]" in physical
+
+
+def test_repeated_lookup_key_stops_the_preparation(spark, database, landing):
+    tables.ingest_bronze(spark, landing, database)
+    branch = data.branch(spark)
+    tables.save_table(branch.union(branch), database, "branch_bronze")
+    with pytest.raises(ValueError, match="branch has several rows for branch_id"):
+        prepare_silver(spark, database)

@@ -18,10 +18,10 @@ def oracle():
 
 
 def test_every_query_has_its_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry._QUERIES) == set(registry.ORACLE)
 
 
-@pytest.mark.parametrize("name", list(registry.queries()))
+@pytest.mark.parametrize("name", list(registry._QUERIES))
 def test_query_equals_sql(spark, oracle, name):
     df = registry.queries()[name](spark, FOLDER)
     rows = [tuple(row) for row in df.collect()]

@@ -89,7 +89,7 @@ def test_contacts_are_read_from_the_cutoff_month_on(spark, database):
     tables.save_contacts(data.contacts(spark), database)
     saved = tables.load_table(spark, database, "contacts_bronze")
     assert saved.count() == len(data.CONTACT_ROWS)
-    recent = targets.recently_contacted(saved, F.lit(data.CUTOFF))
+    recent = targets.recently_contacted(saved, F.lit(data.CUTOFF), tables.CONTACT_MONTH)
     assert data.ids(recent) == [2, 9]
     text = data.plan(recent, "formatted")
     assert "PartitionFilters: [isnotnull(contact_month" in text and "2026-02-01" in text
@@ -169,14 +169,3 @@ def test_a_failed_write_is_reported(spark, database):
     with pytest.raises(ValueError, match="no such input"):
         tables.save_all(spark, [lambda: tables.save_table(spark.range(2).toDF("a"), database, "fine"), broken])
     assert tables.load_table(spark, database, "fine").count() == 2
-
-
-def test_scan_with_few_splits_is_spread(spark, tmp_path):
-    path = str(tmp_path / "one")
-    spark.range(0, 100, 1, 1).write.parquet(path)
-    spread = tables.spread_scan(spark.read.parquet(path), "id")
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread.count() == 100
-    wide = str(tmp_path / "wide")
-    spark.range(0, 100, 1, 8).write.parquet(wide)
-    assert "Exchange" not in data.plan(tables.spread_scan(spark.read.parquet(wide), "id"))

@@ -152,26 +152,26 @@ def test_kpis(found):
     assert tuple(targets.target_kpis(found.limit(0)).first()) == (0, Decimal("0.00"))
 
 
-def test_counts_by_branch_keep_the_unknown_branches(found):
-    rows = [tuple(row) for row in targets.count_by_branch(found).collect()]
+def test_counts_by_branch_keep_the_unknown_branches(spark, found):
+    rows = [tuple(row) for row in targets.count_by_branch(found, data.branch(spark)).collect()]
     assert rows == [(None, None, 1), ("B1", "north", 1), ("B2", "south", 1), ("B9", None, 1)]
-    assert sum(row[1] for row in targets.count_by_prefecture(found).collect()) == 4
+    assert sum(row[1] for row in targets.count_by_prefecture(found, data.branch(spark)).collect()) == 4
 
 
-def test_deposits_by_branch_are_exact_and_sorted(found):
-    rows = [tuple(row)[1:] for row in targets.deposits_by_branch(found).collect()]
+def test_deposits_by_branch_are_exact_and_sorted(spark, found):
+    rows = [tuple(row)[1:] for row in targets.deposits_by_branch(found, data.branch(spark)).collect()]
     assert rows[0] == ("north", Decimal("3000.00"))
     assert rows[-1] == ("south", Decimal("1000.01"))
 
 
-def test_average_by_branch(customers):
-    rows = {row.branch_id: row.avg_deposit_manyen for row in targets.branch_avg_deposit(customers).collect()}
+def test_average_by_branch(spark, customers):
+    rows = {row.branch_id: row.avg_deposit_manyen for row in targets.branch_avg_deposit(customers, data.branch(spark)).collect()}
     assert rows["B2"] == 1000.01
     assert rows["B1"] == pytest.approx((999.99 + 1000 + 5000 + 5000 + 3000 + 3000) / 6)
 
 
-def test_heatmap_counts_every_target(found):
-    rows = targets.branch_segment_heatmap(found, ["wealthy"]).collect()
+def test_heatmap_counts_every_target(spark, found):
+    rows = targets.branch_segment_heatmap(found, data.branch(spark), ["wealthy"]).collect()
     assert sum(row.wealthy for row in rows) == 2
     assert sum(row.other_segments for row in rows) == 2  # another segment, and none
 
@@ -199,6 +199,40 @@ def test_invariants_on_whole_tables(spark):
         for row in targets.target_funnel(full, t.contacts(), AS_OF).orderBy("stage_no").collect()
     ]
     assert stages == sorted(stages, reverse=True)
-    by_branch = sum(row.targets for row in targets.count_by_branch(found).collect())
-    by_prefecture = sum(row.targets for row in targets.count_by_prefecture(found).collect())
+    by_branch = sum(row.targets for row in targets.count_by_branch(found, data.branch(spark)).collect())
+    by_prefecture = sum(row.targets for row in targets.count_by_prefecture(found, data.branch(spark)).collect())
     assert by_branch == by_prefecture == targets.target_list(found).count() == stages[-1]
+
+
+def test_another_column_called_contact_month_drops_nothing(spark):
+    contacts = data.contacts(spark)
+    foreign = contacts.withColumn("contact_month", F.lit("1999-01-01").cast("date"))
+    cutoff = F.lit(data.CUTOFF)
+    assert data.ids(targets.recently_contacted(foreign, cutoff)) == data.ids(targets.recently_contacted(contacts, cutoff))
+
+
+def test_mean_deposits_are_sorted(spark):
+    rows = targets.branch_avg_deposit(data.customers(spark), data.branch(spark)).collect()
+    means = [row.avg_deposit_manyen for row in rows if row.avg_deposit_manyen is not None]
+    assert len(means) > 1 and means == sorted(means, reverse=True)
+
+
+def test_customers_of_a_hot_branch_are_not_shuffled_by_branch(spark, small_skew):
+    """Partial aggregation lies below the first exchange, so a branch leaves a map task as one row."""
+    rows = spark.range(0, 60_000, 1, 8).select(
+        F.col("id").alias("customer_id"),
+        F.when(F.col("id") % 3 != 0, "B0").otherwise(F.concat(F.lit("B"), F.col("id") % 100)).alias("branch_id"),
+        F.lit("BUILDING").alias("segment"),
+        F.lit(1).cast("decimal(15,2)").alias(targets.DEPOSIT),
+    )
+    branch = spark.range(100).selectExpr("concat('B', id) AS branch_id", "concat('n', id) AS branch_name", "'p' AS prefecture")
+    for result in (
+        targets.branch_avg_deposit(rows, branch),
+        targets.count_by_branch(rows, branch),
+        targets.count_by_prefecture(rows, branch),
+        targets.deposits_by_branch(rows, branch),
+        targets.branch_segment_heatmap(rows, branch, ["BUILDING"]),
+    ):
+        text = data.plan(result, "simple")
+        below = text[text.rindex("Exchange hashpartitioning(branch_id", 0, text.index("Range (")) :]
+        assert "partial_" in below.split("Range (")[0]

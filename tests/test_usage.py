@@ -57,25 +57,23 @@ def test_window_ends_today_by_default(spark):
     assert usage.usage_window(rows).count() == 8
 
 
-def test_window_equals_its_sql(spark, rows):
-    rows.createOrReplaceTempView("usage")
-    by_sql = spark.sql(
-        """SELECT usage_date, sku_name, sum(usage_quantity) AS total_dbus FROM usage
-           WHERE usage_date >= DATE '2026-08-18' - INTERVAL 7 DAYS
-           GROUP BY usage_date, sku_name ORDER BY usage_date DESC, total_dbus DESC"""
-    )
-    assert by_sql.collect() == usage.usage_window(rows, "2026-08-18").collect()
-    spark.catalog.dropTempView("usage")
-
-
-def test_cost_is_exact_and_leaves_out_unpriced(rows, prices):
+def test_cost_is_exact_and_keeps_unpriced(rows, prices):
     shown = {row.sku_name: row.cost for row in usage.usage_cost(rows, prices).collect()}
-    assert shown == {"A": D("8.525"), "B": D("0.00000333")}
+    assert shown == {"A": D("8.525"), "B": D("0.00000333"), "unpriced": None}
 
 
 def test_cost_by_tag(rows, prices):
-    shown = {row.cost_center: row.cost for row in usage.cost_by_tag(rows, prices, "cost_center").collect()}
-    assert shown == {"x": D("5.225"), "y": D("1.1"), "untagged": D("2.20000333")}
+    found = usage.cost_by_tag(rows, prices, "cost_center").collect()
+    assert {row.cost_center: row.cost for row in found} == {"x": D("5.225"), "y": D("1.1"), "untagged": D("2.20000333")}
+    assert {row.cost_center: row.unpriced_dbus for row in found} == {"x": D("100"), "y": D("0"), "untagged": D("0")}
+    assert sum(row.total_dbus for row in found) == D("115.500001")  # what went in
+
+
+def test_one_price_of_several(spark):
+    listed = spark.createDataFrame([("A", D("2"), 1), ("A", D("1"), 2), ("B", D("5"), 1)], "sku_name string, price decimal(12,2), since int")
+    assert {tuple(row) for row in usage.one_price(listed).collect()} == {("A", D("2.00")), ("B", D("5.00"))}
+    assert {tuple(row) for row in usage.one_price(listed, "since").collect()} == {("A", D("1.00")), ("B", D("5.00"))}
+
 
 
 def test_usage_by_product(rows):

@@ -12,16 +12,28 @@ from depositlens.operators import voice
 from tests import data
 
 COMMENTS = [
-    (1, "2026-07-01", "窓口", "説明が丁寧で、とても親切でした。", "positive"),
-    (2, "2026-07-02", "電話", "電話がつながらず、ずいぶん待たされました。", "negative"),
-    (3, "2026-07-03", "アプリ", "便利ですが、画面が分かりにくいです。", "mixed"),
-    (4, "2026-07-03", "電話", "手続きをしました。問題はありません。", "neutral"),
-    (5, "2026-07-04", "電話", "面倒です。本当に面倒です。", "negative"),
+    (1, "2026-07-01", "窓口", "店内が快適で、案内も迅速でした。", "positive"),
+    (2, "2026-07-02", "電話", "駐車場が狭くて残念です。", "negative"),
+    (3, "2026-07-03", "アプリ", "サイトは見やすいですが、入力が複雑です。", "mixed"),
+    (4, "2026-07-03", "電話", "通帳を繰り越しました。", "neutral"),
+    (5, "2026-07-04", "電話", "不便です。とても不便です。", "negative"),
     (6, "2026-07-04", "窓口", None, None),
     (7, "2026-07-05", "窓口", "", "neutral"),
-    (8, "2026-07-05", "アプリ", "分かりやすい説明で助かりました", "positive"),
-    (9, "2026-07-06", "アプリ", "不信感が残りました", "negative"),
+    (8, "2026-07-05", "アプリ", "使いやすくて嬉しいです", "positive"),
+    (9, "2026-07-06", "アプリ", "書類に間違いがありました", "negative"),
 ]
+SENTENCES = {
+    "不親切な対応でした": "negative", "便利ではありません": "negative", "親切とは言えません": "negative",
+    "信頼していません": "negative", "期待しています": "neutral", "招待状が届きました": "neutral",
+    "満足しています": "positive", "満足できない": "negative", "とても丁寧でした": "positive",
+    "丁寧さがない": "negative", "感謝しております": "positive", "職員に助かりました": "positive",
+    "失礼はありませんでした": "positive", "迷惑をかけられました": "negative", "返事が遅い": "negative",
+    "返事が遅くない": "positive", "気分が悪いです": "negative", "悪くないと思います": "positive",
+    "手続が面倒です": "negative", "面倒はなかったです": "positive", "安心できました": "positive",
+    "安心できません": "negative", "心配していません": "positive", "心配です": "negative",
+    "最高の一日": "positive", "最悪の一日": "negative", "快適だが狭い": "mixed", "納得しました": "positive",
+    "納得とはいえない": "negative", "待たされました": "negative", "口座を開きました": "neutral", "質問があります": "neutral",
+}
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +48,11 @@ def test_labels(comments):
     assert labels == {row[0]: row[4] for row in COMMENTS}
 
 
+def test_negation(spark):
+    df = spark.createDataFrame([(text,) for text in SENTENCES], "voice_text string")
+    assert {row.voice_text: row.sentiment for row in voice.voice_sentiment(df).collect()} == SENTENCES
+
+
 def test_label_counts(comments):
     counts = {row.sentiment: row.comments for row in voice.sentiment_counts(comments).collect()}
     assert counts == {"positive": 2, "negative": 3, "mixed": 1, "neutral": 2, None: 1}
@@ -57,10 +74,10 @@ def test_own_lexicon(spark):
 
 
 def test_substring_categories(spark):
-    rows = [("アプリの画面とアプリの窓口",), ("待ち、待ち",), ("何も",), (None,), ("",)]
+    rows = [("アプリとサイトの受付",), ("待ち、待ち",), ("期待して招待する",), ("何も",), (None,), ("",)]
     df = spark.createDataFrame(rows, "voice_text string")
     found = [row.category for row in voice.classify_by_substrings(df).collect()]
-    assert found == ["app", "waiting", "other", None, "other"]
+    assert found == ["app", "waiting", "other", "other", None, "other"]
 
 
 def test_word_categories(spark):
@@ -80,6 +97,11 @@ def test_masking_of_text(spark):
         "call 090-1234-5678": "call [PHONE]",
         "card 4785380592391139 or 4785-3805-9239-1139": "card [CARD] or [CARD]",
         "host 152.143.123.131.": "host [IP].",
+        "call 09012345678, +81-90-1234-5678": "call [PHONE], [PHONE]",
+        "call (743) 555-3824 or 743-555-3824 or (03) 1234-5678": "call [PHONE] or [PHONE] or [PHONE]",
+        "call ０９０－１２３４－５６７８": "call [PHONE]",
+        "card 411111111111111, 41111111111111112222": "card [CARD], [CARD]",
+        'a "password": "x" and Token = "x"': "a [SECRET] and [SECRET]",
         "3.5 percent of 1,000": "3.5 percent of 1,000",
         "": "",
     }
@@ -90,9 +112,9 @@ def test_masking_of_text(spark):
 
 
 def test_masking_of_phones(spark):
-    rows = [("090-1234-5678",), ("none",), (None,)]
+    rows = [("090-1234-5678",), ("０９０－１２",), ("none",), (None,)]
     df = spark.createDataFrame(rows, "phone string")
-    assert [row[0] for row in df.select(mask_phone(F.col("phone"))).collect()] == ["***-****-****", "none", None]
+    assert [row[0] for row in df.select(mask_phone(F.col("phone"))).collect()] == ["***-****-****", "***－**", "none", None]
 
 
 # --- summary, against the SQL form ---------------------------------------------------------------------
