@@ -41,7 +41,7 @@ from depositlens.sources.shared import fresh_path
 
 LEXICON_CHUNKS = 1 << 18
 FLUSH_WORDS = 1 << 18
-CACHED_CHUNKS = 1 << 18
+CACHED_CHUNKS = 3 << 17
 DOORS = 1 << 22
 SHORT = 24
 PIECE = 4 << 20

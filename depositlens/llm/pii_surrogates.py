@@ -7,7 +7,7 @@ joined or remembered. Each permutation is one cycle over its domain, so no value
 * digits stay digits of their script, letters stay vowels or consonants of their script and keep their case, all
   other characters stay;
 * card numbers keep their first digit and whether their check digit is right, addresses keep their network class,
-  phone numbers their country code, mail addresses their top-level domain and a reserved example domain;
+  phone numbers their country code or leading zero, mail addresses their top-level domain and a reserved example domain;
 * a given name of the list becomes one of the same gender and script, any other name one that is not in the list.
 
 As a check against a faulty format, each document's entities are compared with their surrogates: a collision is an error.
@@ -170,7 +170,12 @@ def phone_surrogate(mix: Permutation, text: str) -> str:
     country = re.match(r"\s*\+\s?\d{1,3}(?=[\s(.-])", text)
     start = country.end() if country else 0
     head = text[:start]
-    return head + _write_digits(text[start:], _next_digits(mix, _digits(text[start:]), f"phone/{_digits(head)}"))
+    digits = _digits(text[start:])
+    lead = int(not country and digits[0] == 0)  # the digit that begins a number within the country
+    new = _next_digits(mix, digits[lead:], f"phone/{_digits(head)}/{lead}")
+    while not country and not lead and new[0] == 0:
+        new = _next_digits(mix, new, f"phone/{_digits(head)}/{lead}")
+    return head + _write_digits(text[start:], digits[:lead] + new)
 
 
 def _network(octets: list[int]) -> tuple[str, int]:

@@ -116,7 +116,7 @@ class ContextTrees:
                 up = rows if order == 0 else rows[np.searchsorted(contexts[order - 1], shorter)]
                 rows = self._rows(n, up)
                 self.bits[first[order] : first[order + 1], :, k] = -np.log2(rows / shares)
-        self.bits = self.bits.reshape(-1, len(self.languages))
+        self.bits = self.bits.reshape(first[-1] * size, len(self.languages))
         self.state = np.zeros(size**3, np.int32)
         for order, known in enumerate(contexts[1:], 1):
             tails = known[:, None] + np.arange(0, size**3, size**order)[None, :]

@@ -185,7 +185,7 @@ def transform(rows: np.ndarray, at: np.ndarray, before: np.ndarray, symbols: np.
 def _shards(alive: DataFrame) -> DataFrame:
     """One row per shard: its transform, and where its suffixes are."""
 
-    def build(_, anchors: pd.DataFrame) -> pd.DataFrame:
+    def build(_: tuple, anchors: pd.DataFrame) -> pd.DataFrame:
         anchors = anchors.sort_values(["row", "at"], ignore_index=True)
         row, at, links, symbols = (anchors[c].to_numpy() for c in ("row", "at", "links", "symbol"))
         suffixes, first, longer = transform(row, at, unpack(links)[0], symbols)

@@ -1,0 +1,238 @@
+"""Operators that work text by text: surrogates, main text, BPE, URL filter, language."""
+
+import hashlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings as bounds
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from depositlens.llm import bpe_lexicon, html_ratio, pii_surrogates, ppm_language, url_trees
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+ODD = [None, "", " \t\n", "a", "x" * 30_000, "word " * 5_000, "é ü ñ 中文 \U0001f600", "12 34"]
+
+
+def docs(spark, texts, lang="en"):
+    return spark.createDataFrame([(n, text, lang, "s", 0) for n, text in enumerate(texts)], DOCS)
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    with open(PATH, encoding="utf-8") as file:
+        return bpe_lexicon.vocabulary_of(file.read())
+
+
+# --- surrogates ----------------------------------------------------------------------------------------
+
+PRIVATE = [
+    "+1 (743) 555-3824", "743-555-3824", "09012345678", "０９０－１２３４－５６７８", "4111 1111 1111 1111", "4952935900253052",
+    "129.38.82.176", "10.1.2.3", "die.55@mail4.example.com", "josé@foo.co.uk", "123-45-6789",
+]
+
+
+@pytest.mark.parametrize("value", PRIVATE)
+def test_surrogates_keep_the_format(value):
+    replace = pii_surrogates.Replacer("k")
+    text, found, new = replace(f"See {value} now; {value} again.")
+    assert value not in text and len(found) == 2 and new[0] == new[1]
+    shape = lambda s: "".join("9" if c.isdecimal() else "a" if c.isalpha() else c for c in s)
+    if found[0].kind != "ip":
+        assert shape(new[0]) == shape(value)
+    assert replace(new[0])[1][0].kind == found[0].kind
+
+
+def test_surrogates_by_type():
+    replace = pii_surrogates.Replacer("k")
+    cards = [replace(number)[0] for number in ("4111111111111111", "4111111111111112")]
+    right = [pii_surrogates.check_digit([int(c) for c in card[:-1]]) == int(card[-1]) for card in cards]
+    assert right == [True, False] and all(card[0] == "4" for card in cards)
+    assert replace("10.1.2.3")[0].startswith("10.") and replace("192.168.0.1")[0].startswith("192.168.")
+    for name, key in (("Anna", ("f", "latin")), ("John", ("m", "latin")), ("Иван", ("m", "cyrillic"))):
+        new = replace(f"{name} Vexler")[0].split()[0]
+        assert new in pii_surrogates.GIVEN_NAMES[key] and new != name
+    assert replace('token = "f3ef4d6b2755"')[0] != 'token = "f3ef4d6b2755"'
+    assert replace("version 1.2.3.4 in 2024, 1,000 12345")[1] == []
+    assert pii_surrogates.Replacer("other")("743-555-3824")[0] != replace("743-555-3824")[0]
+
+
+@bounds(max_examples=60, deadline=None)
+@given(st.integers(1, 5000), st.text("ab/", max_size=4))
+def test_permutation_is_one_cycle(size, label):
+    mix = pii_surrogates.Permutation("k")
+    if size <= 200:
+        value, seen = 0, set()
+        while value not in seen:
+            seen.add(value)
+            value = mix.next(value, size, label)
+        assert len(seen) == size
+    else:
+        assert len({mix.next(n, size, label) for n in range(200)}) == 200
+
+
+def test_surrogates_in_spark(spark):
+    shown = pii_surrogates.replace_personal_data(docs(spark, [*ODD, "mail a.b@c.org", "mail a.b@c.org"]), spans="spans").orderBy("doc_id").collect()
+    assert [row.text for row in shown[: len(ODD)]] == ODD
+    assert shown[-1].text == shown[-2].text != "mail a.b@c.org" and shown[-1].spans[0].kind == "mail"
+    everything = docs(spark, [f"+1 ({n:03}) 555-{n:04} and u{n}.x@mail.example.com, 10.0.{n % 256}.7" for n in range(300)])
+    assert pii_surrogates.collisions(everything).isEmpty()
+    assert pii_surrogates.replace_personal_data(docs(spark, [])).isEmpty()
+
+
+# --- main text -----------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (None, ""), ("", ""), ("<p></p>", ""), ("<nav><a>x</a></nav>", ""),
+        ("<article><h1>T &amp; x</h1><p>One&nbsp;two <b>thr</b>ee.<p>Four<ul><li>a<li>b</ul></article><footer>f</footer>", "T & x One two three. Four a b"),
+        ('<div class="ad">buy<article><p>Sh.</p></article>', "Sh."),
+        ('<main><p>Long text of the page here.</p><div class="cookie-notice">c</div><form>f</form><p>x</p></main><div id="comments"><article class="comment"><p>a very long reader comment, longer than all</p></article></div>', "Long text of the page here. x"),
+        ('<script>var t="</p><article>no</article>";</script><article><p>yes</p></article>', "yes"),
+        ('<div class="menu"><ul><li>A</ul></div><div><p>Hello long text with much to say.</p><p>x</p></div><aside>z</aside>', "Hello long text with much to say. x"),
+        ("<article><p>cut &amp of</p><p>end<br", "cut & of end"),
+    ],
+)
+def test_main_text(html, text):
+    assert html_ratio.main_text(html) == text
+
+
+def test_ratios_and_threshold():
+    lines = [("x" * size, 1, (0, 0)) for size in (5, 4, 200, 180, 6, 5)]
+    ratios = html_ratio.smoothed_ratios(lines)
+    assert ratios[2] > html_ratio.threshold(ratios) > ratios[0]
+    assert html_ratio.threshold(np.array([3.0])) == 3.0
+
+
+def test_pages_in_spark(spark):
+    rows = [(1, "u", None), (2, None, "<article>é <b>x</b></article>"), (2, None, "<article>é <b>x</b></article>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
+    found = [tuple(row) for row in html_ratio.extract(pages).orderBy("page_id").collect()]
+    assert found == [(1, "u", "", 0), (2, None, "é x", 3), (2, None, "é x", 3)]
+
+
+# --- BPE -----------------------------------------------------------------------------------------------
+
+
+@bounds(max_examples=300, deadline=None)
+@given(st.text(max_size=60))
+def test_encoding_equals_the_library(vocabulary, text):
+    library = Tokenizer.from_file(PATH)
+    known = {word.encode(): vocabulary.merge(word) for word in vocabulary.words("the and of hello")}
+    encoder = bpe_lexicon.Encoder(vocabulary, bpe_lexicon.Transducer(bpe_lexicon.compile_transducer(known)))
+    ids = library.encode(text, add_special_tokens=False).ids
+    n, own, decoded = encoder.encode(text)
+    assert (n, list(map(int, own.split()))) == (len(ids), ids)
+    assert decoded == library.decode(ids, skip_special_tokens=False)
+
+
+def test_both_merges_agree(vocabulary):
+    for word in ("internationalization", "aaaaaaaa", "x" * 500, "abababab" * 20):
+        parts = [*word[:-1], word[-1] + vocabulary.end]
+        assert vocabulary._merge_short(list(parts)) == vocabulary._merge_long(list(parts))
+
+
+def test_transducer_shares_suffixes(vocabulary):
+    words = {word: [n, n + 1] for n, word in enumerate([b"walking", b"talking", b"walked", b"talked", b"", b"walk"])}
+    automaton = bpe_lexicon.Transducer(bpe_lexicon.compile_transducer(words))
+    assert {word: automaton(word) for word in words} == words
+    assert automaton(b"wal") is None and automaton(b"walkingx") is None
+    assert len(automaton.parts[1]) < 20  # states
+
+
+def test_encoding_in_spark(spark):
+    texts = [*ODD, "a <|endoftext|> b", "it's"]
+    library = Tokenizer.from_file(PATH)
+    clash = docs(spark, texts).withColumn("n_tokens", F.lit("clash"))
+    for row in bpe_lexicon.encode(clash, PATH, lexicon_chunks=3).collect():
+        ids = library.encode(row.text or "", add_special_tokens=False).ids
+        assert row.n_tokens == len(ids) and row.ids == ids and row.decoded == library.decode(ids, skip_special_tokens=False)
+    digests = bpe_lexicon.encode(docs(spark, texts), PATH, digest=True, keep_text=False).orderBy("doc_id").collect()
+    assert digests[0].ids_sha256 == hashlib.sha256(b"").hexdigest()
+    assert bpe_lexicon.encode(docs(spark, []), PATH).isEmpty()
+
+
+# --- URL filter ----------------------------------------------------------------------------------------
+
+
+def test_rules(spark):
+    expected = {
+        "http://a.org/x": ("a.org", "/x", "org/", "allow"), "http://www.EXAMPLE.org/es/1?q#f": ("www.example.org", "/es/1", "example.org/es/", "block"),
+        "https://example.org/en/12": ("example.org", "/en/12", "example.org/en/1", "block"), "x://myexample.org/en/1": ("myexample.org", "/en/1", "org/", "allow"),
+        "http://b.com/fr/?a": ("b.com", "/fr/", "com/fr/", "allow"), "http://b.com/de/": ("b.com", "/de/", "com/de/", "block"),
+        "http://a.org": ("a.org", "", None, None), "http://a.org:80/x": ("a.org:80", "/x", None, None), "no url": ("", "", None, None),
+        None: ("", "", None, None), "a://b://c.org/": ("b:", "//c.org/", None, None), "": ("", "", None, None),
+    }
+    pages = spark.createDataFrame([(n, url) for n, url in enumerate(expected)], "page_id long, url string")
+    found = {row.page_id: row for row in url_trees.judge_urls(pages).collect()}
+    for n, (host, path, rule, verdict) in enumerate(expected.values()):
+        row = found[n]
+        assert (row.host, row.path, row.rule) == (host, path, rule)
+        assert row.verdict == verdict if verdict else row.verdict in ("allow", "block") and 0 <= row.score <= 1
+    only = spark.createDataFrame([(1, "http://b.net/"), (1, "http://b.net/")], "page_id long, url string")
+    assert [row.verdict for row in url_trees.judge_urls(only).collect()] == ["allow", "allow"]
+
+
+def test_trees_learn_lexical_features(spark):
+    urls = [(n, f"http://a.org/p{n}") for n in range(200)] + [(n, f"http://b.com/de/{n:09}?a=1&b=2&c={n}") for n in range(200)]
+    pages = spark.createDataFrame([*urls, (1, "http://c.net/abc"), (2, "http://c.net/en/000000009?a=1&b=2&c=3")], "page_id long, url string")
+    found = url_trees.judge_urls(pages).where("rule IS NULL").orderBy("page_id").collect()
+    assert [row.verdict for row in found] == ["allow", "block"]
+
+
+# --- language ------------------------------------------------------------------------------------------
+
+
+def brute_bits(texts, text, order=3):
+    """Code length by the definition, context by context."""
+    counts = {}
+    for own in texts:
+        own = b"\n\n\n" + own
+        for n in range(3, len(own)):
+            for k in range(order + 1):
+                counts.setdefault(own[n - k : n], {}).setdefault(own[n], 0)
+                counts[own[n - k : n]][own[n]] += 1
+
+    def shares(context):
+        if context is None:
+            return [1 / 256] * 256
+        up = shares(context[1:] if context else None)
+        seen = counts.get(context)
+        if not seen:
+            return up
+        left = sum(share for byte, share in enumerate(up) if byte not in seen)
+        total, kinds = sum(seen.values()), len(seen) if left > 0 else 0
+        return [seen[b] / (total + kinds) if b in seen else kinds / (total + kinds) * up[b] / left for b in range(256)]
+
+    whole = b"\n\n\n" + text
+    return -sum(np.log2(shares(whole[n - order : n])[whole[n]]) for n in range(3, len(whole)))
+
+
+def test_code_lengths_are_exact():
+    learned = {"a": [b"the cat sat on the mat", b"the hat"], "b": [b"el gato en la casa", b"la gata"]}
+    rows = [(lang, gram, n) for lang, texts in learned.items() for gram, n in zip(*ppm_language._gram_counts(texts), strict=True)]
+    langs, grams, counts = (np.array(column) for column in zip(*rows, strict=True))
+    trees = ppm_language.ContextTrees(langs.astype(object), grams.astype(np.int64), counts.astype(np.int64))
+    for text in (b"the cat", b"la casa\xff", b"zzz"):
+        bits = trees.lengths([text, b"", text])
+        expected = [brute_bits(learned[lang], text) for lang in trees.languages]
+        assert np.allclose(bits[0], expected, rtol=1e-4) and np.allclose(bits[2], bits[0]) and not bits[1].any()
+
+
+def test_languages_in_spark(spark):
+    rows = [(n, ("the house and the garden of the town " if n % 2 else "la maison et le jardin de la ville ") * 3, "en" if n % 2 else "fr") for n in range(60)]
+    rows += [(100 + n, text, None) for n, text in enumerate(ODD)] + [(5, "the town", "en")]
+    found = ppm_language.predict_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit("clash"))).collect()
+    right = {(n, lang) for n, _, lang in rows if lang}
+    assert {(row.doc_id, row.lang_pred) for row in found if row.doc_id < 100} == right
+    assert [row.lang_pred for row in sorted(found) if row.doc_id in (100, 101, 102, 107)] == ["und"] * 4
+    assert all(0 <= row.score <= 1 for row in found) and len(found) == len(rows)
+    none = ppm_language.predict_languages(spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string"))
+    assert [(row.lang_pred, row.score) for row in none.collect()] == [("und", 0.0)]
+    kept = ppm_language.keep_known_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert kept.columns == ["doc_id", "text", "lang"] and kept.where("text IS NULL").isEmpty() and kept.count() == len(rows) - 4
