@@ -20,12 +20,12 @@ from depositlens.functions import lexicon
 from depositlens.functions.dates import months_back
 from depositlens.functions.masking import mask_phone
 from depositlens.operators import access, quality, silver, targets, usage, voice
-from depositlens.plans.prepare import prepare_silver
-from depositlens.plans.refresh import refresh_gold
+from depositlens.plans.prepare import CUSTOMERS_SILVER, VOICE_SILVER, prepare_silver
+from depositlens.plans.refresh import DATASETS, refresh_gold
 from depositlens.sources import namespace
 from depositlens.sources.adapters import AS_OF, Tables
 from depositlens.sources.files import read_csv, write_csv
-from depositlens.sources.shared import fresh_path
+from depositlens.sources.shared import fresh_path, remove_path
 from depositlens.sources.tables import ingest_bronze, load_table, save_all, save_contacts, save_table
 
 try:  # the corpus operators may be taken out
@@ -87,6 +87,12 @@ def _new_database(spark: SparkSession) -> str:
     return name
 
 
+def _digests(df: DataFrame, table: str) -> DataFrame:
+    """A digest of each row, all columns, that another engine can compute too."""
+    values = (F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("∅")) for name in df.columns)
+    return df.select(F.lit(table).alias("table_name"), F.md5(F.concat_ws("|", *values)).alias("row_md5"))
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -105,17 +111,9 @@ def _bronze_ingest(t: Tables) -> DataFrame:
     frames = _bronze_frames(t)
     save_all(t.spark, [partial(write_csv, frame, f"{landing}/{name}") for name, frame in frames.items()])
     ingest_bronze(t.spark, landing, database)
-    counts = []
-    for name, schema in schemas.BRONZE.items():
-        missing = reduce(lambda a, b: a + b, (F.col(c).isNull().cast("long") for c in schema.names))
-        counts.append(
-            load_table(t.spark, database, f"{name}_bronze").agg(
-                F.lit(name).alias("table_name"),
-                F.count("*").alias("row_count"),
-                F.sum(missing).alias("null_cells"),
-            )
-        )
-    return _union(counts)
+    remove_path(t.spark, landing)
+    tables = {name: load_table(t.spark, database, f"{name}_bronze") for name in schemas.BRONZE}
+    return _union([_digests(df.select(*schemas.BRONZE[name].names), name) for name, df in tables.items()])
 
 
 def _silver_roundtrip(t: Tables) -> DataFrame:
@@ -135,23 +133,23 @@ def _prepared(t: Tables) -> str:
     return database
 
 
+def _drop_all_but(t: Tables, database: str, kept: tuple[str, ...]) -> None:
+    """Tables that the result does not read go with their files."""
+    for table in t.spark.catalog.listTables(database):
+        if table.name not in kept:
+            namespace.drop_table(t.spark, f"`{database}`.`{table.name}`")
+
+
 def _silver_prepare(t: Tables) -> DataFrame:
-    database = _prepared(t)
-    customers = load_table(t.spark, database, "customers_silver")
-    comments = load_table(t.spark, database, "customer_voice_silver")
-    return _union(
-        [
-            customers.groupBy(F.lit("customers_silver").alias("table_name"), F.col("prefecture").alias("label"))
-            .agg(F.count("*").alias("row_count")),
-            comments.groupBy(F.lit("customer_voice_silver").alias("table_name"), F.col("sentiment").alias("label"))
-            .agg(F.count("*").alias("row_count")),
-        ]
-    )
+    database, tables = _prepared(t), (CUSTOMERS_SILVER, VOICE_SILVER)
+    _drop_all_but(t, database, tables)
+    return _union([_digests(load_table(t.spark, database, name), name) for name in tables])
 
 
 def _gold_refresh(t: Tables) -> DataFrame:
     database = _prepared(t)
     refresh_gold(t.spark, database, SEGMENTS, AS_OF)
+    _drop_all_but(t, database, DATASETS)
 
     def rows(dataset: str, label: Column, measure: Column) -> DataFrame:
         return load_table(t.spark, database, dataset).select(
@@ -159,16 +157,22 @@ def _gold_refresh(t: Tables) -> DataFrame:
         )
 
     deposit, count = F.col("total_deposit_manyen"), F.col("targets")
+    target_rows = _digests(load_table(t.spark, database, "target_list"), "target_list")
     heat = load_table(t.spark, database, "branch_segment_heatmap").unpivot(
         "branch_name", [*SEGMENTS, "other_segments"], "segment", "customers"
     )
     return _union(
         [
-            rows("target_list", F.col("customer_id").cast("string"), F.col("deposit_balance_manyen")),
+            target_rows.select(
+                F.col("table_name").alias("dataset"),
+                F.col("row_md5").alias("label"),
+                F.lit(1).cast("decimal(38,2)").alias("measure"),
+            ),
             rows("target_kpis", F.lit("target_count"), F.col("target_count")),
             rows("target_kpis", F.lit("total_deposit_manyen"), deposit),
             rows("targets_by_branch", F.col("branch_name"), count),
             rows("target_deposits_by_branch", F.col("branch_name"), deposit),
+            rows("target_breakdown", F.concat_ws("/", "prefecture", "branch_name", "segment"), deposit),
             heat.select(
                 F.lit("branch_segment_heatmap").alias("dataset"),
                 F.concat_ws("/", "branch_name", "segment").alias("label"),
@@ -225,6 +229,14 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     "duplicate_keys": lambda t: quality.duplicate_keys(t.list_prices(), "sku_name"),
     "usage_cost": lambda t: usage.usage_cost(t.usage(), t.list_prices()),
+    "governed_targets": lambda t: _union(
+        [
+            access.governed(_targets(t, _with_branch(t)), t.entitlements(), t.memberships(), user, GROUP).withColumn(
+                "seen_by", F.lit(user)
+            )
+            for user in (USER, OTHER_USER)
+        ]
+    ),
     "row_filter": lambda t: access.row_filter(t.customers(), t.entitlements(), USER),
     # aggregations
     "customer_count": lambda t: targets.customer_count(_cleansed(t)),
@@ -240,6 +252,15 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "branch_segment_heatmap": lambda t: targets.branch_segment_heatmap(
         _targets(t, _cleansed(t)), t.branch(), SEGMENTS[:4]
     ),
+    "target_breakdown": lambda t: targets.target_breakdown(_targets(t, _cleansed(t)), t.branch()),
+    "filtered_kpis": lambda t: targets.breakdown_kpis(
+        targets.target_filter(
+            targets.target_breakdown(_targets(t, _cleansed(t)), t.branch()),
+            prefectures=["ASIA", "EUROPE"],
+            segments=["BUILDING", "MACHINERY"],
+        )
+    ),
+    "cost_by_product": lambda t: usage.cost_by_product(t.usage(), t.list_prices()),
     "usage_7d": lambda t: usage.usage_window(t.usage(), AS_OF),
     "usage_by_product": lambda t: usage.usage_by_product(t.usage()),
     "cost_by_tag": lambda t: usage.cost_by_tag(t.usage(), t.list_prices(), "cost_center"),

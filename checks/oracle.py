@@ -168,11 +168,18 @@ _SILVER = f"{_CUSTOMERS}, {_BRANCH}, employee_name"
 _VOICE = _columns(schemas.CUSTOMER_VOICE.names)
 
 
-def _bronze_counts() -> str:
-    parts = []
-    for table, schema in schemas.BRONZE.items():
-        missing = " + ".join(f"count(*) - count({column})" for column in schema.names)
-        parts.append(f"SELECT '{table}' AS table_name, count(*) AS row_count, {missing} AS null_cells FROM {table}")
+def _row_digest(names) -> str:
+    return "md5(concat_ws('|', " + ", ".join(f"coalesce(CAST({name} AS VARCHAR), '∅')" for name in names) + "))"
+
+
+_SILVER_NAMES = [*schemas.CUSTOMERS.names, "branch_name", "area", "prefecture", "employee_name"]
+
+
+def _bronze_rows() -> str:
+    parts = [
+        f"SELECT '{table}' AS table_name, {_row_digest(schema.names)} AS row_md5 FROM {table}"
+        for table, schema in schemas.BRONZE.items()
+    ]
     return _with("\nUNION ALL ".join(parts), *schemas.BRONZE)
 
 
@@ -297,9 +304,11 @@ def _text_summarise() -> str:
 # --- one statement per query --------------------------------------------------------------------------
 
 _GOLD = (
+    f"SELECT 'target_list' AS dataset, {_row_digest(_SILVER_NAMES)} AS label, CAST(1 AS DOUBLE) AS measure FROM targets"
     """
-    SELECT 'target_list' AS dataset, CAST(customer_id AS VARCHAR) AS label,
-           CAST(deposit_balance_manyen AS DOUBLE) AS measure FROM targets
+    UNION ALL SELECT 'target_breakdown', concat_ws('/', prefecture, branch_name, segment),
+                     CAST(sum(deposit_balance_manyen) AS DOUBLE)
+              FROM targets GROUP BY prefecture, branch_id, branch_name, segment
     UNION ALL SELECT 'target_kpis', 'target_count', CAST(count(*) AS DOUBLE) FROM targets
     UNION ALL SELECT 'target_kpis', 'total_deposit_manyen',
                      CAST(coalesce(sum(deposit_balance_manyen), 0) AS DOUBLE) FROM targets
@@ -320,7 +329,7 @@ _TARGET_ROWS = f"SELECT {_CUSTOMERS}, {_BRANCH} FROM targets"
 
 ORACLE: dict[str, str] = {
     "csv_scan": _with(f"SELECT {_VOICE} FROM customer_voice", "customer_voice"),
-    "bronze_ingest": _bronze_counts(),
+    "bronze_ingest": _bronze_rows(),
     "silver_roundtrip": _with(f"SELECT {_SILVER} FROM silver", "silver"),
     "preview": _with(f"SELECT {_CUSTOMERS} FROM customers ORDER BY customer_id LIMIT 20", "customers"),
     "row_reconcile": _with(
@@ -400,6 +409,38 @@ ORACLE: dict[str, str] = {
         "usage",
         "list_prices",
     ),
+    "governed_targets": _with(
+        f"""SELECT * REPLACE (CASE WHEN EXISTS (SELECT 1 FROM supplier WHERE 'user_' || (s_suppkey % 40) = seen_by
+                                                AND s_suppkey % 10 = 1)
+                                  THEN phone_number
+                                  ELSE regexp_replace(phone_number, '[0-9０-９]', '*', 'g') END AS phone_number)
+            FROM ({_TARGET_ROWS}) t CROSS JOIN (VALUES ('user_1'), ('user_2')) u(seen_by)
+            WHERE EXISTS (SELECT 1 FROM supplier WHERE 'user_' || (s_suppkey % 40) = seen_by
+                          AND CAST(s_nationkey AS VARCHAR) = branch_id)""",
+        "targets",
+    ),
+    "target_breakdown": _with(
+        """SELECT prefecture, branch_id, branch_name, segment, count(*) AS targets,
+                  CAST(sum(deposit_balance_manyen) AS DOUBLE) AS total_deposit_manyen
+           FROM targets GROUP BY ALL""",
+        "targets",
+    ),
+    "filtered_kpis": _with(
+        """SELECT count(*) AS target_count,
+                  CAST(coalesce(sum(deposit_balance_manyen), 0) AS DOUBLE) AS total_deposit_manyen
+           FROM targets WHERE prefecture IN ('ASIA', 'EUROPE') AND segment IN ('BUILDING', 'MACHINERY')""",
+        "targets",
+    ),
+    "cost_by_product": _with(
+        """SELECT product, CAST(sum(usage_quantity) AS DOUBLE) AS total_dbus,
+                  CAST(coalesce(sum(usage_quantity) FILTER (WHERE price IS NULL), 0) AS DOUBLE) AS unpriced_dbus,
+                  CAST(sum(usage_quantity * price) AS DOUBLE) AS cost
+           FROM usage u LEFT JOIN (SELECT sku_name, max(price) AS price FROM list_prices GROUP BY sku_name) p
+                ON u.sku_name = p.sku_name
+           GROUP BY ALL""",
+        "usage",
+        "list_prices",
+    ),
     "row_filter": _with(
         f"""SELECT {_CUSTOMERS} FROM customers WHERE branch_id IN (
                 SELECT CAST(s_nationkey AS VARCHAR) FROM supplier
@@ -517,9 +558,9 @@ ORACLE: dict[str, str] = {
     "text_summarise": _text_summarise(),
     "text_mask": _text_mask(),
     "silver_prepare": _with(
-        """SELECT 'customers_silver' AS table_name, prefecture AS label, count(*) AS row_count
-           FROM silver GROUP BY prefecture
-           UNION ALL SELECT 'customer_voice_silver', sentiment, count(*) FROM voice_silver GROUP BY sentiment""",
+        f"""SELECT 'customers_silver' AS table_name, {_row_digest(_SILVER_NAMES)} AS row_md5 FROM silver
+           UNION ALL SELECT 'customer_voice_silver', {_row_digest([*schemas.CUSTOMER_VOICE.names, "sentiment"])}
+           FROM voice_silver""",
         "silver",
         "voice_silver",
     ),

@@ -38,3 +38,15 @@ def gated_mask(
     """The column in clear for members of the group, masked for everyone else."""
     clear = is_member(memberships, user, group)
     return df.withColumn(column, F.when(clear, F.col(column)).otherwise(mask_phone(F.col(column))))
+
+
+def governed(
+    df: DataFrame,
+    entitlements: DataFrame,
+    memberships: DataFrame,
+    user: str | None,
+    group: str,
+    column: str = "phone_number",
+) -> DataFrame:
+    """What one user sees of ``df``: the rows of the user's branches, ``column`` masked unless the user is in the group."""
+    return gated_mask(row_filter(df, entitlements, user), memberships, user, group, column)

@@ -8,6 +8,8 @@ third of the customers is spread over many tasks.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,11 +42,11 @@ def customers_silver(customers: DataFrame, branch: DataFrame, employee: DataFram
     return join_employee(join_branch(drop_missing(customers), branch), employee)
 
 
-def display_columns(df: DataFrame) -> DataFrame:
-    """Japanese headings for the columns that have one."""
-    return df.withColumnsRenamed(DISPLAY_NAMES)
+def display_columns(df: DataFrame, names: Mapping[str, str] = DISPLAY_NAMES) -> DataFrame:
+    """Japanese headings for the columns that have one; ``SILVER_DISPLAY_NAMES`` covers the joined columns too."""
+    return df.withColumnsRenamed(dict(names))
 
 
-def english_columns(df: DataFrame) -> DataFrame:
+def english_columns(df: DataFrame, names: Mapping[str, str] = DISPLAY_NAMES) -> DataFrame:
     """The way back: column names for the Japanese headings."""
-    return df.withColumnsRenamed({shown: name for name, shown in DISPLAY_NAMES.items()})
+    return df.withColumnsRenamed({shown: name for name, shown in names.items()})

@@ -235,3 +235,23 @@ def branch_segment_heatmap(targets: DataFrame, branch: DataFrame, segments: Sequ
         *(F.count_if(segment == name).alias(name) for name in segments),
         F.count_if(~segment.isin(*segments)).alias("other_segments"),
     )
+
+
+def target_breakdown(targets: DataFrame, branch: DataFrame) -> DataFrame:
+    """Targets and their deposits by prefecture, branch and segment: small, and open to every dashboard filter.
+
+    Counted per branch and segment before the branch table is joined; an unknown branch has no name.
+    """
+    totals = targets.groupBy("branch_id", "segment").agg(
+        F.count("*").alias("targets"), F.sum(DEPOSIT).alias("total_deposit_manyen")
+    )
+    named = totals.join(branch.select(*BRANCH_KEY, "prefecture"), "branch_id", "left")
+    return named.select("prefecture", *BRANCH_KEY, "segment", "targets", "total_deposit_manyen")
+
+
+def breakdown_kpis(breakdown: DataFrame) -> DataFrame:
+    """The KPIs of a breakdown, whole or filtered by :func:`target_filter`."""
+    return breakdown.agg(
+        F.coalesce(F.sum("targets"), F.lit(0)).alias("target_count"),
+        F.coalesce(F.sum("total_deposit_manyen"), F.lit(0)).alias("total_deposit_manyen"),
+    )

@@ -52,16 +52,20 @@ def cost_by_tag(usage: DataFrame, prices: DataFrame, tag: str, valid_from: str |
 
     Usage without a price counts in the total and, by itself, as ``unpriced_dbus``.
     """
-    totals = (
-        usage.select(
-            F.coalesce(F.element_at("tags", tag), F.lit(UNTAGGED)).alias(tag), "sku_name", "usage_quantity"
-        )
-        .groupBy("sku_name", tag)
-        .agg(F.sum("usage_quantity").cast(_TOTAL).alias("total_dbus"))
-    )
+    label = F.coalesce(F.element_at("tags", tag), F.lit(UNTAGGED))
+    return _cost_by(usage.select(label.alias(tag), "sku_name", "usage_quantity"), prices, tag, valid_from)
+
+
+def cost_by_product(usage: DataFrame, prices: DataFrame, valid_from: str | None = None) -> DataFrame:
+    """Usage and cost per kind of product; usage without a price as in :func:`cost_by_tag`."""
+    return _cost_by(usage, prices, "product", valid_from)
+
+
+def _cost_by(usage: DataFrame, prices: DataFrame, label: str, valid_from: str | None) -> DataFrame:
+    totals = usage.groupBy("sku_name", label).agg(F.sum("usage_quantity").cast(_TOTAL).alias("total_dbus"))
     priced = totals.join(one_price(prices, valid_from), "sku_name", "left")
     unpriced = F.when(F.col("price").isNull(), F.col("total_dbus"))
-    return priced.groupBy(tag).agg(
+    return priced.groupBy(label).agg(
         F.sum("total_dbus").alias("total_dbus"),
         F.coalesce(F.sum(unpriced), F.lit(0)).alias("unpriced_dbus"),
         F.sum(F.col("total_dbus") * F.col("price")).alias("cost"),

@@ -16,11 +16,11 @@ from depositlens.plans.prepare import CUSTOMERS_SILVER
 from depositlens.sources.tables import CONTACT_MONTH, load_table, save_all, save_table
 
 TARGETS = "target_list"
-DATASETS = (TARGETS, "target_kpis", "targets_by_branch", "target_deposits_by_branch", "branch_segment_heatmap")
+DATASETS = (TARGETS, "target_kpis", "targets_by_branch", "target_deposits_by_branch", "branch_segment_heatmap", "target_breakdown")
 
 
 def refresh_gold(spark: SparkSession, database: str, segments: Sequence[str], as_of: AsOf = None) -> list[str]:
-    """Regenerate the five datasets; returns their names.
+    """Regenerate the six datasets; returns their names.
 
     The targets are found once and written as the target list. The aggregates read that table, which is a
     small share of the customers, instead of repeating the join with the contacts.
@@ -37,6 +37,7 @@ def refresh_gold(spark: SparkSession, database: str, segments: Sequence[str], as
         "targets_by_branch": t.count_by_branch(targets, branch),
         "target_deposits_by_branch": t.deposits_by_branch(targets, branch),
         "branch_segment_heatmap": t.branch_segment_heatmap(targets, branch, segments),
+        "target_breakdown": t.target_breakdown(targets, branch),
     }
     save_all(spark, [partial(save_table, df, database, name) for name, df in datasets.items()])
     return list(DATASETS)

@@ -91,3 +91,17 @@ DISPLAY_NAMES = {
     "channel": "チャネル",
     "voice_text": "本文",
 }
+
+# The same with headings of our own for the columns that the joins and labels add, and for contacts.
+SILVER_DISPLAY_NAMES = DISPLAY_NAMES | {
+    "phone_number": "電話番号",
+    "branch_name": "店舗名",
+    "area": "エリア",
+    "prefecture": "都道府県",
+    "employee_name": "担当者名",
+    "sentiment": "感情",
+    "contact_id": "接触ID",
+    "contact_date": "接触日",
+    "product": "商品",
+    "result": "結果",
+}

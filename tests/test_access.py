@@ -66,3 +66,16 @@ def test_gated_mask(spark):
     hidden = access.gated_mask(customers, members, "ben", "advisers")
     masked = {row.customer_id: row.phone_number for row in hidden.collect()}
     assert masked[1] == "***-****-****" and masked[9] is None and masked[10] == "none"
+
+
+def test_governed_rows_and_phones(spark):
+    customers = spark.createDataFrame(
+        [(1, "b1", "03-1"), (2, "b2", "03-2"), (3, None, "03-3")], "customer_id long, branch_id string, phone_number string"
+    )
+    rights = spark.createDataFrame([("ann", "b1"), ("ann", "b1"), ("bob", "b2")], "user string, branch_id string")
+    members = spark.createDataFrame([("bob", "advisers")], "user string, group string")
+    seen = {
+        user: [tuple(row) for row in access.governed(customers, rights, members, user, "advisers").collect()]
+        for user in ("ann", "bob", "eve")
+    }
+    assert seen == {"ann": [(1, "b1", "**-*")], "bob": [(2, "b2", "03-2")], "eve": []}

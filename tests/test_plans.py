@@ -53,11 +53,16 @@ def test_daily_job(spark, database, landing, capsys):
     spark.sql(f"DROP SCHEMA {database}")  # the job makes it
     daily.main(
         ["--database", database, "--landing", landing, "--as-of", str(data.TODAY), "--segments", "wealthy", "mass"]
+        + ["--tags", "team=retail"]
     )
     written = capsys.readouterr().out.split()
     assert len(written) == 5 + 2 + len(DATASETS)
     assert all(spark.catalog.tableExists(name) for name in written)
     assert data.ids(tables.load_table(spark, database, "target_list")) == [3, 7, 8, 10]
+    comments = {row.name: row.description for row in spark.catalog.listColumns(f"{database}.customers_silver")}
+    assert comments["prefecture"] == "都道府県"
+    tags = spark.sql(f"SHOW TBLPROPERTIES {database}.target_kpis").collect()
+    assert ("team", "retail") in [tuple(row) for row in tags]
 
 
 def test_refresh_needs_prepared_tables(spark, database, landing):

@@ -103,3 +103,10 @@ def test_hot_employee_is_split(spark, small_skew, hot):
     assert len(rows) == 60_000
     assert all((row.employee_name == "someone") == (row.employee_id is not None) for row in rows)
     assert "skew=true" in data.plan(joined)
+
+
+def test_display_names_of_joined_columns(tables):
+    full = silver.customers_silver(*tables)
+    shown = silver.display_columns(full, schemas.SILVER_DISPLAY_NAMES)
+    assert {"店舗名", "都道府県", "担当者名", "電話番号"} <= set(shown.columns)
+    assert silver.english_columns(shown, schemas.SILVER_DISPLAY_NAMES).columns == full.columns

@@ -236,3 +236,14 @@ def test_customers_of_a_hot_branch_are_not_shuffled_by_branch(spark, small_skew)
         text = data.plan(result, "simple")
         below = text[text.rindex("Exchange hashpartitioning(branch_id", 0, text.index("Range (")) :]
         assert "partial_" in below.split("Range (")[0]
+
+
+def test_breakdown_under_every_filter(spark, found):
+    breakdown = targets.target_breakdown(found, data.branch(spark))
+    assert targets.breakdown_kpis(breakdown).collect() == targets.target_kpis(found).collect()
+    segments = [row.segment for row in found.select("segment").distinct().collect() if row.segment]
+    for segment in segments:
+        part = targets.breakdown_kpis(targets.target_filter(breakdown, segments=[segment]))
+        assert part.collect() == targets.target_kpis(targets.target_filter(found, segments=[segment])).collect()
+    none = targets.breakdown_kpis(targets.target_filter(breakdown, segments=["nowhere"])).first()
+    assert tuple(none) == (0, 0)
