@@ -68,7 +68,7 @@ def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def searches(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return bm25_wand.search(docs, docs.where("doc_id % 100 = 0")).select(
+    return bm25_wand.search(docs, docs.where("doc_id % 100 = 0"), terms=16).select(
         "query_id", F.col("rank").cast("long").alias("rank"), "doc_id", F.round("score", 6).alias("score")
     )
 

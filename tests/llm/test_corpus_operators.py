@@ -266,6 +266,25 @@ def test_search_is_exact(spark, docs, texts, settings):
     assert bm25_wand.search(docs.limit(0), docs).isEmpty() and bm25_wand.search(docs, docs.limit(0)).isEmpty()
 
 
+def test_search_asks_with_the_whole_text(spark, settings):
+    settings({"spark.sql.execution.arrow.maxRecordsPerBatch": "300"})
+    chance = random.Random(5)
+    common = [f"w{n}" for n in range(400)]
+    texts = [" ".join(chance.choices(common, [1 / (n + 1) for n in range(400)], k=chance.randint(5, 160))) for _ in range(900)]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    found = bm25_wand.search(docs, docs.where("doc_id % 60 = 0")).collect()
+    tfs = [Counter(text.encode().split()) for text in texts]
+    df = Counter(term for own in tfs for term in own)
+    mean = sum(sum(own.values()) for own in tfs) / len(tfs)
+    idf = {term: math.log(1 + (len(tfs) - n + 0.5) / (n + 0.5)) for term, n in df.items()}
+    expected = []
+    for q in range(0, len(texts), 60):
+        scores = [(-round(sum(idf[t] * own[t] * 2.2 / (own[t] + 1.2 * (0.25 + 0.75 * sum(own.values()) / mean)) for t in tfs[q] if t in own), 9), n) for n, own in enumerate(tfs)]
+        expected += [(q, rank, n) for rank, (s, n) in enumerate(sorted(x for x in scores if x[0] < 0)[:10], 1)]
+    assert max(len(tfs[q]) for q in range(0, len(texts), 60)) > 40
+    assert sorted((r.query_id, r.rank, r.doc_id) for r in found) == expected
+
+
 # --- pipeline ------------------------------------------------------------------------------------------
 
 
