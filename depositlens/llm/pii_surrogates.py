@@ -16,6 +16,7 @@ As a check against a faulty format, each document's entities are compared with t
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -49,6 +50,11 @@ SECRETS = "token secret password passwd passphrase pwd api_key apikey api-key ac
 # Letters that replace each other.
 LETTERS = ["aeiou", "bcdfghjklmnpqrstvwxyz", "àáâãäåèéêëìíîïòóôõöùúûü", "çñ", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ"]
 HEX = "0123456789abcdef"
+# Classes of IPv6 addresses, the narrow ones first: loopback and none, mapped, documentation, link-local, local, multicast, others.
+NETWORKS6 = [
+    (int(ipaddress.IPv6Address(prefix)), bits)
+    for prefix, bits in (("::", 127), ("::ffff:0:0", 96), ("2001:db8::", 32), ("fe80::", 64), ("fe80::", 10), ("fc00::", 7), ("ff00::", 8), ("2000::", 3), ("::", 0))
+]
 
 CLASS_OF = {letter: letters for letters in LETTERS for letter in letters}
 NAME = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
@@ -202,6 +208,22 @@ def address_surrogate(mix: Permutation, text: str) -> str:
             return ".".join(map(str, new))
 
 
+def _network6(value: int) -> int:
+    """The place of an IPv6 address's class in ``NETWORKS6``."""
+    return next(n for n, (prefix, bits) in enumerate(NETWORKS6) if value >> (128 - bits) == prefix >> (128 - bits))
+
+
+def address6_surrogate(mix: Permutation, text: str) -> str:
+    value = int(ipaddress.IPv6Address(text))
+    network = _network6(value)
+    prefix, bits = NETWORKS6[network]
+    size = 1 << (128 - bits)
+    while True:  # along the cycle to the next address of the same class
+        value = prefix + mix.next(value - prefix, size, f"address6/{network}")
+        if _network6(value) == network:
+            return str(ipaddress.IPv6Address(value))
+
+
 def mail_surrogate(mix: Permutation, text: str) -> str:
     local, _, domain = text.rpartition("@")
     host, dot, top = domain.rpartition(".")
@@ -231,7 +253,7 @@ def name_surrogate(mix: Permutation, text: str) -> str:
 
 
 SURROGATES = {
-    "mail": mail_surrogate, "phone": phone_surrogate, "card": card_surrogate, "ip": address_surrogate,
+    "mail": mail_surrogate, "phone": phone_surrogate, "card": card_surrogate, "ip": address_surrogate, "ip6": address6_surrogate,
     "secret": secret_surrogate, "given": given_surrogate, "name": name_surrogate, "number": lambda mix, text: permuted(mix, text, "number"),
 }
 
@@ -242,10 +264,14 @@ LOCAL = re.compile(r"[\w.+%-]{1,64}\Z")
 RUN = re.compile(r"\+?[(（]?\d(?:[ \t.()/（）－‐–-]{0,2}\d)+")
 ADDRESS = re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\d]|\.\d)", re.ASCII)
 VERSION = re.compile(r"\b(?:v|ver|version|release)\.?\s*\Z", re.I)
-ASSIGNED = re.compile(r"(?:=>?|:)[ \t]*[\"'“”]?([^\s\"'“”<>,;|]{6,})")
+ADDRESS6 = re.compile(r"[0-9A-Fa-f]{0,4}:[0-9A-Fa-f]{0,4}:[0-9A-Fa-f:]*(?:(?:\.\d{1,3}){3})?", re.ASCII)
+# Latin letters, and digits: what a number, an account or an address may not touch. Other scripts write words next to numbers.
+LATIN = "A-Za-zªºÀ-ÖØ-öø-ɏḀ-ỿＡ-Ｚａ-ｚ"
+TOUCHING = re.compile(rf"[\d{LATIN}]")
+ASSIGNED = re.compile(r"(?:=>?|:)[ \t]*[\"'“”]?(?:(?i:bearer|basic|token|apikey|negotiate)[ \t]+(?!\w+=[\"'\w]))?([^\s\"'“”<>,;|]{6,})")
 KEYWORD = re.compile(r"(?:" + "|".join(SECRETS) + r")[\w-]{0,24}[\"']?[ \t]*\Z", re.I)
 SOCIAL = re.compile(r"\d{3}-\d{2}-\d{4}")
-ACCOUNT = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
+ACCOUNT = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + rf"(?![\d_{LATIN}])")
 PHONE = re.compile(r"\+\d{1,3}[ \t.(/（－‐–-].*|[(（]\d{2,4}[)）][ \t./-]?.*|[0０]\d{1,4}[ \t./－‐–-]\d.*|\d{3}[ .-]\d{3}[ .-]\d{4}|\+\d{8,15}|[0０]\d{9,10}")
 TITLED = re.compile(r"(?:" + "|".join(TITLES) + rf")\.?[ \t]+({NAME}(?:[ \t]+{NAME})?)")
 GIVEN = re.compile(r"(?:" + "|".join(sorted(LISTED, key=len, reverse=True)) + rf")(?!\w)(?:[ \t]+({NAME}))?")
@@ -274,7 +300,7 @@ def _numbers(text: str) -> Iterator[Entity]:
     for run in RUN.finditer(text):
         start, end = run.span()
         before = text[max(0, start - 2) : start]
-        if before[-1:].isalnum() and run[0][0] not in "+(" or re.search(r"\d[.,]\Z", before) or text[end : end + 1].isalpha():
+        if TOUCHING.match(before[-1:]) and run[0][0] not in "+(" or re.search(r"\d[.,]\Z", before) or TOUCHING.match(text, end):
             continue
         place = start
         for found in ADDRESS.finditer(text, start, end):
@@ -291,7 +317,7 @@ def _kind(number: str) -> str | None:
         return "number"
     if 9 <= size <= 15 and PHONE.fullmatch(number):
         return "phone"
-    if 13 <= size <= 19 and re.fullmatch(r"\d+|\d{4}(?:[ -]\d{4}){2,3}(?:[ -]\d{1,4})?", number):
+    if 13 <= size <= 19 and re.fullmatch(r"\d+|\d{4}(?:[ -]\d{4}){2,3}(?:[ -]\d{1,4})?|\d{4}[ -]\d{6}[ -]\d{4,5}", number):
         return "card"
     return None
 
@@ -317,10 +343,28 @@ def _number_kinds(run: str, start: int) -> Iterator[Entity]:
 
 def _accounts(text: str) -> Iterator[Entity]:
     for found in ACCOUNT.finditer(text):
-        if not (found.start() and text[found.start() - 1].isalnum()):
+        if not (found.start() and TOUCHING.match(text, found.start() - 1)):
             yield Entity("number", *found.span(), found[0])
 
 
+def _addresses6(text: str) -> Iterator[Entity]:
+    """IPv6 addresses, in their shortest form whatever the notation; not the loopback address."""
+    if text.count(":") < 2:
+        return
+    for found in ADDRESS6.finditer(text):
+        start, end = found.span()
+        if text[end - 1] == ":" and text[end - 2] != ":":
+            end -= 1
+        if start and (text[start - 1] in "_:" or TOUCHING.match(text, start - 1)) or TOUCHING.match(text, end) or not re.search(r"\d", text[start:end]):
+            continue
+        try:
+            value = ipaddress.IPv6Address(text[start:end])
+        except ValueError:
+            continue
+        if int(value) > 1:
+            yield Entity("ip6", start, end, str(value))
+
+
 def _names(text: str) -> Iterator[Entity]:
     for found in TITLED.finditer(text):
         if found.start() and text[found.start() - 1].isalnum():
@@ -343,7 +387,7 @@ def _names(text: str) -> Iterator[Entity]:
 def entities(text: str) -> list[Entity]:
     """What is replaced in ``text``, in order, without overlap; of overlapping finds the earlier kind stays."""
     found: list[Entity] = []
-    for kind in (_mails, _secrets, _accounts, _numbers, _names):
+    for kind in (_mails, _secrets, _accounts, _addresses6, _numbers, _names):
         new = list(kind(text))
         if new and found:
             new = [e for e in new if not any(e.start < old.end and old.start < e.end for old in found)]
@@ -388,7 +432,7 @@ def replace_personal_data(docs: DataFrame, key: str = KEY, text_col: str = "text
     """``docs`` with surrogates in the text column.
 
     With ``spans`` also an array column of that name: kind, start (code points, in the original), original and
-    surrogate of each entity. A NULL text stays NULL and has no entities, an empty one stays empty. Repeated rows are
+    surrogate of each entity; the original of an IPv6 address is in its shortest form. A NULL text stays NULL and has no entities, an empty one stays empty. Repeated rows are
     replaced alike; an empty table gives no rows; other columns stay.
     """
     span = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("original", T.StringType()), T.StructField("surrogate", T.StringType())])

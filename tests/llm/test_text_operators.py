@@ -46,6 +46,29 @@ def test_surrogates_keep_the_format(value):
     assert replace(new[0])[1][0].kind == found[0].kind
 
 
+@pytest.mark.parametrize("value", ["09012345678", "743-555-3824", "4111 1111 1111 1111", "129.38.82.176", "123-45-6789", "DE89 3704 0044 0532 0130 00", "3782-822463-10005", "3782 822463 10005", "2001:db8:1:2::17", "2A02:8071:0:0:0:0:0:9", "::ffff:129.38.82.176", "fe80::1a2b"])
+@pytest.mark.parametrize(("before", "after"), [("電話は", "です"), ("号码", "。"), ("カード", "を"), ("번호는 ", "입니다"), ("โทร", "ครับ"), (" ", " ")])
+def test_surrogates_in_scripts_without_spaces(value, before, after):
+    text, found, new = pii_surrogates.Replacer("k")(f"{before}{value}{after}")
+    assert len(found) == 1 and text == f"{before}{new[0]}{after}" and value not in text
+
+
+def test_numbers_inside_latin_words_stay():
+    for text in ("x09012345678", "09012345678b", "é4111111111111111", "std::vector a::b 12:34:56 00:1a:2b:3c:4d:5e ::1"):
+        assert pii_surrogates.Replacer("k")(text)[1] == []
+
+
+@pytest.mark.parametrize("scheme", ["Bearer", "bearer", "Basic", "Token"])
+def test_secret_after_a_scheme(scheme):
+    text, found, _ = pii_surrogates.Replacer("k")(f"Authorization: {scheme} f3ef4d6b2755q")
+    assert text.startswith(f"Authorization: {scheme} ") and [e.text for e in found] == ["f3ef4d6b2755q"] and "f3ef4d6b2755q" not in text
+
+
+def test_notations_of_an_address_are_one():
+    text, _, new = pii_surrogates.Replacer("k")("2001:DB8::1: and 2001:db8:0:0:0:0:0:1.")
+    assert new[0] == new[1] and new[0].startswith("2001:db8:") and text == f"{new[0]}: and {new[0]}."
+
+
 def test_surrogates_by_type():
     replace = pii_surrogates.Replacer("k")
     cards = [replace(number)[0] for number in ("4111111111111111", "4111111111111112")]
