@@ -2,10 +2,13 @@
 
 The standard library's parser streams a page's events. They become lines: the text between two block tags, with the
 number of tags met in it. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments are left out while streaming, by element and by class, id or role. The lines that stay form regions: an
-article or main element is one, and outside of those each run of lines that nothing left out interrupts. The ratio of
-characters to tags of each line is smoothed with a Gaussian along the page, a threshold parts the smoothed ratios into two
-clusters, and the regions with a line in the upper cluster are the content, whole: a short line inside an article belongs to it.
+comments are left out while streaming, by element and by class, id or role. A name that consists of marks only, as in
+``cookie-notice``, always counts. One that merely has a mark in it does not count for an article or main element, nor for a wrapper
+that holds most of the page's text (the page is parsed again without it), and never after a word such as ``has``.
+The lines that stay form regions: an article or main element is one, and outside of those each run of lines that nothing left out
+interrupts. Articles are the content, whole. On a page without any, the ratio of characters to tags of each line is smoothed with a
+Gaussian along the page, and a threshold parts the smoothed ratios into two clusters; if these are clearly apart, the regions
+without a line in the upper cluster are dropped, else all stay.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 
 SIGMA = 1.0
 RADIUS = 2
+APART = 3
 
 # Elements of HTML.
 SILENT = frozenset("head title script style noscript template nav header footer aside form menu dialog button select textarea svg math iframe object canvas audio video map datalist".split())
@@ -35,22 +39,38 @@ MARKS = frozenset("ad ads adv advert adverts advertisement advertisements advert
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
-def _marked(attributes: list[tuple[str, str | None]]) -> bool:
+# Words that begin a name which tells what an element has, not what it is.
+MODIFIERS = frozenset("has have with without no".split())
+HELD, MARKED, PARTLY = 0, 2, 1
+
+
+def _mark(tag: str, attributes: list[tuple[str, str | None]]) -> int:
+    """``MARKED`` by a name of marks only or if hidden, ``PARTLY`` by a name with a mark in it."""
+    found = HELD
     for name, value in attributes:
-        if name in ("class", "id", "role") and value and any(word.lower() in MARKS for word in WORDS.findall(value)):
-            return True
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-    return False
+            return MARKED
+        for token in (value or "").split() if name in ("class", "id", "role") else ():
+            own = [word.lower() for word in WORDS.findall(token) if not word.isdigit()]
+            if own and all(word in MARKS for word in own):
+                return MARKED
+            if tag not in REGIONS and any(word in MARKS for word in own) and own[0] not in MODIFIERS:
+                found = PARTLY
+    return found
 
 
 class Lines(HTMLParser):
     """Collects (text, tags, region) per line; region 0 is outside of any article, with a number per run."""
 
-    def __init__(self) -> None:
+    def __init__(self, spared: frozenset[int] = frozenset()) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, tuple[int, int]]] = []
         self.open: list[tuple[str, bool, bool]] = []  # element, left out from here on, a comment section
+        self.spared = spared  # partly marked elements, by number, that stay
+        self.partly = self.total = 0  # such elements so far; characters that only a partly marked element leaves out, and others
+        self.lost: list[bool] = []  # of each open element, whether more than a partly marked element leaves it out
+        self.sizes: list[tuple[int, int]] = []  # of each open element, its number if partly marked, else 0, and ``total`` before it
+        self.held: dict[int, int] = {}  # characters in partly marked elements
         self.parts: list[str] = []
         self.tags = 0
         self.articles = self.runs = 0
@@ -66,6 +86,18 @@ class Lines(HTMLParser):
     def silent(self) -> bool:
         return bool(self.open) and self.open[-1][1]
 
+    def _close(self, depth: int) -> None:
+        """Close the open elements from ``depth`` on."""
+        for number, before in self.sizes[depth:]:
+            if number:
+                self.held[number] = self.total - before
+        del self.open[depth:], self.lost[depth:], self.sizes[depth:]
+
+    def large(self) -> frozenset[int]:
+        """The partly marked elements that hold most of the page's text."""
+        self._close(0)
+        return frozenset(number for number, size in self.held.items() if 2 * size > self.total)
+
     def _place(self) -> None:
         """The region of what follows."""
         inside = any(tag in REGIONS and not silent for tag, silent, _ in self.open)
@@ -78,16 +110,23 @@ class Lines(HTMLParser):
         if tag in VOID or tag not in NESTED:
             return
         if tag in IMPLIED_END and self.open and self.open[-1][0] == tag:
-            self.open.pop()
-        marked = tag not in ("html", "body") and _marked(attrs)
+            self._close(len(self.open) - 1)
+        mark = HELD if tag in ("html", "body") else _mark(tag, attrs)
+        marked = bool(mark)
         comments = marked and any("comment" in (value or "").lower() for _, value in attrs)
+        number = 0
+        if mark == PARTLY and not comments:
+            self.partly += 1
+            number, marked = self.partly, self.partly not in self.spared
         if tag in REGIONS and not marked and not any(section for _, _, section in self.open):
             while self.silent():  # an article does not lie inside a menu that was never closed
-                self.open.pop()
+                self._close(len(self.open) - 1)
             if not any(name in REGIONS for name, _, _ in self.open):
                 self.articles += 1
         was = self.silent()
         silent = was or marked or tag in SILENT
+        self.lost.append(bool(self.lost) and self.lost[-1] or tag in SILENT or marked and not number)
+        self.sizes.append((number, self.total))
         self.open.append((tag, silent, comments or (bool(self.open) and self.open[-1][2])))
         if silent and not was:
             self.runs += 1
@@ -103,13 +142,15 @@ class Lines(HTMLParser):
         for depth in range(len(self.open) - 1, -1, -1):
             name, silent, _ = self.open[depth]
             if name == tag:
-                del self.open[depth:]
+                self._close(depth)
                 break
             if name in ("td", "th") and tag in ("p", "li", "span") or name in REGIONS and tag not in ("html", "body"):
                 break  # a stray end tag does not reach out of a cell or an article
         self._place()
 
     def handle_data(self, data: str) -> None:
+        if not (self.lost and self.lost[-1]):
+            self.total += len("".join(data.split()))
         if not self.silent():
             self.parts.append(data)
 
@@ -142,21 +183,31 @@ def main_text(html: str | None) -> str:
     """The article's text, blocks joined by one space; empty for NULL, for no text and for boilerplate alone."""
     if not html:
         return ""
-    parser = Lines()
-    parser.feed(html[: _complete(html)])
-    parser.close()
-    parser.close_line()
+    parser = _parsed(html)
+    if large := parser.large():
+        parser = _parsed(html, large)
     lines = parser.lines
+    if any(region[0] for _, _, region in lines):
+        return " ".join(text for text, _, region in lines if region[0])
     if not lines:
         return ""
-    if parser.articles and any(region[0] for _, _, region in lines):
-        lines = [line for line in lines if line[2][0]]
     ratios = smoothed_ratios(lines)
     cut = threshold(ratios)
-    content = {line[2] for line, ratio in zip(lines, ratios, strict=True) if ratio >= cut}
+    upper = ratios >= cut
+    if upper.all() or ratios[upper].mean() < APART * ratios[~upper].mean():
+        return " ".join(text for text, _, _ in lines)
+    content = {line[2] for line, high in zip(lines, upper, strict=True) if high}
     return " ".join(text for text, _, region in lines if region in content)
 
 
+def _parsed(html: str, spared: frozenset[int] = frozenset()) -> Lines:
+    parser = Lines(spared)
+    parser.feed(html[: _complete(html)])
+    parser.close()
+    parser.close_line()
+    return parser
+
+
 def _complete(html: str) -> int:
     """Where a tag begins that the end of the page cuts off; else the page's length."""
     start = html.rfind("<")

@@ -125,6 +125,27 @@ def test_main_text(html, text):
     assert html_ratio.main_text(html) == text
 
 
+LONG, SHORT = "A long paragraph that says a lot about the matter at hand.", "A short one about it."
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<p>{LONG}</p><p>{LONG}</p><div class='ad'>buy</div><p>{SHORT} {SHORT}</p>", f"{LONG} {LONG} {SHORT} {SHORT}"),
+        (f"<article><p>{LONG * 9}</p></article><article><p>Tiny.</p></article>", f"{LONG * 9} Tiny."),
+        (f"<main class='with-sidebar'><p>{LONG}</p></main>", LONG),
+        (f"<article class='post tag-social has-comments'><p>{LONG}</p></article>", LONG),
+        (f"<div class='page has-sidebar'><p>{LONG}</p></div><div class='site-footer'>f</div>", LONG),
+        (f"<div class='layout-sidebar-right'><p>{LONG}</p><div class='sidebar'>s</div></div>", LONG),
+        (f"<div id='sidebar-page'><div class='header-fixed'><p>{LONG}</p><nav>n</nav></div><div class='ad-slot'>buy</div></div>", LONG),
+        (f"<p>{LONG}</p><div class='comments-area'><p>{LONG * 5}</p></div>", LONG),
+        (f"<div>{LONG * 4}</div><div class='ad'>x</div>" + "<div><a>Go</a></div>" * 8, LONG * 4),
+    ],
+)
+def test_content_is_not_lost(html, text):
+    assert html_ratio.main_text(html) == text
+
+
 def test_ratios_and_threshold():
     lines = [("x" * size, 1, (0, 0)) for size in (5, 4, 200, 180, 6, 5)]
     ratios = html_ratio.smoothed_ratios(lines)
