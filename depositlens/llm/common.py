@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from depositlens.sources.shared import fresh_path
 
+LONGEST_WORD = 256
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -78,13 +79,14 @@ def pieces(batches: Iterator[pa.RecordBatch], octets: str, most: int) -> Iterato
 
 
 def most_frequent(counted: DataFrame, word: str, count: str, most: int) -> list[tuple[bytes | str, int]]:
-    """Words with their counts, frequent first, ties by the word: all down to the level of count at which there are
-    ``most`` at most.
+    """Words of up to ``LONGEST_WORD`` bytes with their counts, frequent first, ties by the word: all down to the level of count at
+    which there are ``most`` at most. So the driver gets ``most * LONGEST_WORD`` bytes of words at most, and callers
+    treat a longer word like a rare one.
 
     Levels are eighths of a power of two, so the driver gets a few hundred level sizes and then ``most`` rows at most, however
     many tasks and words there are.
     """
-    levelled = counted.withColumn("level", F.floor(F.log2(F.col(count)) * 8))
+    levelled = counted.where(F.octet_length(word) <= LONGEST_WORD).withColumn("level", F.floor(F.log2(F.col(count)) * 8))
     sizes = sorted(levelled.groupBy("level").count().collect(), key=lambda row: -row.level)
     lowest, total = None, 0
     for row in sizes:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from checks.compare import difference, oracle_connection
-from depositlens.llm import bm25_wand, decontaminate, log_bilinear, repeat_bwt, simhash_balls
+from depositlens.llm import bm25_wand, common, decontaminate, log_bilinear, repeat_bwt, simhash_balls
 from depositlens.llm.components import components
 from depositlens.llm.queries import ORACLE, QUERIES
 
@@ -228,6 +228,15 @@ def test_scores(spark, docs, texts):
     assert log_bilinear.score_texts(spark.createDataFrame([], DOCS)).isEmpty()
 
 
+def test_frequent_words_are_bounded_in_bytes(spark):
+    rows = [(b"a", 5), (b"b" * common.LONGEST_WORD, 9), (b"c" * (common.LONGEST_WORD + 1), 99), (b"", 1)]
+    for kind, cast in (("binary", bytes), ("string", bytes.decode)):
+        counted = spark.createDataFrame([(cast(word), n) for word, n in rows], f"word {kind}, n long")
+        assert common.most_frequent(counted, "word", "n", 10) == [(cast(b"b" * common.LONGEST_WORD), 9), (cast(b"a"), 5), (cast(b""), 1)]
+    accented = spark.createDataFrame([("é" * common.LONGEST_WORD, 3)], "word string, n long")
+    assert common.most_frequent(accented, "word", "n", 10) == []
+
+
 def test_shares_are_normalised_and_gradient_is_right():
     model = log_bilinear.initial_model(np.full(log_bilinear.CLASSES, 1 / log_bilinear.CLASSES))
     pairs = np.array([3, 777, (log_bilinear.START) * (log_bilinear.CLASSES + 1) + log_bilinear.START])
@@ -269,8 +278,8 @@ def test_search_is_exact(spark, docs, texts, settings):
 def test_search_asks_with_the_whole_text(spark, settings):
     settings({"spark.sql.execution.arrow.maxRecordsPerBatch": "300"})
     chance = random.Random(5)
-    common = [f"w{n}" for n in range(400)]
-    texts = [" ".join(chance.choices(common, [1 / (n + 1) for n in range(400)], k=chance.randint(5, 160))) for _ in range(900)]
+    frequent = [f"w{n}" for n in range(400)]
+    texts = [" ".join(chance.choices(frequent, [1 / (n + 1) for n in range(400)], k=chance.randint(5, 160))) for _ in range(900)]
     docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
     found = bm25_wand.search(docs, docs.where("doc_id % 60 = 0")).collect()
     tfs = [Counter(text.encode().split()) for text in texts]
