@@ -18,6 +18,7 @@ from depositlens.llm import (
     pii_surrogates,
     ppm_language,
     repeat_bwt,
+    role_glr,
     simhash_balls,
     url_trees,
 )
@@ -77,6 +78,23 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_language.predict_languages(read(spark, sf_dir, "documents"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """``conversations`` with the contract's damage; ``present`` is false for a dropped row."""
+    or_space = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    harm = F.crc32(F.concat(or_space("conv_id"), F.lit(":"), or_space("turn")).cast("binary")) % 20
+    return turns.select(
+        "conv_id", "turn",
+        F.when(harm == 4, "user").otherwise(or_space("role")).alias("role"),
+        F.when(harm == 1, "").when(harm == 2, F.translate(or_space("text"), ".!?", "")).otherwise(or_space("text")).alias("text"),
+        (harm != 0).alias("present"),
+        F.explode(F.sequence(F.lit(1), F.when(harm == 3, 2).otherwise(1))).alias("copy"),
+    )
+
+
+def repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return role_glr.repair(damaged(read(spark, sf_dir, "conversations")), present=F.col("present"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii_surrogates": pii,
     "op2_html_main_text": html,
@@ -88,10 +106,93 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_classes": near_copies,
     "op9_topk_search": searches,
     "op10_language_id": languages,
+    "op11_role_repair": repairs,
     "pipeline": corpus_pipeline.run,
 }
 
+def _edit(path: str, price: str, letter: str) -> str:
+    """SQL of a path, nine digits of cost and the audit, after an edit."""
+    return f"lpad(CAST(CAST(left({path}, 9) AS INT) + {price} AS VARCHAR), 9, '0') || substr({path}, 10) || '{letter}'"
+
+
+def _best(*paths: str) -> str:
+    return f"least({', '.join(f'({path})' for path in paths)})"
+
+
+#: A row's edits: the best paths that end empty (e), after a lone system turn (s), a user turn (u) or a pair (p), then with insertions.
+_EDITED = {
+    "e": _edit("e", "2", "D"),
+    "s": _best(_edit("s", "2", "D"), f"CASE WHEN ok AND i = 's' THEN {_edit('e', 'extra', 'K')} END"),
+    "u": _best(
+        _edit("u", "2", "D"),
+        *(f"CASE WHEN ok AND i = 'u' THEN {_edit(p, 'extra', 'K')} END" for p in "esp"),
+        *(f"CASE WHEN ok THEN {_edit(p, '1 + extra', 'R')} END" for p in "esp"),
+    ),
+    "p": _best(
+        _edit("p", "2", "D"),
+        f"CASE WHEN ok AND i = 'a' THEN {_edit('u', 'extra', 'K')} END",
+        f"CASE WHEN ok THEN {_edit('u', '1 + extra', 'R')} END",
+    ),
+}
+_WAITING = _best("u", *(_edit(p, "5", "I") for p in "esp"))
+
 ORACLE: dict[str, str] = {
+    "op11_role_repair": rf"""
+WITH RECURSIVE original AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+  FROM conversations),
+bytes AS (  -- crc32 as the division of the message bits: one step a byte
+  SELECT k, 0 AS place, 4294967295::BIGINT AS crc FROM (SELECT DISTINCT k FROM original)
+  UNION ALL
+  SELECT k, place + 1, xor(crc >> 8, (SELECT list_reduce([xor(crc, ascii(k[place + 1])) & 255, 1, 1, 1, 1, 1, 1, 1, 1],
+                                      lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)))
+  FROM bytes WHERE place < length(k)),
+harms AS (SELECT k, xor(crc, 4294967295) % 20 AS harm FROM bytes WHERE place = length(k)),
+damaged AS (
+  SELECT conv_id, turn, CASE harm WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE harm WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE harm WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM original JOIN harms USING (k) WHERE harm <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n FROM damaged),
+judged AS (
+  SELECT conv_id, turn, role, text, n, left(role, 1) AS i,
+         CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 'truncated' ELSE '' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) || left(role, 1) AS pair
+  FROM placed),
+steps AS (SELECT conv_id, n, i, fault IN ('', 'truncated') AS ok, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS extra FROM judged),
+paths AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS n, '000000000' AS e, CAST(NULL AS VARCHAR) AS s, '000000005I' AS u, '000000010II' AS p FROM conversations
+  UNION ALL
+  SELECT conv_id, n, e, s, u, {_best("p", _edit("u", "5", "I"))}
+  FROM (SELECT conv_id, n, e, s, {_WAITING} AS u, p
+        FROM (SELECT x.conv_id, y.n, {", ".join(f"{sql} AS {name}" for name, sql in _EDITED.items())}
+              FROM paths x JOIN steps y ON x.conv_id IS NOT DISTINCT FROM y.conv_id AND y.n = x.n + 1))),
+won AS (
+  SELECT conv_id, CAST(left(best, 9) AS BIGINT) AS cost, substr(best, 10) AS audit
+  FROM (SELECT conv_id, least(e, p) AS best FROM paths QUALIFY n = max(n) OVER (PARTITION BY conv_id))),
+letters AS (
+  SELECT conv_id, place, audit[place] AS letter, length(replace(audit, 'D', '')) % 2 AS odd,
+         length(replace(audit[:place], 'I', '')) AS n, length(replace(audit[:place], 'D', '')) AS o
+  FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS place FROM won)),
+repaired AS (
+  SELECT l.conv_id, sha256(string_agg(
+           CASE WHEN letter = 'K' THEN j.role WHEN (o + odd) % 2 = 1 THEN 'user' ELSE 'assistant' END
+           || ':' || CASE letter WHEN 'I' THEN '' ELSE j.text END, chr(10) ORDER BY place)) AS hash
+  FROM letters l LEFT JOIN judged j ON l.conv_id IS NOT DISTINCT FROM j.conv_id AND l.n = j.n
+  WHERE letter <> 'D' GROUP BY l.conv_id),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id)
+SELECT w.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit, coalesce(hash, sha256('')) AS repaired_sha256
+FROM won w LEFT JOIN counted c ON w.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN repaired r ON w.conv_id IS NOT DISTINCT FROM r.conv_id
+""",
     "op7_decontamination": r"""
 WITH items AS (
   SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
