@@ -16,6 +16,7 @@ from depositlens.llm import (
     html_ratio,
     log_bilinear,
     pii_surrogates,
+    pivot_join,
     ppm_language,
     repeat_bwt,
     role_glr,
@@ -95,6 +96,10 @@ def repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return role_glr.repair(damaged(read(spark, sf_dir, "conversations")), present=F.col("present"))
 
 
+def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_join.near_copy_classes(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii_surrogates": pii,
     "op2_html_main_text": html,
@@ -107,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op9_topk_search": searches,
     "op10_language_id": languages,
     "op11_role_repair": repairs,
+    "op12_embedding_classes": near_vectors,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -158,9 +164,11 @@ placed AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n FROM damaged),
 judged AS (
   SELECT conv_id, turn, role, text, n, left(role, 1) AS i,
-         CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+         CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
               WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
-              WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 'truncated' ELSE '' END AS fault,
+              WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 'truncated' ELSE '' END AS fault,
          lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) || left(role, 1) AS pair
   FROM placed),
 steps AS (SELECT conv_id, n, i, fault IN ('', 'truncated') AS ok, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS extra FROM judged),
@@ -245,5 +253,26 @@ scored AS (
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank, doc_id, round(score, 6) AS score
 FROM scored
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) <= 10
+""",
+    "op12_embedding_classes": """
+WITH RECURSIVE vectors AS (
+  SELECT row_number() OVER () AS n, vec_id, label, CAST(embedding AS DOUBLE[]) AS v
+  FROM embeddings),
+usable AS (
+  SELECT * FROM vectors
+  WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NOT NULL AND isfinite(x))) = len(v)
+    AND len(list_filter(v, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT a.n AS x, b.n AS y, b.vec_id AS y_id
+  FROM usable a JOIN usable b ON a.label = b.label AND len(a.v) = len(b.v) AND a.n <> b.n
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reached AS (
+  SELECT n AS x, n AS y FROM vectors
+  UNION
+  SELECT r.x, p.y FROM reached r JOIN pairs p ON r.y = p.x),
+classes AS (SELECT r.x AS n, min(v.vec_id) AS component_id FROM reached r JOIN vectors v ON r.y = v.n GROUP BY r.x),
+counts AS (SELECT x AS n, count(*) AS n_links FROM pairs GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM vectors JOIN classes USING (n) LEFT JOIN counts USING (n)
 """,
 }
