@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from depositlens.llm import (
+    ball_tree,
     bm25_wand,
     bpe_lexicon,
     decontaminate,
@@ -100,6 +101,10 @@ def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_join.near_copy_classes(read(spark, sf_dir, "embeddings"))
 
 
+def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.rank(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii_surrogates": pii,
     "op2_html_main_text": html,
@@ -113,6 +118,7 @@ QUERIES: dict[str, Query] = {
     "op10_language_id": languages,
     "op11_role_repair": repairs,
     "op12_embedding_classes": near_vectors,
+    "op13_ranked_search": ranked,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -274,5 +280,27 @@ classes AS (SELECT r.x AS n, min(v.vec_id) AS component_id FROM reached r JOIN v
 counts AS (SELECT x AS n, count(*) AS n_links FROM pairs GROUP BY x)
 SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
 FROM vectors JOIN classes USING (n) LEFT JOIN counts USING (n)
+""",
+    "op13_ranked_search": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+total AS (SELECT count(*) AS nd, CAST(sum(len(w)) AS BIGINT) AS l FROM docs WHERE len(w) > 0),
+tfs AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(w) AS term FROM docs) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w FROM tfs, total GROUP BY term, nd),
+asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY ALL),
+scored AS (
+  SELECT item_id, t.d, CAST(sum(times * weights.w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(docs.w) * nd) // l)))) AS BIGINT) AS score
+  FROM asked JOIN tfs t USING (term) JOIN weights USING (term) JOIN docs ON docs.d = t.d, total
+  GROUP BY item_id, t.d)
+SELECT item_id, CAST(row_number() OVER best AS INT) AS rank, doc_id, score
+FROM scored JOIN docs USING (d) WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)
+QUALIFY row_number() OVER best <= 20
 """,
 }
