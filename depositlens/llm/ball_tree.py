@@ -31,10 +31,10 @@ from depositlens.llm.common import forget, pieces, settle
 
 TOP = 20
 QUERY_TERMS, QUERY_BYTES = 1 << 18, 8 << 20
-LEAF = 24
+LEAF = 32
 TREE = 2048
-GROUPS = 768
-SINGLE = 512
+GROUPS = 2304
+SINGLE = 2048
 SKETCH = 48
 PIECE = 4 << 20
 SCALE, LENGTH_SHARE = 1_000_000_000, 25
@@ -161,7 +161,8 @@ class BallTree:
         rows = len(lengths)
         of = np.repeat(np.arange(rows), np.diff(starts))
         scores = term_scores(tfs.astype(np.int64), lengths[of], queries.n_docs, queries.total)
-        sketch = np.bincount(of * SKETCH + terms * 40503 % SKETCH, scores.astype(float), rows * SKETCH).reshape(rows, SKETCH)
+        signs = np.where(terms * 2654435761 >> 7 & 1, 1.0, -1.0)
+        sketch = np.bincount(of * SKETCH + (terms * 40503 >> 3) % SKETCH, scores * signs, rows * SKETCH).reshape(rows, SKETCH)
         self.order = np.arange(rows)
         self.spans: list[tuple[int, int]] = []
         self.children: list[tuple[int, int] | None] = []
@@ -174,14 +175,15 @@ class BallTree:
         self._balls(queries, row)
 
     def _split(self, sketch: np.ndarray, low: int, high: int) -> int:
-        """Cut at the median of the direction of greatest spread; the number of the node."""
+        """Cut at the median along the direction of greatest spread in the signed sketch; the number of the node."""
         node = len(self.spans)
         self.spans.append((low, high))
         self.children.append(None)
         if high - low > LEAF:
             own = sketch[self.order[low:high]]
+            own = own - own.mean(axis=0)
+            column = own @ np.linalg.eigh(own.T @ own)[1][:, -1]
             middle = (high - low) // 2
-            column = own[:, own.var(axis=0).argmax()]
             self.order[low:high] = self.order[low:high][np.argpartition(column, middle)]
             self.children[node] = (self._split(sketch, low, low + middle), self._split(sketch, low + middle, high))
         return node
@@ -265,7 +267,7 @@ def ask(listed: DataFrame, shared: Broadcast, item_field: T.StructField, top: in
             kind = batch.schema.field("doc").type
             column = batch.column("terms")
             offsets = column.offsets.to_numpy()
-            tree = BallTree(queries, batch.column("n").to_numpy(), offsets - offsets[0], column.flatten().to_numpy(), batch.column("tfs").flatten().to_numpy())
+            tree = BallTree(queries, batch.column("n").to_numpy(), offsets - offsets[0], column.flatten().to_numpy().astype(np.int64), batch.column("tfs").flatten().to_numpy())
             docs = batch.column("doc").to_pylist()
             for query in range(len(queries.items)):
                 held, scores = best[query]
