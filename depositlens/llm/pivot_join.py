@@ -29,9 +29,9 @@ from depositlens.llm.common import forget, settle
 from depositlens.llm.components import components
 
 THRESHOLD = 0.93
-CELL = 512
+CELL = 4096
 MAX_PIVOTS = 1024
-SAMPLE = 4
+SAMPLE = 4096
 CHUNK = 4096
 BLOCK = 1024
 SLACK = 1e-9
@@ -75,20 +75,23 @@ def distances(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 
 
 def choose_pivots(vectors: DataFrame, total: int, reach: float) -> dict[tuple, np.ndarray]:
-    """Pivots by (label, length): of a sample of ``SAMPLE`` times ``MAX_PIVOTS`` vectors at most, those 2r apart, one for about ``CELL`` vectors.
+    """Pivots by (label, length): one for about ``CELL`` vectors, at least 2r apart, taken from a sample of ``SAMPLE`` vectors at most.
 
-    The sample is that of smallest hash, so a run repeated after a lost executor chooses the same.
+    Those with most of the sample within r/2 come first, so a dense group has its pivot inside. The sample is that of smallest hash, so a
+    run repeated after a lost executor chooses the same.
     """
     wanted = min(MAX_PIVOTS, -(-total // CELL))
-    sample = vectors.orderBy(F.xxhash64("mark"), "mark").limit(SAMPLE * wanted).select("label", "vec").collect()
+    sample: dict[tuple, list] = {}
+    for label, vec in vectors.orderBy(F.xxhash64("mark"), "mark").limit(SAMPLE).select("label", "vec").collect():
+        sample.setdefault((label, len(vec)), []).append(vec)
+    units = {key: matrix(pa.array(own, pa.list_(pa.float64()))) for key, own in sample.items()}
+    near = {key: (distances(own, own) <= reach / 2).sum(axis=1) for key, own in units.items()}
     found: dict[tuple, list[np.ndarray]] = {}
-    number = 0
-    for label, vec in sample:
-        unit = matrix(pa.array([vec], pa.list_(pa.float64())))[0]
-        own = found.setdefault((label, len(vec)), [])
-        if number < wanted and (not own or distances(unit[None], np.array(own)).min() > 2 * reach):
+    for _, key, place in sorted((-int(n), key, place) for key, own in near.items() for place, n in enumerate(own)):
+        own, unit = found.setdefault(key, []), units[key][place]
+        if wanted and (not own or distances(unit[None], np.array(own)).min() > 2 * reach):
             own.append(unit)
-            number += 1
+            wanted -= 1
     return {key: np.array(own) for key, own in found.items() if own}
 
 
