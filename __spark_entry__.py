@@ -228,7 +228,13 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
         _cleansed(t).select("customer_id", "name"), t.contacts(), AS_OF
     ),
     "duplicate_keys": lambda t: quality.duplicate_keys(t.list_prices(), "sku_name"),
-    "usage_cost": lambda t: usage.usage_cost(t.usage(), t.list_prices()),
+    "usage_cost": lambda t: usage.usage_cost(t.usage(), t.list_prices(), "highest"),
+    "usage_cost_by_period": lambda t: usage.usage_cost_by_period(
+        t.usage(), t.price_periods(), "valid_from", "valid_to", "highest"
+    ),
+    "cost_by_tag_by_period": lambda t: usage.cost_by_tag(
+        t.usage(), t.price_periods(), "cost_center", "highest", "valid_from", "valid_to"
+    ),
     "governed_targets": lambda t: _union(
         [
             access.governed(_targets(t, _with_branch(t)), t.entitlements(), t.memberships(), user, GROUP).withColumn(
@@ -260,10 +266,10 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
             segments=["BUILDING", "MACHINERY"],
         )
     ),
-    "cost_by_product": lambda t: usage.cost_by_product(t.usage(), t.list_prices()),
+    "cost_by_product": lambda t: usage.cost_by_product(t.usage(), t.list_prices(), "highest"),
     "usage_7d": lambda t: usage.usage_window(t.usage(), AS_OF),
     "usage_by_product": lambda t: usage.usage_by_product(t.usage()),
-    "cost_by_tag": lambda t: usage.cost_by_tag(t.usage(), t.list_prices(), "cost_center"),
+    "cost_by_tag": lambda t: usage.cost_by_tag(t.usage(), t.list_prices(), "cost_center", "highest"),
     "target_funnel": lambda t: targets.target_funnel(_cleansed(t), t.contacts(), AS_OF),
     "target_kpis": lambda t: targets.target_kpis(_targets(t, _cleansed(t))),
     "run_status": lambda t: usage.run_status(t.runs()),

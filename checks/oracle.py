@@ -77,6 +77,20 @@ TABLES = {
         SELECT CASE WHEN p_partkey % 11 = 5 THEN 'RETIRED_' ELSE 'SKU_' END || p_partkey,
                CAST(CAST(p_retailprice AS DECIMAL(12,2)) / 2 AS DECIMAL(12,2))
         FROM part WHERE p_partkey % 7 = 0""",
+    "price_periods": """
+        SELECT CASE WHEN p_partkey % 11 = 5 THEN 'RETIRED_' ELSE 'SKU_' END || p_partkey AS sku_name,
+               CASE WHEN share = 4 AND p_partkey % 3 = 0 THEN DATE '0001-01-01' WHEN share = 4 THEN DATE '1993-03-01'
+                    WHEN share = 5 OR p_partkey % 7 = 0 THEN DATE '1996-01-01'
+                    ELSE CAST(DATE '1997-01-01' + CAST(p_partkey % 300 AS INTEGER) AS DATE) END AS valid_from,
+               CASE WHEN share = 4 AND p_partkey % 4 = 0 THEN DATE '1995-01-01' END AS valid_to,
+               CAST(CAST(p_retailprice AS DECIMAL(12,2)) * share / 4 AS DECIMAL(12,2)) AS price
+        FROM part, (VALUES (4), (5), (6)) shares(share)""",
+    "priced_usage": """
+        SELECT u.*, CASE WHEN p.valid_to IS NULL OR u.usage_date < p.valid_to THEN p.price END AS price
+        FROM usage u ASOF LEFT JOIN (
+            SELECT sku_name, valid_from, max(price) AS price, arg_max(valid_to, price) AS valid_to
+            FROM price_periods GROUP BY sku_name, valid_from) p
+        ON u.sku_name = p.sku_name AND u.usage_date >= p.valid_from""",
     "runs": """
         SELECT event_id AS run_id, 'task_' || (user_id % 4) AS task,
                CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
@@ -104,6 +118,7 @@ _NEEDS = {
     "last_contacts": ("contacts",),
     "targets": ("silver", "contacts"),
     "voice_silver": ("customer_voice",),
+    "priced_usage": ("usage", "price_periods"),
 }
 
 
@@ -409,6 +424,20 @@ ORACLE: dict[str, str] = {
         "usage",
         "list_prices",
     ),
+    "usage_cost_by_period": _with(
+        """SELECT sku_name, CAST(sum(usage_quantity) AS DOUBLE) AS total_dbus,
+                  CAST(coalesce(sum(usage_quantity) FILTER (price IS NULL), 0) AS DOUBLE) AS unpriced_dbus,
+                  CAST(sum(usage_quantity * price) AS DOUBLE) AS cost
+           FROM priced_usage GROUP BY sku_name""",
+        "priced_usage",
+    ),
+    "cost_by_tag_by_period": _with(
+        """SELECT coalesce(cost_center, 'untagged') AS cost_center, CAST(sum(usage_quantity) AS DOUBLE) AS total_dbus,
+                  CAST(coalesce(sum(usage_quantity) FILTER (price IS NULL), 0) AS DOUBLE) AS unpriced_dbus,
+                  CAST(sum(usage_quantity * price) AS DOUBLE) AS cost
+           FROM priced_usage GROUP BY ALL""",
+        "priced_usage",
+    ),
     "governed_targets": _with(
         f"""SELECT * REPLACE (CASE WHEN EXISTS (SELECT 1 FROM supplier WHERE 'user_' || (s_suppkey % 40) = seen_by
                                                 AND s_suppkey % 10 = 1)

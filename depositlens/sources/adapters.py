@@ -137,6 +137,25 @@ class Tables:
         again = prices.filter(key % 7 == 0).withColumn("price", (F.col("price") / 2).cast(schemas.PRICE))
         return prices.union(again).drop("p_partkey")
 
+    def price_periods(self) -> DataFrame:
+        """Two to three prices per part over time. Every fourth part has none for a year, every seventh two that begin on one day."""
+        key = F.col("p_partkey")
+        day = lambda text: F.lit(text).cast("date")
+        period = lambda start, end, share: F.struct(start.alias("valid_from"), end.alias("valid_to"), F.lit(share).alias("share"))
+        none = F.lit(None).cast("date")
+        periods = F.array(
+            period(F.when(key % 3 == 0, none).otherwise(day("1993-03-01")), F.when(key % 4 == 0, day("1995-01-01")), 4),
+            period(day("1996-01-01"), none, 5),
+            period(F.when(key % 7 == 0, day("1996-01-01")).otherwise(F.date_add(day("1997-01-01"), (key % 300).cast("int"))), none, 6),
+        )
+        listed = self.raw("part").select(
+            F.concat(F.when(key % 11 == 5, "RETIRED_").otherwise("SKU_"), key).alias("sku_name"),
+            F.col("p_retailprice").cast(schemas.PRICE).alias("full"),
+            F.explode(periods).alias("period"),
+        )
+        price = (F.col("full") * F.col("period.share") / 4).cast(schemas.PRICE)
+        return listed.select("sku_name", "period.valid_from", "period.valid_to", price.alias("price"))
+
     def runs(self) -> DataFrame:
         seconds = F.col("value").cast("decimal(12,6)")
         return self.raw("events").select(
