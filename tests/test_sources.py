@@ -1,3 +1,5 @@
+import csv
+import io
 import os
 from datetime import date
 
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 from depositlens import schemas
 from depositlens.operators import targets
 from depositlens.sources import namespace, shared, tables
-from depositlens.sources.files import read_csv, write_csv
+from depositlens.sources.files import read_csv, read_quoted_csv, write_csv
 from tests import data
 
 
@@ -64,6 +66,48 @@ def test_free_text_round_trip(spark, tmp_path):
     assert [row.voice_text for row in back] == [None, *texts[1:]]
 
 
+QUOTED = (
+    'voice_id,received_date,channel,voice_text\n1,2026-08-18,web,"a\r\nb ""q"" , é"\n2,2026-08-19,,"x\ny\n\nz"\n\n'
+    '3,2026-08-20,"tel ",plain\n4,,"",""""\n5,2026-01-01,web,"""\n"""\n6,,,"end\n"'
+)
+
+
+def quoted_rows(text):
+    """What the standard library makes of it, line breaks inside quotes kept."""
+    rows = [row for row in csv.reader(io.StringIO(text, newline="")) if row][1:]
+    return [(int(n), day and date.fromisoformat(day) or None, channel or None, body or None) for n, day, channel, body in rows]
+
+
+@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
+def test_quoted_file_in_any_number_of_splits(spark, tmp_path, settings, line_end):
+    text = QUOTED.replace("\n", line_end) if line_end != "\n" else QUOTED
+    text = text.replace("\r\r", "\r")
+    (tmp_path / "a.csv").write_bytes(("\ufeff" + text).encode())
+    (tmp_path / "empty.csv").write_bytes(b"")
+    expected = quoted_rows(text)
+    assert len(expected) == 6
+    settings({"spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"})
+    for size in (*range(5, 60, 9), 100, 1000):
+        settings({"spark.sql.files.maxPartitionBytes": str(size)})
+        found = read_quoted_csv(spark, str(tmp_path), schemas.CUSTOMER_VOICE)
+        assert sorted(map(tuple, found.collect())) == expected, size
+
+
+def test_one_quoted_file_is_read_by_many_tasks(spark, tmp_path, settings):
+    rows = "".join(f'{n},,x,"{"line" * (n % 7)}\n""{n}"", \nend"\n' for n in range(4000))
+    (tmp_path / "a.csv").write_text("voice_id,received_date,channel,voice_text\n" + rows)
+    settings({"spark.sql.files.maxPartitionBytes": "9973"})
+    found = read_csv(spark, str(tmp_path), schemas.CUSTOMER_VOICE, free_text=True)
+    assert spark.read.option("lineSep", "\n").text(str(tmp_path)).select(F.spark_partition_id()).distinct().count() > 10
+    assert {row.voice_id: row.voice_text for row in found.collect()} == {n: f'{"line" * (n % 7)}\n"{n}", \nend' for n in range(4000)}
+
+
+def test_a_quoted_cell_that_does_not_end_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('voice_id,received_date,channel,voice_text\n1,,x,"open\n2,,x,y\n')
+    with pytest.raises(ValueError, match="does not end"):
+        read_csv(spark, str(tmp_path), schemas.CUSTOMER_VOICE, free_text=True)
+
+
 def test_free_text_is_written_to_many_files(spark, tmp_path):
     path = str(tmp_path / "numbers")
     write_csv(spark.range(0, 10, 1, 1), path, max_records_per_file=3)
