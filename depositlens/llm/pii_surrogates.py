@@ -10,7 +10,8 @@ joined or remembered. Each permutation is one cycle over its domain, so no value
   phone numbers their country code or leading zero, mail addresses their top-level domain and a reserved example domain;
 * a given name of the list becomes one of the same gender and script, any other name one that is not in the list.
 
-As a check against a faulty format, each document's entities are compared with their surrogates: a collision is an error.
+Each document's entities are compared with their surrogates: should two share one, one goes on along its cycle. A name found once is
+replaced throughout its document.
 """
 
 from __future__ import annotations
@@ -50,6 +51,9 @@ SECRETS = "token secret password passwd passphrase pwd api_key apikey api-key ac
 # Letters that replace each other.
 LETTERS = ["aeiou", "bcdfghjklmnpqrstvwxyz", "àáâãäåèéêëìíîïòóôõöùúûü", "çñ", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ"]
 HEX = "0123456789abcdef"
+HEX_ONLY = re.compile(r"[0-9a-f]+")
+# How issued keys begin; they keep that.
+PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "glpat-", "sk_live_", "sk_test_", "rk_live_", "pk_live_", "xoxb-", "xoxp-", "eyJ")
 # Classes of IPv6 addresses, the narrow ones first: loopback and none, mapped, documentation, link-local, local, multicast, others.
 NETWORKS6 = [
     (int(ipaddress.IPv6Address(prefix)), bits)
@@ -122,8 +126,11 @@ def _alphabet(character: str) -> str:
 
 
 def permuted(mix: Permutation, text: str, label: str, alphabet: Callable[[str], str] = _alphabet, case: bool = True) -> str:
-    """``text`` with each replaceable character replaced by one of its class; the same for any case if ``case``."""
-    plain = text.lower() if case and len(text.lower()) == len(text) else text
+    """``text`` with each replaceable character replaced by one of its class; the same for any case if ``case``.
+
+    Case is folded only where it can be brought back: the Kelvin or Angstrom sign, which lower like K and Å, are characters of their own.
+    """
+    plain = "".join(c.lower() if c.lower().upper() == c else c for c in text) if case else text
     classes = [alphabet(c) for c in plain]
     size, rank = 1, 0
     for c, letters in zip(plain, classes, strict=True):
@@ -235,9 +242,13 @@ def mail_surrogate(mix: Permutation, text: str) -> str:
 
 
 def secret_surrogate(mix: Permutation, text: str) -> str:
-    if re.fullmatch(r"[0-9a-f]+", text):
+    if HEX_ONLY.fullmatch(text):
         return permuted(mix, text, "secret", lambda c: HEX, case=False)
-    return permuted(mix, text, "secret", case=False)
+    known = next((own for own in PREFIXES if text.startswith(own)), "")
+    new = known + permuted(mix, text[len(known) :], f"secret/{known}", case=False)
+    while HEX_ONLY.fullmatch(new):  # along the cycle to one that no secret of hex digits can get
+        new = known + permuted(mix, new[len(known) :], f"secret/{known}", case=False)
+    return new
 
 
 def given_surrogate(mix: Permutation, text: str) -> str:
@@ -269,10 +280,18 @@ ADDRESS6 = re.compile(r"[0-9A-Fa-f]{0,4}:[0-9A-Fa-f]{0,4}:[0-9A-Fa-f:]*(?:(?:\.\
 LATIN = "A-Za-zªºÀ-ÖØ-öø-ɏḀ-ỿＡ-Ｚａ-ｚ"
 TOUCHING = re.compile(rf"[\d{LATIN}]")
 ASSIGNED = re.compile(r"(?:=>?|:)[ \t]*[\"'“”]?(?:(?i:bearer|basic|token|apikey|negotiate)[ \t]+(?!\w+=[\"'\w]))?([^\s\"'“”<>,;|]{6,})")
+ISSUED = re.compile(
+    r"(?<![\w-])(?:A[KS]IA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,255}|github_pat_\w{30,255}|glpat-[\w-]{20,64}|[srp]k_(?:live|test)_[A-Za-z0-9]{16,255}"
+    r"|xox[bp]-[\w-]{20,255}|eyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8,})(?![\w-])",
+    re.ASCII,
+)
+PEM = re.compile(r"-----BEGIN ([A-Z ]{0,40}PRIVATE KEY)-----\s+([A-Za-z0-9+/=\s]{32,}?)\s+-----END \1-----")
+SAID = re.compile(r"\b(?:password|passwd|passphrase|pwd)[ \t]+(?:is|was)[ \t]+[\"'“”]?(?=[^\s\"'“”<>,;|]*\d)([^\s\"'“”<>,;|]{6,})", re.I)
 KEYWORD = re.compile(r"(?:" + "|".join(SECRETS) + r")[\w-]{0,24}[\"']?[ \t]*\Z", re.I)
 SOCIAL = re.compile(r"\d{3}-\d{2}-\d{4}")
 ACCOUNT = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + rf"(?![\d_{LATIN}])")
 PHONE = re.compile(r"\+\d{1,3}[ \t.(/（－‐–-].*|[(（]\d{2,4}[)）][ \t./-]?.*|[0０]\d{1,4}[ \t./－‐–-]\d.*|\d{3}[ .-]\d{3}[ .-]\d{4}|\+\d{8,15}|[0０]\d{9,10}")
+WORDS = re.compile(NAME)
 TITLED = re.compile(r"(?:" + "|".join(TITLES) + rf")\.?[ \t]+({NAME}(?:[ \t]+{NAME})?)")
 GIVEN = re.compile(r"(?:" + "|".join(sorted(LISTED, key=len, reverse=True)) + rf")(?!\w)(?:[ \t]+({NAME}))?")
 
@@ -294,6 +313,16 @@ def _secrets(text: str) -> Iterator[Entity]:
         for found in ASSIGNED.finditer(text):
             if KEYWORD.search(text, max(0, found.start() - 48), found.start()):
                 yield Entity("secret", *found.span(1), found[1])
+    for found in ISSUED.finditer(text):
+        yield Entity("secret", *found.span(), found[0])
+    if "-----BEGIN " in text:
+        for found in PEM.finditer(text):
+            yield Entity("secret", *found.span(2), found[2])
+    if " is " in text or " was " in text:
+        for found in SAID.finditer(text):
+            value = found[1].rstrip(".!?:)")
+            if len(value) >= 6:
+                yield Entity("secret", found.start(1), found.start(1) + len(value), value)
 
 
 def _numbers(text: str) -> Iterator[Entity]:
@@ -396,7 +425,23 @@ def entities(text: str) -> list[Entity]:
             if entity.start >= ends:
                 found.append(entity)
                 ends = entity.end
-    return sorted(found, key=lambda e: e.start)
+    return sorted([*found, *_again(text, found)], key=lambda e: e.start)
+
+
+def _again(text: str, found: list[Entity]) -> Iterator[Entity]:
+    """Further mentions of the names found, written alike, as words of their own."""
+    known = {entity.text: entity.kind for entity in found if entity.kind in ("given", "name") and len(entity.text) > 1}
+    if not known:
+        return
+    taken = sorted((entity.start, entity.end) for entity in found)
+    place = 0
+    for word in WORDS.finditer(text):
+        if word[0] not in known:
+            continue
+        while place < len(taken) and taken[place][1] <= word.start():
+            place += 1
+        if place == len(taken) or taken[place][0] >= word.end():
+            yield Entity(known[word[0]], *word.span(), word[0])
 
 
 class Replacer:
@@ -408,19 +453,24 @@ class Replacer:
 
     def __call__(self, text: str | None) -> tuple[str | None, list[Entity], list[str]]:
         found = entities(text) if text else []
-        new = [self.surrogate(entity.kind, entity.text) for entity in found]
-        self._check(found, new)
+        own_of = self._distinct({(entity.kind, entity.text) for entity in found})
+        new = [own_of[entity.kind, entity.text] for entity in found]
         parts, last = [], 0
         for entity, own in zip(found, new, strict=True):
             parts += [text[last : entity.start], own]
             last = entity.end
         return ("".join([*parts, text[last:]]) if found else text), found, new
 
-    @staticmethod
-    def _check(found: list[Entity], new: list[str]) -> None:
-        pairs = {(entity.kind, entity.text, own) for entity, own in zip(found, new, strict=True)}
-        if len({(kind, own) for kind, _, own in pairs}) != len(pairs):
-            raise ValueError("two entities share a surrogate")
+    def _distinct(self, found: set[tuple[str, str]]) -> dict[tuple[str, str], str]:
+        """The surrogate of each entity. Should two of a kind share one, the later in order goes on along the cycle."""
+        own_of, taken = {}, set()
+        for kind, text in sorted(found):
+            own = self.surrogate(kind, text)
+            while (kind, own) in taken:
+                own = self.surrogate(kind, own)
+            own_of[kind, text] = own
+            taken.add((kind, own))
+        return own_of
 
 
 @cache
@@ -432,9 +482,10 @@ def replace_personal_data(docs: DataFrame, key: str = KEY, text_col: str = "text
     """``docs`` with surrogates in the text column.
 
     With ``spans`` also an array column of that name: kind, start (code points, in the original), original and
-    surrogate of each entity; the original of an IPv6 address is in its shortest form. A NULL text stays NULL and has no entities, an empty one stays empty. Repeated rows are
+    surrogate of each entity; the original of an IPv6 address is in its shortest form. It takes the place of a column of that name in any case. A NULL text stays NULL and has no entities, an empty one stays empty. Repeated rows are
     replaced alike; an empty table gives no rows; other columns stay.
     """
+    docs = docs.drop(*(c for c in docs.columns if spans and c.lower() == spans.lower() and c.lower() != text_col.lower()))
     span = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("original", T.StringType()), T.StructField("surrogate", T.StringType())])
     place = [c.lower() for c in docs.columns].index(text_col.lower())
     name = docs.columns[place]
