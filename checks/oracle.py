@@ -122,27 +122,37 @@ _NEEDS = {
 }
 
 
-def _negated(terms) -> str:
-    listed = "|".join(terms)
-    return f"[不非未無]({listed})|({listed})[^。、！？\\n]{{0,4}}(ない|なく|なか|ません|とは言え|とはいえ)"
-
-
-def _said(terms, opposite) -> str:
-    """One side's terms without a negation, or the other side's with one."""
-    rest = f"regexp_replace(voice_text, {_text(_negated(terms))}, '', 'g')"
-    plain = f"regexp_matches({rest}, {_text('|'.join(terms))})"
-    return f"({plain} OR regexp_matches(voice_text, {_text(_negated(opposite))}))"
-
-
-_GOOD = _said(lexicon.POSITIVE_TERMS, lexicon.NEGATIVE_TERMS)
-_BAD = _said(lexicon.NEGATIVE_TERMS, lexicon.POSITIVE_TERMS)
+# Sentiment by cutting each clause into its terms and negations and counting, with word lists written down on their own.
+_GOOD_TERMS = (
+    "嬉し|楽し|快適|素晴らし|満足|安心|便利|親切|丁寧|感謝|助か|信頼|迅速|優れ|使いやす|見やす|良い|良か|良く|納得|最高|好感"
+)
+_BAD_TERMS = (
+    "待たされ|使いにく|腹が立|見にく|不便|不満|不安|残念|遅い|遅く|遅か|悪い|悪く|悪か|困|怒|面倒|失礼|最悪|苦痛|心配|複雑|間違|迷惑|嫌|狭|雑な"
+)
+_NOT = "とは[言い]え(?:ません|ない|なかった)?|ません|ない|なく|なか"
+_IDLE = (
+    "(?:なければ|なくては|ないと)(?:なら|いけ)(?:ない|ません)|危ない|切ない|情けない|仕方ない|つまらない|とんでもない|狭山|狭間|困難|貧困|機嫌|喜怒|不安定"
+)
 TABLES["voice_silver"] = f"""
-        SELECT *, CASE WHEN voice_text IS NULL THEN NULL
-                       WHEN {_GOOD} AND {_BAD} THEN 'mixed'
-                       WHEN {_GOOD} THEN 'positive'
-                       WHEN {_BAD} THEN 'negative'
-                       ELSE 'neutral' END AS sentiment
-        FROM customer_voice"""
+        WITH tokens AS (
+            SELECT voice_id, clause, unnest(found) AS token, generate_subscripts(found, 1) AS place
+            FROM (SELECT voice_id, clause, regexp_extract_all(clause_text, '{_IDLE}|[不非未無]?(?:{_GOOD_TERMS}|{_BAD_TERMS})|{_NOT}') AS found
+                  FROM (SELECT voice_id, unnest(parts) AS clause_text, generate_subscripts(parts, 1) AS clause
+                        FROM (SELECT voice_id, string_split_regex(voice_text, '[。、，！？!?\n]') AS parts FROM customer_voice)))),
+        terms AS (
+            SELECT voice_id, clause, place, regexp_full_match(token, '[不非未無]?(?:{_GOOD_TERMS})') AS good,
+                   regexp_full_match(token, '[不非未無](?:{_GOOD_TERMS}|{_BAD_TERMS})') AND NOT regexp_full_match(token, '{_BAD_TERMS}') AS turned,
+                   coalesce(lead(place) OVER (PARTITION BY voice_id, clause ORDER BY place), 1000000) AS next
+            FROM tokens WHERE regexp_full_match(token, '[不非未無]?(?:{_GOOD_TERMS}|{_BAD_TERMS})')),
+        sides AS (
+            SELECT t.voice_id, t.good = ((count(n.token) + CAST(any_value(t.turned) AS INT)) % 2 = 0) AS good
+            FROM terms t LEFT JOIN tokens n ON n.voice_id = t.voice_id AND n.clause = t.clause AND n.place > t.place AND n.place < t.next
+                 AND regexp_full_match(n.token, '{_NOT}')
+            GROUP BY t.voice_id, t.clause, t.place, t.good)
+        SELECT v.*, CASE WHEN v.voice_text IS NULL THEN NULL WHEN s.good AND s.bad THEN 'mixed' WHEN s.good THEN 'positive'
+                         WHEN s.bad THEN 'negative' ELSE 'neutral' END AS sentiment
+        FROM customer_voice v
+        LEFT JOIN (SELECT voice_id, bool_or(good) AS good, bool_or(NOT good) AS bad FROM sides GROUP BY voice_id) s USING (voice_id)"""
 
 
 def _with(body: str, *tables: str) -> str:

@@ -6,7 +6,7 @@ All of it is one expression per row: no shuffle, whatever the size or the skew o
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -24,9 +24,15 @@ NEGATIVE_TERMS = (
     "不便", "不満", "不安", "残念", "遅い", "遅く", "遅か", "悪い", "悪く", "悪か", "困", "怒", "面倒", "失礼",
     "最悪", "苦痛", "心配", "複雑", "間違", "迷惑", "嫌", "腹が立", "待たされ", "狭", "雑な", "使いにく", "見にく",
 )
-# What turns a term into its opposite: before it, or up to four characters after it in the same clause.
+# Words that hold a term by chance.
+OTHER_WORDS = ("狭山", "狭間", "困難", "貧困", "機嫌", "喜怒", "不安定")
+# What turns a term into its opposite: right before it, or after it in the same clause, up to the next term. Twice turns back.
 NEGATION_BEFORE = "[不非未無]"
-NEGATION_AFTER = "[^。、！？\\n]{0,4}(?:ない|なく|なか|ません|とは言え|とはいえ)"
+NEGATION_STEMS = ("ない", "なく", "なか", "ません", "とは言え", "とはいえ")
+NEGATION_AFTER = "とは[言い]え(?:ません|ない|なかった)?|ません|ない|なく|なか"
+# Says something else though it looks like a negation: must, and adjectives that end alike.
+NO_NEGATION = "(?:なければ|なくては|ないと)(?:なら|いけ)(?:ない|ません)|危ない|切ない|情けない|仕方ない|つまらない|とんでもない"
+CLAUSE_END = "。、，！？!?\\n"
 
 # Kinds of comment, by substrings: Japanese has no spaces to split on.
 COMMENT_CATEGORIES = {
@@ -47,13 +53,42 @@ LANGUAGE_WORDS = {
 WORD_SEPARATOR = r"[^\p{L}]+"
 
 
-def term_pattern(terms: Sequence[str]) -> str:
-    return "(?:" + "|".join(re.escape(term) for term in terms) + ")"
+def _any(terms: Sequence[str]) -> str:
+    return "(?:" + "|".join(map(re.escape, sorted(terms, key=lambda term: (-len(term), term)))) + ")"
 
 
-def negated_pattern(terms: Sequence[str]) -> str:
-    """A term with a negation."""
-    return f"{NEGATION_BEFORE}{term_pattern(terms)}|{term_pattern(terms)}{NEGATION_AFTER}"
+def token_pattern(terms: Sequence[str]) -> str:
+    """The tokens that decide on a label, as group 1: terms, negations, ends of clauses. Other words and phrases are taken first and stay out."""
+    tokens = f"{NEGATION_BEFORE}?{_any(terms)}|{NEGATION_AFTER}|[{CLAUSE_END}]"
+    others = f"{'|'.join(OTHER_WORDS)}|{NO_NEGATION}"
+    first = {word[0] for word in (*terms, *OTHER_WORDS, *NEGATION_STEMS)} | set(NEGATION_BEFORE.strip("[]")) | set("な危切情仕つと")
+    letters = "".join(sorted(re.escape(letter) for letter in first))
+    return f"(?=[{letters}{CLAUSE_END}])(?:{others}|({tokens}))"  # the first letter spares most places the list
+
+
+def side_patterns(positive: Sequence[str], negative: Sequence[str]) -> tuple[str, str]:
+    """What makes a row of tokens good, and what bad: a term of that side negated an even number of times, or one of the other an odd number."""
+    mark = f" +(?:{NEGATION_AFTER})"
+
+    def side(own: str, other: str) -> str:
+        even, odd = (f"(?:{plain}|{NEGATION_BEFORE}{turned})(?= |$)" for plain, turned in ((own, other), (other, own)))
+        return f"(?:^| )(?:{even}|{odd}{mark})(?:{mark}{mark})*+(?!{mark})"
+
+    return side(_any(positive), _any(negative)), side(_any(negative), _any(positive))
+
+
+def _overlaps(left: Sequence[str], right: Sequence[str]) -> set[str]:
+    """What a text holds if terms of both share letters in it: one inside the other, or one's end being the other's beginning."""
+    found = set()
+    for a, b in ((a, b) for x in left for y in right for a, b in ((x, y), (y, x))):
+        if b in a:
+            found.add(a)
+        found |= {a + b[n:] for n in range(1, min(len(a), len(b))) if a.endswith(b[:n])}
+    return found
+
+
+def _holds(text: Column, parts: Iterable[str]) -> Column:
+    return reduce(lambda left, right: left | right, (text.contains(part) for part in sorted(parts)), F.lit(False))
 
 
 def sentiment(
@@ -63,23 +98,25 @@ def sentiment(
 ) -> Column:
     """positive, negative, mixed (both occur) or neutral (neither does); NULL for NULL text.
 
-    A negated term counts for the other side.
+    A negated term counts for the other side, one negated twice for its own. A text with anything that may turn or hide a term is gone through once for its
+    tokens, and the label is read off these; in any other a term is its label, and a plain search gives the same.
     """
-
-    def plain(terms: Sequence[str]) -> Column:
-        return F.regexp_replace(text, negated_pattern(terms), "").rlike(term_pattern(terms))
-
-    def negated(terms: Sequence[str]) -> Column:
-        return text.rlike(negated_pattern(terms))
-
-    good = plain(positive) | negated(negative)
-    bad = plain(negative) | negated(positive)
-    return (
-        F.when(text.isNull(), F.lit(None).cast("string"))
-        .when(good, F.when(bad, F.lit(MIXED)).otherwise(F.lit(POSITIVE)))
-        .when(bad, F.lit(NEGATIVE))
-        .otherwise(F.lit(NEUTRAL))
-    )
+    terms = [*positive, *negative]
+    good, bad = side_patterns(positive, negative)
+    tokens = F.array_join(F.regexp_extract_all(text, F.lit(token_pattern(terms)), F.lit(1)), " ")
+
+    def label(is_good: Column, is_bad: Column) -> Column:
+        return (
+            F.when(is_good, F.when(is_bad, F.lit(MIXED)).otherwise(F.lit(POSITIVE)))
+            .when(is_bad, F.lit(NEGATIVE))
+            .otherwise(F.lit(NEUTRAL))
+        )
+
+    # A lambda, so that the tokens are found once.
+    by_tokens = F.element_at(F.transform(F.array(tokens), lambda found: label(found.rlike(good), found.rlike(bad))), 1)
+    before = _holds(text, NEGATION_BEFORE.strip("[]")) & text.rlike(NEGATION_BEFORE + _any(terms))
+    turns = _holds(text, NEGATION_STEMS) | _holds(text, {*OTHER_WORDS, *_overlaps(positive, negative)}) | before
+    return F.when(text.isNotNull(), F.when(turns, by_tokens).otherwise(label(_holds(text, positive), _holds(text, negative))))
 
 
 def substring_hits(text: Column, terms: Sequence[str]) -> Column:

@@ -6,8 +6,6 @@ expression.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import SparkSession
 
 from depositlens.functions import lexicon
@@ -19,23 +17,15 @@ def _literal(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _plain(terms: Sequence[str]) -> str:
-    rest = f"regexp_replace(txt, {_literal(lexicon.negated_pattern(terms))}, '')"
-    return f"regexp_like({rest}, {_literal(lexicon.term_pattern(terms))})"
-
-
-def _negated(terms: Sequence[str]) -> str:
-    return f"regexp_like(txt, {_literal(lexicon.negated_pattern(terms))})"
-
-
 def _sentiment() -> str:
-    good = f"({_plain(lexicon.POSITIVE_TERMS)} OR {_negated(lexicon.NEGATIVE_TERMS)})"
-    bad = f"({_plain(lexicon.NEGATIVE_TERMS)} OR {_negated(lexicon.POSITIVE_TERMS)})"
-    return (
-        f"CASE WHEN txt IS NULL THEN NULL WHEN {good} AND {bad} THEN '{lexicon.MIXED}'"
-        f" WHEN {good} THEN '{lexicon.POSITIVE}' WHEN {bad} THEN '{lexicon.NEGATIVE}'"
-        f" ELSE '{lexicon.NEUTRAL}' END"
+    patterns = lexicon.side_patterns(lexicon.POSITIVE_TERMS, lexicon.NEGATIVE_TERMS)
+    good, bad = (f"regexp_like(found, {_literal(pattern)})" for pattern in patterns)
+    token = lexicon.token_pattern([*lexicon.POSITIVE_TERMS, *lexicon.NEGATIVE_TERMS])
+    label = (
+        f"CASE WHEN found IS NULL THEN NULL WHEN {good} AND {bad} THEN '{lexicon.MIXED}'"
+        f" WHEN {good} THEN '{lexicon.POSITIVE}' WHEN {bad} THEN '{lexicon.NEGATIVE}' ELSE '{lexicon.NEUTRAL}' END"
     )
+    return f"element_at(transform(array(array_join(regexp_extract_all(txt, {_literal(token)}, 1), ' ')), found -> {label}), 1)"
 
 
 def _mask() -> str:

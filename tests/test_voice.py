@@ -1,4 +1,5 @@
 import random
+import re
 
 import duckdb
 import pytest
@@ -33,6 +34,9 @@ SENTENCES = {
     "安心できません": "negative", "心配していません": "positive", "心配です": "negative",
     "最高の一日": "positive", "最悪の一日": "negative", "快適だが狭い": "mixed", "納得しました": "positive",
     "納得とはいえない": "negative", "待たされました": "negative", "口座を開きました": "neutral", "質問があります": "neutral",
+    "困ったことはない": "positive", "迅速でないわけではない": "positive", "狭山支店は親切": "positive", "困難な相談も丁寧": "positive",
+    "ご機嫌でした": "neutral", "丁寧にしなければならない": "positive", "危ないので不安": "negative", "満足、でも早くはない": "positive",
+    "不満はない": "positive", "不満がないとは言えない": "negative", "親切でなく丁寧": "mixed", "便利とは言えませんが快適": "mixed",
 }
 
 
@@ -53,6 +57,30 @@ def test_negation(spark):
     assert {row.voice_text: row.sentiment for row in voice.voice_sentiment(df).collect()} == SENTENCES
 
 
+def test_both_ways_to_a_label_agree(spark):
+    """Texts with and without anything that turns a term, against the tokens gone through in Python."""
+    chance = random.Random(4)
+    parts = [*lexicon.POSITIVE_TERMS, *lexicon.NEGATIVE_TERMS, *lexicon.OTHER_WORDS, "です", "心配", "不", "店", "。", "、", "ない", "ません", "とは言え", "なければならない"]
+    texts = ["".join(chance.choices(parts, k=chance.randint(0, 5))) for _ in range(1500)]
+    token = re.compile(lexicon.token_pattern([*lexicon.POSITIVE_TERMS, *lexicon.NEGATIVE_TERMS]))
+
+    def label(text):
+        sides, side, ends = set(), None, re.compile(f"[{lexicon.CLAUSE_END}]")
+        for found in (match.group(1) for match in token.finditer(text) if match.group(1)):
+            if re.fullmatch(lexicon.NEGATION_AFTER, found):
+                side = None if side is None else -side
+                continue
+            sides.add(side)
+            bare = found if found in lexicon.POSITIVE_TERMS + lexicon.NEGATIVE_TERMS else found[1:]
+            side = None if ends.fullmatch(found) else (1 if bare in lexicon.POSITIVE_TERMS else -1) * (1 if bare == found else -1)
+        sides.add(side)
+        return {(True, True): "mixed", (True, False): "positive", (False, True): "negative", (False, False): "neutral"}[1 in sides, -1 in sides]
+
+    df = spark.createDataFrame([(text,) for text in texts], "voice_text string")
+    found = {row.voice_text: row.sentiment for row in voice.voice_sentiment(df).collect()}
+    assert found == {text: label(text) for text in texts}
+
+
 def test_label_counts(comments):
     counts = {row.sentiment: row.comments for row in voice.sentiment_counts(comments).collect()}
     assert counts == {"positive": 2, "negative": 3, "mixed": 1, "neutral": 2, None: 1}
