@@ -19,7 +19,7 @@ from depositlens import schemas
 from depositlens.functions import lexicon
 from depositlens.functions.dates import months_back
 from depositlens.functions.masking import mask_phone
-from depositlens.operators import access, quality, silver, targets, usage, voice
+from depositlens.operators import access, groups, quality, silver, targets, usage, voice
 from depositlens.plans.prepare import CUSTOMERS_SILVER, VOICE_SILVER, prepare_silver
 from depositlens.plans.refresh import DATASETS, refresh_gold
 from depositlens.sources import namespace
@@ -243,6 +243,11 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
             for user in (USER, OTHER_USER)
         ]
     ),
+    "group_closure": lambda t: groups.group_closure(t.group_nesting()),
+    "all_memberships": lambda t: groups.all_memberships(t.memberships(), t.group_nesting()),
+    "granted_row_filter": lambda t: access.row_filter(
+        t.customers(), groups.granted_branches(t.grants(), t.branch()), USER
+    ),
     "row_filter": lambda t: access.row_filter(t.customers(), t.entitlements(), USER),
     # aggregations
     "customer_count": lambda t: targets.customer_count(_cleansed(t)),

@@ -91,6 +91,15 @@ TABLES = {
             SELECT sku_name, valid_from, max(price) AS price, arg_max(valid_to, price) AS valid_to
             FROM price_periods GROUP BY sku_name, valid_from) p
         ON u.sku_name = p.sku_name AND u.usage_date >= p.valid_from""",
+    "nesting": """
+        SELECT 'team_' || c_custkey AS member, 'team_' || CASE WHEN c_custkey > 1 THEN c_custkey // 2 ELSE 5 END AS grp FROM customer
+        UNION SELECT 'advisers_' || (s_suppkey % 10), 'team_' || (s_suppkey % 10 * 100 + 1) FROM supplier""",
+    "closure": """
+        WITH RECURSIVE above AS (
+            SELECT member, grp FROM nesting
+            UNION
+            SELECT a.member, n.grp FROM above a JOIN nesting n ON a.grp = n.member)
+        SELECT member, grp FROM above WHERE member <> grp""",
     "runs": """
         SELECT event_id AS run_id, 'task_' || (user_id % 4) AS task,
                CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
@@ -119,6 +128,7 @@ _NEEDS = {
     "targets": ("silver", "contacts"),
     "voice_silver": ("customer_voice",),
     "priced_usage": ("usage", "price_periods"),
+    "closure": ("nesting",),
 }
 
 
@@ -480,6 +490,24 @@ ORACLE: dict[str, str] = {
         "usage",
         "list_prices",
     ),
+    "group_closure": _with('SELECT member, grp AS "group" FROM closure', "closure"),
+    "all_memberships": _with(
+        """SELECT 'user_' || (s_suppkey % 40) AS user, 'advisers_' || (s_suppkey % 10) AS "group" FROM supplier
+           UNION
+           SELECT 'user_' || (s_suppkey % 40), grp FROM supplier JOIN closure ON member = 'advisers_' || (s_suppkey % 10)""",
+        "closure",
+    ),
+    "granted_row_filter": _with(
+        f"""SELECT {_CUSTOMERS} FROM customers WHERE branch_id IN (
+                SELECT b.branch_id
+                FROM supplier s JOIN branch own ON own.branch_id = CAST(s_nationkey AS VARCHAR)
+                JOIN branch b ON CASE WHEN s_suppkey % 11 = 0 THEN b.prefecture = own.prefecture
+                                      WHEN s_suppkey % 7 = 0 THEN b.prefecture = own.prefecture AND b.area = own.area
+                                      ELSE b.branch_id = own.branch_id END
+                WHERE 'user_' || (s_suppkey % 40) = 'user_1')""",
+        "customers",
+        "branch",
+    ),
     "row_filter": _with(
         f"""SELECT {_CUSTOMERS} FROM customers WHERE branch_id IN (
                 SELECT CAST(s_nationkey AS VARCHAR) FROM supplier

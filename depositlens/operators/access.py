@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depositlens.functions.masking import mask_phone
+from depositlens.operators.groups import all_memberships
 
 
 def _asks(user: str | None) -> Column:
@@ -27,16 +28,27 @@ def row_filter(df: DataFrame, entitlements: DataFrame, user: str | None = None,
     return df.join(granted, key, "left_semi").select(*df.columns)
 
 
-def is_member(memberships: DataFrame, user: str | None, group: str) -> Column:
-    """Whether the user belongs to the group, as a one-row subquery: no join, the rows stay where they are."""
-    return memberships.filter(_asks(user) & (F.col("group") == group)).agg(F.count("*") > 0).scalar()
+def is_member(memberships: DataFrame, user: str | None, group: str, nesting: DataFrame | None = None) -> Column:
+    """Whether the user belongs to the group, as a one-row subquery: no join, the rows stay where they are.
+
+    With ``nesting`` (member, group) also through groups within the group.
+    """
+    own = memberships.filter(_asks(user))
+    if nesting is not None:
+        own = all_memberships(own, nesting)
+    return own.filter(F.col("group") == group).agg(F.count("*") > 0).scalar()
 
 
 def gated_mask(
-    df: DataFrame, memberships: DataFrame, user: str | None, group: str, column: str = "phone_number"
+    df: DataFrame,
+    memberships: DataFrame,
+    user: str | None,
+    group: str,
+    column: str = "phone_number",
+    nesting: DataFrame | None = None,
 ) -> DataFrame:
     """The column in clear for members of the group, masked for everyone else."""
-    clear = is_member(memberships, user, group)
+    clear = is_member(memberships, user, group, nesting)
     return df.withColumn(column, F.when(clear, F.col(column)).otherwise(mask_phone(F.col(column))))
 
 
@@ -47,6 +59,10 @@ def governed(
     user: str | None,
     group: str,
     column: str = "phone_number",
+    nesting: DataFrame | None = None,
 ) -> DataFrame:
-    """What one user sees of ``df``: the rows of the user's branches, ``column`` masked unless the user is in the group."""
-    return gated_mask(row_filter(df, entitlements, user), memberships, user, group, column)
+    """What one user sees of ``df``: the rows of the user's branches, ``column`` masked unless the user is in the group.
+
+    ``entitlements`` by area or prefecture go through :func:`depositlens.operators.groups.granted_branches` first.
+    """
+    return gated_mask(row_filter(df, entitlements, user), memberships, user, group, column, nesting)

@@ -186,5 +186,28 @@ class Tables:
             F.concat(F.lit("advisers_"), F.col("s_suppkey") % 10).alias("group"),
         )
 
+    def group_nesting(self) -> DataFrame:
+        """Every customer's number is a team within the team of half the number; the first lies within the fifth, which closes a circle."""
+        team = lambda number: F.concat(F.lit("team_"), number)
+        key = F.col("c_custkey")
+        teams = self.raw("customer").select(
+            team(key).alias("member"), team(F.when(key > 1, F.floor(key / 2)).otherwise(5)).alias("group")
+        )
+        advisers = self.raw("supplier").select(
+            F.concat(F.lit("advisers_"), F.col("s_suppkey") % 10).alias("member"),
+            team(F.col("s_suppkey") % 10 * 100 + 1).alias("group"),
+        )
+        return teams.unionByName(advisers)
+
+    def grants(self) -> DataFrame:
+        """Staff may see their own branch, one of seven the area, one of eleven the prefecture."""
+        staff = self.raw("supplier").select("s_suppkey", F.col("s_nationkey").cast("string").alias("branch_id"))
+        key = F.col("s_suppkey")
+        level = F.when(key % 11 == 0, "prefecture").when(key % 7 == 0, "area").otherwise("branch")
+        value = F.when(key % 11 == 0, F.col("prefecture")).when(key % 7 == 0, F.concat_ws("/", "prefecture", "area"))
+        return staff.join(self.branch(), "branch_id").select(
+            F.concat(F.lit("user_"), key % 40).alias("user"), level.alias("level"), F.coalesce(value, "branch_id").alias("value")
+        )
+
     def documents(self) -> DataFrame:
         return self.raw("documents").select("doc_id", "text")
