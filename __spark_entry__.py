@@ -27,6 +27,7 @@ from depositlens.sources.adapters import AS_OF, Tables
 from depositlens.sources.files import read_csv, write_csv
 from depositlens.sources.shared import fresh_path, remove_path
 from depositlens.sources.tables import ingest_bronze, load_table, save_all, save_contacts, save_table
+from depositlens.sources.versions import MARK
 
 try:  # the corpus operators may be taken out
     from depositlens.llm import queries as llm
@@ -136,7 +137,7 @@ def _prepared(t: Tables) -> str:
 def _drop_all_but(t: Tables, database: str, kept: tuple[str, ...]) -> None:
     """Tables that the result does not read go with their files."""
     for table in t.spark.catalog.listTables(database):
-        if table.name not in kept:
+        if table.name.split(MARK)[0] not in kept:
             namespace.drop_table(t.spark, f"`{database}`.`{table.name}`")
 
 

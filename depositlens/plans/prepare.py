@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from functools import partial
+
+from pyspark.sql import DataFrame, SparkSession
 
 from depositlens.operators.quality import require_unique
 from depositlens.operators.silver import customers_silver
 from depositlens.operators.voice import voice_sentiment
-from depositlens.sources.tables import load_table, save_all, save_table
+from depositlens.sources.tables import load_table, save_all
+from depositlens.sources.versions import publish, write_version
 
 CUSTOMERS_SILVER = "customers_silver"
 VOICE_SILVER = "customer_voice_silver"
@@ -26,11 +29,11 @@ def prepare_silver(spark: SparkSession, database: str) -> list[str]:
     require_unique(bronze["employee"], "employee", "employee_id")
     customers = customers_silver(bronze["customers"], bronze["branch"], bronze["employee"])
     comments = voice_sentiment(bronze["customer_voice"])
-    save_all(
-        spark,
-        [
-            lambda: save_table(customers, database, CUSTOMERS_SILVER),
-            lambda: save_table(comments, database, VOICE_SILVER),
-        ],
-    )
+    versions: dict[str, str] = {}
+
+    def write(name: str, df: DataFrame) -> None:
+        versions[name] = write_version(df, database, name)
+
+    save_all(spark, [partial(write, CUSTOMERS_SILVER, customers), partial(write, VOICE_SILVER, comments)])
+    publish(spark, database, versions)
     return [CUSTOMERS_SILVER, VOICE_SILVER]

@@ -6,9 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
-
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+from depositlens.sources.versions import CURRENT, full_name, is_view, point, properties, versions_of
+from depositlens.sources.versions import quoted as _text
 
 
 def use_catalog(spark: SparkSession, catalog: str) -> None:
@@ -31,7 +30,15 @@ def landing_path(root: str, schema: str) -> str:
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    """Drop the table, with all its versions if it has any."""
+    if not is_view(spark, table):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        return
+    found = spark.catalog.getTable(table)
+    database = found.namespace[-1]
+    spark.sql(f"DROP VIEW IF EXISTS {table}")
+    for version in versions_of(spark, database, found.name):
+        spark.sql(f"DROP TABLE IF EXISTS {full_name(database, version)}")
 
 
 def reset_schema(spark: SparkSession, schema: str) -> None:
@@ -39,18 +46,32 @@ def reset_schema(spark: SparkSession, schema: str) -> None:
     spark.sql(f"DROP SCHEMA IF EXISTS `{schema}` CASCADE")
 
 
+def _repoint(spark: SparkSession, view: str, comments: Mapping[str, str], about: str | None = None) -> None:
+    """Comments of a view are part of its definition: write it anew on the same version."""
+    found = spark.catalog.getTable(view)
+    tags = properties(spark, view)
+    held = {column.name: column.description for column in spark.catalog.listColumns(view)}
+    point(spark, found.namespace[-1], found.name, tags[CURRENT], tags, held | dict(comments), about or found.description)
+
+
 def comment_table(spark: SparkSession, table: str, comment: str) -> None:
-    spark.sql(f"COMMENT ON TABLE {table} IS {_text(comment)}")
+    if is_view(spark, table):
+        _repoint(spark, table, {}, comment)
+    else:
+        spark.sql(f"COMMENT ON TABLE {table} IS {_text(comment)}")
 
 
 def comment_columns(spark: SparkSession, table: str, comments: Mapping[str, str]) -> None:
     """Comment the named columns; names the table lacks are passed over."""
-    present = set(spark.table(table).columns)
-    for column, comment in comments.items():
-        if column in present:
-            spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{column}` COMMENT {_text(comment)}")
+    present = {column: comment for column, comment in comments.items() if column in spark.table(table).columns}
+    if is_view(spark, table):
+        _repoint(spark, table, present)
+        return
+    for column, comment in present.items():
+        spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{column}` COMMENT {_text(comment)}")
 
 
 def tag_table(spark: SparkSession, table: str, tags: Mapping[str, str]) -> None:
     pairs = ", ".join(f"{_text(key)} = {_text(value)}" for key, value in tags.items())
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
+    kind = "VIEW" if is_view(spark, table) else "TABLE"
+    spark.sql(f"ALTER {kind} {table} SET TBLPROPERTIES ({pairs})")

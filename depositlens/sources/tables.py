@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from depositlens import schemas
 from depositlens.sources.files import read_csv
+from depositlens.sources.versions import publish, write_version
 
 CONTACT_MONTH = "contact_month"
 
@@ -23,16 +24,10 @@ def load_table(spark: SparkSession, database: str, name: str) -> DataFrame:
 def save_table(df: DataFrame, database: str, name: str, partition_by: str | None = None) -> None:
     """Write the whole table anew, in the session's format (``spark.sql.sources.default``, Parquet if unset).
 
-    A partitioned table is rebalanced on its partition column first, so that a partition is neither
-    scattered over one file per task nor squeezed into one task when it is hot: adaptive execution splits
-    partitions above the advisory size.
+    The rows of before stay readable until the new ones are whole: see :mod:`depositlens.sources.versions`. A partitioned table is rebalanced on its
+    partition column first.
     """
-    if partition_by:
-        df = df.hint("rebalance", partition_by)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.saveAsTable(f"`{database}`.`{name}`")
+    publish(df.sparkSession, database, {name: write_version(df, database, name, partition_by)})
 
 
 def save_contacts(contacts: DataFrame, database: str, name: str = "contacts_bronze") -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from depositlens import schemas
 from depositlens.operators import targets
-from depositlens.sources import namespace, shared, tables
+from depositlens.sources import namespace, shared, tables, versions
 from depositlens.sources.files import read_csv, read_quoted_csv, write_csv
 from tests import data
 
@@ -121,10 +121,72 @@ def test_table_is_replaced_whole(spark, database):
     assert back.columns == ["b"] and back.count() == 2
 
 
+def rows_of(spark, database, name):
+    return sorted(row[0] for row in tables.load_table(spark, database, name).collect())
+
+
+def test_a_write_that_fails_half_way_leaves_the_rows_of_before(spark, database):
+    tables.save_table(spark.range(3), database, "t")
+    broken = spark.range(0, 100, 1, 4).select(F.when(F.col("id") == 99, F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        tables.save_table(broken, database, "t")
+    assert rows_of(spark, database, "t") == [0, 1, 2]
+    assert len(versions.versions_of(spark, database, "t")) == 1
+
+
+def test_a_table_that_lacks_rows_is_not_shown(spark, database, monkeypatch):
+    tables.save_table(spark.range(3), database, "t")
+    monkeypatch.setattr(type(spark), "table", lambda self, name: self.sql(f"SELECT * FROM {name} LIMIT 4"))
+    with pytest.raises(RuntimeError, match="t: 4 of 9 rows"):
+        tables.save_table(spark.range(9), database, "t")
+    monkeypatch.undo()
+    assert rows_of(spark, database, "t") == [0, 1, 2]
+
+
+def test_a_reader_keeps_the_version_it_began_with(spark, database):
+    tables.save_table(spark.range(3), database, "t")
+    reader = tables.load_table(spark, database, "t")
+    tables.save_table(spark.range(5), database, "t")
+    assert reader.count() == 3 and rows_of(spark, database, "t") == [0, 1, 2, 3, 4]
+    tables.save_table(reader.unionByName(reader), database, "t")  # a table may be made from itself
+    assert rows_of(spark, database, "t") == [0, 0, 1, 1, 2, 2]
+    current = versions.current_version(spark, database, "t")
+    assert len(versions.versions_of(spark, database, "t")) == 2 and current in versions.versions_of(spark, database, "t")
+
+
+def test_versions_change_over_together(spark, database):
+    for name in ("a", "ab"):
+        tables.save_table(spark.range(1), database, name)
+    new = {name: versions.write_version(spark.range(4), database, name) for name in ("a", "ab")}
+    assert [len(rows_of(spark, database, name)) for name in new] == [1, 1]
+    versions.publish(spark, database, new)
+    assert [len(rows_of(spark, database, name)) for name in new] == [4, 4]
+
+
+def test_a_plain_table_becomes_a_version(spark, database):
+    spark.range(2).write.saveAsTable(f"{database}.old")
+    tables.save_table(spark.range(3), database, "old")
+    assert rows_of(spark, database, "old") == [0, 1, 2] and len(versions.versions_of(spark, database, "old")) == 2
+
+
+def test_comments_and_tags_outlive_a_version(spark, database):
+    tables.save_table(spark.range(2), database, "t")
+    table = f"{database}.t"
+    namespace.comment_table(spark, table, "it's")
+    namespace.comment_columns(spark, table, {"id": "key"})
+    namespace.tag_table(spark, table, {"team": "x"})
+    tables.save_table(spark.range(3), database, "t")
+    assert spark.catalog.getTable(table).description == "it's"
+    assert [column.description for column in spark.catalog.listColumns(table)] == ["key"]
+    assert ("team", "x") in [tuple(row) for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()]
+    namespace.drop_table(spark, table)
+    assert not spark.catalog.tableExists(table) and versions.versions_of(spark, database, "t") == []
+
+
 def test_table_format_is_the_sessions(spark, database, settings):
     settings({"spark.sql.sources.default": "orc"})
     tables.save_table(spark.range(3), database, "t")
-    described = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE EXTENDED {database}.t").collect()}
+    described = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE EXTENDED {database}.{versions.current_version(spark, database, 't')}").collect()}
     assert described["Provider"] == "orc"
     assert tables.load_table(spark, database, "t").count() == 3
 
