@@ -18,12 +18,14 @@ def mask_phone(phone: Column) -> Column:
 class MaskRule:
     """One kind of personal data.
 
-    ``needs`` is a plain string that every match contains: texts without it skip the pattern.
+    ``needs`` is a plain string that every match contains, ``hint`` a simpler pattern that every match holds a match of: texts without
+    them skip the pattern.
     """
 
     pattern: str
     replacement: str
-    needs: str
+    needs: str = ""
+    hint: str = ""
 
 
 _D = "[0-9０-９]"
@@ -36,12 +38,15 @@ _PHONES = (
     rf"[0０]{_D}{{9,10}}",
 )
 
+# Digits and what stands between them in a number, as many as the shortest phone number has.
+_NUMBER = rf"{_D}[0-9０-９ ()（）－-]{{5}}"
+
 # Applied in this order: a later rule must not cut up what an earlier one covers whole.
 PERSONAL_DATA_RULES = (
     MaskRule(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "[EMAIL]", "@"),
     MaskRule(r'"?(?i:token|secret|password|api_key)"? ?[:=] ?"[^"]*"', "[SECRET]", '"'),
-    MaskRule(r"[0-9]{13,}|[0-9]{4}(?:[ -][0-9]{4}){3}", "[CARD]", ""),
-    MaskRule("|".join(_PHONES), "[PHONE]", ""),
+    MaskRule(r"[0-9]{13,}|[0-9]{4}(?:[ -][0-9]{4}){3}", "[CARD]", hint=_NUMBER),
+    MaskRule("|".join(_PHONES), "[PHONE]", hint=_NUMBER),
     MaskRule(r"[0-9]{1,3}(\.[0-9]{1,3}){3}", "[IP]", "."),
 )
 
@@ -51,5 +56,6 @@ def mask_text(text: Column, rules: Sequence[MaskRule] = PERSONAL_DATA_RULES) ->
     masked = text
     for rule in rules:
         replaced = F.regexp_replace(masked, rule.pattern, rule.replacement)
-        masked = F.when(masked.contains(rule.needs), replaced).otherwise(masked) if rule.needs else replaced
+        may = masked.contains(rule.needs) if rule.needs else masked.rlike(rule.hint) if rule.hint else None
+        masked = replaced if may is None else F.when(may, replaced).otherwise(masked)
     return masked

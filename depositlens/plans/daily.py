@@ -13,9 +13,9 @@ from pyspark.sql import SparkSession
 from depositlens.functions.dates import AsOf
 from depositlens.plans.prepare import prepare_silver
 from depositlens.plans.refresh import TARGETS, refresh_gold
-from depositlens.schemas import SILVER_DISPLAY_NAMES
+from depositlens.schemas import BRONZE, SILVER_DISPLAY_NAMES
 from depositlens.session import CLUSTER_CONF
-from depositlens.sources.namespace import comment_columns, create_schema, tag_table
+from depositlens.sources.namespace import comment_columns, create_schema, require_delivery, tag_table
 from depositlens.sources.tables import ingest_bronze
 
 
@@ -27,11 +27,14 @@ def run_daily(
     as_of: AsOf = None,
     tags: Mapping[str, str] | None = None,
 ) -> list[str]:
-    """Create the schema unless it is there, ingest (if there is a landing folder), prepare, refresh; each step only after the one before.
+    """Create the schema unless it is there, ingest (if there is a landing folder, in which every table must have been delivered), prepare,
+    refresh; each step only after the one before.
 
     The Silver tables and the target list then get their headings as column comments, all written tables the ``tags``.
     """
     create_schema(spark, database, "customers to call")
+    if landing:  # before any table changes
+        require_delivery(spark, landing, BRONZE)
     bronze = ingest_bronze(spark, landing, database) if landing else []
     silver = prepare_silver(spark, database)
     written = [*bronze, *silver, *refresh_gold(spark, database, segments, as_of)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import SparkSession
 
@@ -29,6 +29,40 @@ def landing_path(root: str, schema: str) -> str:
     return f"{root.rstrip('/')}/{schema}/source_files"
 
 
+def _store(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def create_landing(spark: SparkSession, root: str, schema: str, tables: Iterable[str]) -> str:
+    """Make the landing folder of a schema, with a folder for each table, unless they are there; returns its path."""
+    path = landing_path(root, schema)
+    for table in tables:
+        store, place = _store(spark, f"{path}/{table}")
+        store.mkdirs(place)
+    return path
+
+
+def landing_files(spark: SparkSession, landing: str, tables: Iterable[str]) -> dict[str, int]:
+    """Bytes delivered for each table: files below its folder, without hidden ones; -1 if the folder is not there."""
+    found = {}
+    for table in tables:
+        store, place = _store(spark, f"{landing.rstrip('/')}/{table}")
+        if not store.exists(place):
+            found[table] = -1
+            continue
+        files = [status for status in store.listStatus(place) if status.isFile()]
+        found[table] = sum(status.getLen() for status in files if status.getPath().getName()[0] not in "._")
+    return found
+
+
+def require_delivery(spark: SparkSession, landing: str, tables: Iterable[str]) -> None:
+    """Raise an error that names the tables for which nothing has been delivered."""
+    missing = [table for table, size in landing_files(spark, landing, tables).items() if size <= 0]
+    if missing:
+        raise FileNotFoundError(f"nothing in {landing} for {', '.join(sorted(missing))}")
+
+
 def drop_table(spark: SparkSession, table: str) -> None:
     """Drop the table, with all its versions if it has any."""
     if not is_view(spark, table):

@@ -5,9 +5,9 @@ from depositlens.operators import silver
 from depositlens.plans import daily
 from depositlens.plans.prepare import prepare_silver
 from depositlens.plans.refresh import DATASETS, refresh_gold
-from depositlens.sources import tables
+from depositlens.sources import namespace, tables
 from depositlens.sources.files import write_csv
-from depositlens.schemas import CUSTOMER_VOICE
+from depositlens.schemas import BRONZE, CUSTOMER_VOICE
 from tests import data
 
 
@@ -65,6 +65,26 @@ def test_daily_job(spark, database, landing, capsys):
     assert ("team", "retail") in [tuple(row) for row in tags]
 
 
+def test_landing_area(spark, tmp_path):
+    path = namespace.create_landing(spark, str(tmp_path), "bank", BRONZE)
+    assert path == namespace.create_landing(spark, str(tmp_path), "bank", BRONZE)
+    (tmp_path / "bank/source_files/branch/part.csv").write_text("branch_id\n")
+    (tmp_path / "bank/source_files/employee/_SUCCESS").write_text("done")
+    assert namespace.landing_files(spark, path, ["branch", "employee", "other"]) == {"branch": 10, "employee": 0, "other": -1}
+    with pytest.raises(FileNotFoundError, match="contacts, customer_voice, customers, employee"):
+        namespace.require_delivery(spark, path, BRONZE)
+
+
+def test_daily_job_without_a_delivery_changes_nothing(spark, database, landing, tmp_path):
+    daily.run_daily(spark, database, ["wealthy"], landing, data.TODAY)
+    for file in (tmp_path / "employee").glob("part-*"):
+        file.rename(file.with_name("_" + file.name))
+    before = spark.sql(f"SHOW TBLPROPERTIES {database}.customers_bronze").collect()
+    with pytest.raises(FileNotFoundError, match="employee"):
+        daily.run_daily(spark, database, ["wealthy"], landing, data.TODAY)
+    assert spark.sql(f"SHOW TBLPROPERTIES {database}.customers_bronze").collect() == before
+
+
 def test_refresh_needs_prepared_tables(spark, database, landing):
     tables.ingest_bronze(spark, landing, database)
     with pytest.raises(Exception, match="customers_silver"):
