@@ -166,6 +166,29 @@ def test_repeats(docs, texts, length):
     assert sorted(tuple(row)[:5] for row in found) == brute_repeats(texts, length)
 
 
+def test_repeats_over_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(repeat_bwt, "SHARD_ANCHORS", 60)
+    chance = random.Random(12)
+    passage = words(chance, 90)
+    own = [words(chance, chance.randint(30, 120)) for _ in range(60)]
+    own += [f"{text[: chance.randint(0, 200)]} {passage[chance.randint(0, 40) :]} {text[-50:]}" for text in own[:20]] + [own[5], own[5] + "é"]
+    found = repeat_bwt.remove_repeats(spark.createDataFrame(list(enumerate(own)), DOCS), length=64).collect()
+    assert sorted(tuple(row)[:5] for row in found) == brute_repeats(own, 64)
+
+
+def test_repeats_of_the_registered_length(spark):
+    chance = random.Random(13)
+    passage = words(chance, 200).encode()
+    own = [words(chance, 150) for _ in range(12)]
+    for n, size in enumerate((399, 400, 401, 399, 640)):
+        start = 11 * n
+        part = passage[start : start + size].decode()
+        own += [f"{own[n][:90]}#{part}#{own[n][300:]}", f"{n}:{part}:{n}"]
+    found = repeat_bwt.remove_repeats(spark.createDataFrame(list(enumerate(own)), DOCS)).collect()
+    expected = brute_repeats(own, 400)
+    assert sorted(tuple(row)[:5] for row in found) == expected and sum(row[2] > 0 for row in expected) > 5
+
+
 def test_repeated_rows_and_nulls(spark, texts):
     rows = [(None, texts[44]), (1, texts[44]), (1, texts[44]), (2, None)]
     found = repeat_bwt.remove_repeats(spark.createDataFrame(rows, DOCS).withColumn("row", F.lit(0)), length=64).collect()
