@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from depositlens.functions import lexicon
-from depositlens.functions.masking import PERSONAL_DATA_RULES
+from depositlens.functions.masking import mask_sql
 from depositlens.functions.summary import summary_function
 
 
@@ -28,18 +28,11 @@ def _sentiment() -> str:
     return f"element_at(transform(array(array_join(regexp_extract_all(txt, {_literal(token)}, 1), ' ')), found -> {label}), 1)"
 
 
-def _mask() -> str:
-    masked = "txt"
-    for rule in PERSONAL_DATA_RULES:
-        masked = f"regexp_replace({masked}, {_literal(rule.pattern)}, {_literal(rule.replacement)})"
-    return masked
-
-
 def register(spark: SparkSession) -> None:
     """Create the functions for this session: text_sentiment, text_mask, phone_mask, text_summary."""
     bodies = {
         "text_sentiment": _sentiment(),
-        "text_mask": _mask(),
+        "text_mask": mask_sql("txt"),
         "phone_mask": "regexp_replace(txt, '\\\\p{Nd}', '*')",
     }
     for name, body in bodies.items():

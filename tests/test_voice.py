@@ -128,7 +128,16 @@ def test_masking_of_text(spark):
         "call 09012345678, +81-90-1234-5678": "call [PHONE], [PHONE]",
         "call (743) 555-3824 or 743-555-3824 or (03) 1234-5678": "call [PHONE] or [PHONE] or [PHONE]",
         "call ０９０－１２３４－５６７８": "call [PHONE]",
-        "card 411111111111111, 41111111111111112222": "card [CARD], [CARD]",
+        "card 411111111111111, 41111111111111112222": "card [CARD], 41111111111111112222",
+        "call 03 1234 5678 or 090 1234 5678 or 415.555.2671.": "call [PHONE] or [PHONE] or [PHONE].",
+        "card ４１１１ １１１１ １１１１ １１１１, 3782 822463 10005": "card [CARD], [CARD]",
+        "password=abc123 password: 'a b' passwd = x;": "[SECRET] [SECRET] [SECRET];",
+        "id 123-45-6789, 2001:db8::7, fe80::1%eth0, ::1": "id [ID], [IP], [IP]%eth0, [IP]",
+        "ISBN 9780306406157, EAN 4006381333931, card 4222222222222": "ISBN 9780306406157, EAN 4006381333931, card [CARD]",
+        "version 1.2.3.4, v1.2.3.4 and 1.2.3.4.5, 1.2.3.4": "version 1.2.3.4, v1.2.3.4 and 1.2.3.4.5, [IP]",
+        "https://x.example/orders/0312345678/090-1234-5678": "https://x.example/orders/0312345678/090-1234-5678",
+        "電話03-1234-5678まで、番号4111111111111111です": "電話[PHONE]まで、番号[CARD]です",
+        "A0312345678 std::vector at 12:30:45": "A0312345678 std::vector at 12:30:45",
         'a "password": "x" and Token = "x"': "a [SECRET] and [SECRET]",
         "3.5 percent of 1,000": "3.5 percent of 1,000",
         "": "",
