@@ -203,6 +203,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "silver_roundtrip": _silver_roundtrip,
     "preview": lambda t: quality.preview(t.customers(), "customer_id"),
     "row_reconcile": lambda t: quality.row_reconcile(t.customers(), _silver(t)),
+    "row_diff": lambda t: quality.row_diff(t.customers(), t.customers_next_day(), "customer_id"),
     "null_profile": lambda t: quality.null_profile(t.customers()),
     # projections, filters
     "customers_silver": _silver,

@@ -391,6 +391,32 @@ ORACLE: dict[str, str] = {
                   (SELECT count(*) FROM customers WHERE deposit_balance_manyen IS NULL) AS rows_removed""",
         "silver",
     ),
+    "row_diff": _with(
+        """, tomorrow AS (
+               SELECT * REPLACE (CASE WHEN customer_id % 31 = 1 THEN NULL ELSE deposit_balance_manyen END AS deposit_balance_manyen,
+                                 CASE WHEN customer_id % 37 = 2 THEN '0' ELSE branch_id END AS branch_id)
+               FROM customers WHERE customer_id % 43 <> 0),
+           next_day AS (
+               SELECT * FROM tomorrow UNION ALL SELECT * FROM tomorrow WHERE customer_id % 53 = 3
+               UNION ALL SELECT * REPLACE (customer_id + 10000000 AS customer_id) FROM tomorrow WHERE customer_id % 59 = 4),
+           gone AS (FROM customers EXCEPT ALL FROM next_day),
+           new AS (FROM next_day EXCEPT ALL FROM customers),
+           counts AS (
+               SELECT customer_id, sum(g) AS gone, sum(n) AS new
+               FROM (SELECT customer_id, 1 AS g, 0 AS n FROM gone UNION ALL SELECT customer_id, 0, 1 FROM new) GROUP BY customer_id),
+           kinds AS (
+               SELECT customer_id, gone, new, (SELECT count(*) FROM (SELECT DISTINCT * FROM new) d WHERE d.customer_id = c.customer_id) AS shapes
+               FROM counts c)
+           SELECT k.customer_id, 'changed' AS change,
+                  concat_ws(',', CASE WHEN g.deposit_balance_manyen IS DISTINCT FROM n.deposit_balance_manyen THEN 'deposit_balance_manyen' END,
+                            CASE WHEN g.branch_id IS DISTINCT FROM n.branch_id THEN 'branch_id' END) AS changed_columns,
+                  CAST(k.new AS BIGINT) AS row_count
+           FROM kinds k JOIN gone g USING (customer_id) JOIN (SELECT DISTINCT * FROM new) n USING (customer_id)
+           WHERE k.gone = k.new AND k.gone = 1
+           UNION ALL SELECT customer_id, 'removed', NULL, CAST(gone AS BIGINT) FROM kinds WHERE gone > 0 AND NOT (gone = new AND gone = 1)
+           UNION ALL SELECT customer_id, 'added', NULL, CAST(new AS BIGINT) FROM kinds WHERE new > 0 AND NOT (gone = new AND gone = 1)""",
+        "customers",
+    ),
     "null_profile": _null_profile(),
     "customers_silver": _with(f"SELECT {_SILVER} FROM silver", "silver"),
     "not_null_filter": _with(

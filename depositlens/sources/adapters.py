@@ -77,6 +77,18 @@ class Tables:
             .alias("phone_number"),
         )
 
+    def customers_next_day(self) -> DataFrame:
+        """The customers a day later: some have gone, some have another balance or branch, some are new and some are there twice."""
+        key = F.col("customer_id")
+        today = self.customers().where((key % 43 != 0) | key.isNull())
+        moved = today.withColumns(
+            {
+                "deposit_balance_manyen": F.when(key % 31 == 1, F.lit(None)).otherwise(F.col("deposit_balance_manyen")).cast(schemas.MONEY),
+                "branch_id": F.when(key % 37 == 2, F.lit("0")).otherwise(F.col("branch_id")),
+            }
+        )
+        return moved.unionByName(moved.where(key % 53 == 3)).unionByName(moved.where(key % 59 == 4).withColumn("customer_id", key + 10_000_000))
+
     def branch(self) -> DataFrame:
         nation, region = self.raw("nation"), self.raw("region")
         return nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
