@@ -19,7 +19,7 @@ from depositlens import schemas
 from depositlens.functions import lexicon
 from depositlens.functions.dates import months_back
 from depositlens.functions.masking import mask_phone
-from depositlens.operators import access, groups, quality, silver, targets, usage, voice
+from depositlens.operators import access, groups, labelling, quality, silver, targets, timeline, usage, voice
 from depositlens.plans.prepare import CUSTOMERS_SILVER, VOICE_SILVER, prepare_silver
 from depositlens.plans.refresh import DATASETS, refresh_gold
 from depositlens.sources import namespace
@@ -280,6 +280,9 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "target_funnel": lambda t: targets.target_funnel(_cleansed(t), t.contacts(), AS_OF),
     "target_kpis": lambda t: targets.target_kpis(_targets(t, _cleansed(t))),
     "run_status": lambda t: usage.run_status(t.runs()),
+    "run_overlap": lambda t: timeline.run_overlap(t.runs(), "task"),
+    "run_levels": lambda t: timeline.level_seconds(t.runs()),
+    "last_attempts": lambda t: timeline.last_attempts(t.runs(), "task"),
     "audit_summary": lambda t: usage.audit_summary(t.audit()),
     # sorts
     "target_list": lambda t: targets.target_list(_targets(t, _with_branch(t))),
@@ -295,6 +298,9 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "text_classify": lambda t: voice.classify_by_words(t.documents(), "text", lexicon.LANGUAGE_WORDS).drop(
         "text"
     ),
+    "text_assign_quality": lambda t: labelling.assign_labels(
+        t.documents(), labelling.fit_labels(t.quality_examples(), "text", "quality"), "doc_id", "text"
+    ),
     "text_summarise": lambda t: voice.summarise(t.documents(), "text").drop("text"),
     "text_mask": lambda t: voice.mask_personal_data(t.documents(), "text"),
     # daily job

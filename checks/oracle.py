@@ -638,6 +638,40 @@ ORACLE: dict[str, str] = {
            FROM runs GROUP BY task, status""",
         "runs",
     ),
+    "run_overlap": _with(
+        """, steps AS (SELECT task, started AS t, 1 AS d FROM runs WHERE started < ended
+                      UNION ALL SELECT task, ended, -1 FROM runs WHERE started < ended),
+             moments AS (SELECT task, t, sum(d) AS d FROM steps GROUP BY task, t),
+             levels AS (SELECT task, t, sum(d) OVER (PARTITION BY task ORDER BY t) AS n,
+                               lead(t) OVER (PARTITION BY task ORDER BY t) AS next_t FROM moments),
+             busy AS (SELECT task, CAST(sum(date_diff('microsecond', t, next_t)) FILTER (WHERE n > 0) AS DOUBLE) / 1000000 AS busy_seconds,
+                             CAST(max(n) AS BIGINT) AS most_at_once FROM levels GROUP BY task),
+             timed AS (SELECT task, count(*) AS timed_runs,
+                              CAST(sum(date_diff('microsecond', started, ended)) AS DOUBLE) / 1000000 AS run_seconds
+                       FROM runs WHERE started < ended GROUP BY task)
+        SELECT task, timed_runs, run_seconds, busy_seconds, most_at_once,
+               (SELECT strftime(min(t), '%Y-%m-%d %H:%M:%S.%f') FROM levels l WHERE l.task = b.task AND l.n = b.most_at_once) AS peak_from
+        FROM busy b JOIN timed USING (task)""",
+        "runs",
+    ),
+    "run_levels": _with(
+        """, steps AS (SELECT started AS t, 1 AS d FROM runs WHERE started < ended
+                      UNION ALL SELECT ended, -1 FROM runs WHERE started < ended),
+             moments AS (SELECT t, sum(d) AS d FROM steps GROUP BY t),
+             levels AS (SELECT t, sum(d) OVER (ORDER BY t) AS n, lead(t) OVER (ORDER BY t) AS next_t FROM moments)
+        SELECT CAST(n AS BIGINT) AS at_once, CAST(sum(date_diff('microsecond', t, next_t)) AS DOUBLE) / 1000000 AS seconds
+        FROM levels WHERE n > 0 GROUP BY n""",
+        "runs",
+    ),
+    "last_attempts": _with(
+        """, placed AS (SELECT *, CAST(started AS DATE) AS d,
+                              row_number() OVER (PARTITION BY task, CAST(started AS DATE) ORDER BY started DESC, run_id DESC) AS place FROM runs)
+        SELECT task, CAST(d AS VARCHAR) AS day, count(*) AS attempts, count(*) FILTER (WHERE status <> 'SUCCESS') AS unsuccessful,
+               max(run_id) FILTER (WHERE place = 1) AS last_run, max(status) FILTER (WHERE place = 1) AS last_status,
+               bool_or(status <> 'SUCCESS') AND max(status) FILTER (WHERE place = 1) = 'SUCCESS' AS recovered
+        FROM placed GROUP BY task, d""",
+        "runs",
+    ),
     "audit_summary": """
         SELECT strftime(ts, '%Y-%m-%d') AS day, 'user_' || user_id AS actor, event_type AS action,
                count(*) AS actions
@@ -667,6 +701,26 @@ ORACLE: dict[str, str] = {
     "voice_sentiment": _with(f"SELECT {_VOICE}, sentiment FROM voice_silver", "voice_silver"),
     "voice_classify": _voice_classify(),
     "text_classify": _text_classify(),
+    "text_assign_quality": f"""
+        WITH judged AS (SELECT d.doc_id, d.text, 'quality_' || l.quality AS label
+                        FROM documents d JOIN labels l USING (doc_id) WHERE d.text IS NOT NULL AND l.quality IS NOT NULL),
+             used AS (SELECT label, left(md5(w), 4) AS slot, count(*) AS uses
+                      FROM (SELECT label, unnest({_TOKENS.format(text="text")}) AS w FROM judged) WHERE w <> '' GROUP BY ALL),
+             labels_ AS (SELECT label, CAST(floor(1000 * ln(count(*) / (SELECT count(*) FROM judged))) AS BIGINT) AS prior
+                         FROM judged GROUP BY label),
+             sizes AS (SELECT label, prior, CAST(floor(1000 * ln(coalesce((SELECT sum(uses) FROM used u WHERE u.label = l.label), 0) + 65536)) AS BIGINT) AS size
+                       FROM labels_ l),
+             gains AS (SELECT label, slot, CAST(floor(1000 * ln(uses + 1)) AS BIGINT) AS gain FROM used),
+             asked AS (SELECT doc_id, left(md5(w), 4) AS slot, count(*) AS n
+                       FROM (SELECT doc_id, unnest({_TOKENS.format(text="text")}) AS w FROM documents) WHERE w <> '' GROUP BY ALL),
+             lengths AS (SELECT doc_id, sum(n) AS n FROM asked GROUP BY doc_id),
+             sums AS (SELECT doc_id, label, sum(n * gain) AS gain FROM asked JOIN gains USING (slot) GROUP BY ALL),
+             scores AS (SELECT d.doc_id, s.label, s.prior + coalesce(g.gain, 0) - coalesce(n.n, 0) * s.size AS score
+                        FROM documents d CROSS JOIN sizes s LEFT JOIN lengths n USING (doc_id)
+                        LEFT JOIN sums g ON g.doc_id = d.doc_id AND g.label = s.label WHERE d.text IS NOT NULL),
+             placed AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) AS place FROM scores)
+        SELECT d.doc_id, a.label, CAST(a.score - b.score AS BIGINT) AS margin
+        FROM documents d LEFT JOIN placed a ON a.doc_id = d.doc_id AND a.place = 1 LEFT JOIN placed b ON b.doc_id = d.doc_id AND b.place = 2""",
     "text_summarise": _text_summarise(),
     "text_mask": _text_mask(),
     "silver_prepare": _with(

@@ -30,6 +30,7 @@ RAW_SCHEMAS = {
     " l_shipdate timestamp_ntz",
     "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double",
     "documents": "doc_id long, text string",
+    "labels": "doc_id long, quality int",
 }
 
 COMMENT_PHRASES = (
@@ -223,3 +224,8 @@ class Tables:
 
     def documents(self) -> DataFrame:
         return self.raw("documents").select("doc_id", "text")
+
+    def quality_examples(self) -> DataFrame:
+        """The texts somebody has judged."""
+        judged = self.raw("labels").select("doc_id", F.concat(F.lit("quality_"), F.col("quality")).alias("quality"))
+        return self.documents().join(judged, "doc_id")
