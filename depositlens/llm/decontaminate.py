@@ -7,8 +7,9 @@ up among the prefix tokens, length and position bounds tell where the window wou
 words there are compared. The documents are never shuffled; only verified occurrences and one
 row per document are.
 
-The prefix tokens are broadcast in blocks of at most ``BLOCK_BYTES``. A larger benchmark takes more
-blocks, each one pass over the documents; its size is counted beforehand.
+There is one prefix row for each distinct window, however many items share it; which items those are is joined, by a shuffle, after
+the windows of each document are known. Prefix rows are broadcast in blocks of about ``BLOCK_BYTES``, dealt by hash of the window, so a
+token of many windows is spread too. A larger benchmark takes more blocks, each one pass over the documents; its size is counted beforehand.
 """
 
 from __future__ import annotations
@@ -38,29 +39,35 @@ def _shingle(at: Column, size: int) -> Column:
     return F.when(at + size <= F.col("n_words"), F.xxhash64(F.lit(size), *parts))
 
 
-def prefix_tokens(benchmark: DataFrame, id_col: str, text_col: str, window: int, shingle: int) -> DataFrame:
-    """(size, token, at, length, window_words, item): one prefix token for each window of each item."""
+def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
+    """(item, window), distinct: the windows of each item, as their words joined by spaces, which no word holds."""
     items = (
         benchmark.select(F.col(f"`{id_col}`").cast("string").alias("item"), words(F.col(f"`{text_col}`")).alias("words"))
         .withColumn("n_words", F.size("words"))
         .where("n_words > 0")
         .withColumn("length", F.least("n_words", F.lit(window)))
     )
-    windows = (
-        items.withColumn("start", F.explode(F.expr("sequence(0, n_words - length)")))
-        .select("item", "length", F.expr("slice(words, start + 1, length)").alias("words"))
+    starts = items.withColumn("start", F.explode(F.expr("sequence(0, n_words - length)")))
+    return starts.select("item", F.expr("array_join(slice(words, start + 1, length), ' ')").alias("window")).distinct()
+
+
+def prefix_tokens(windows: DataFrame, shingle: int) -> DataFrame:
+    """(window, window_words, length, size, token, at): one prefix token for each distinct window."""
+    cut = (
+        windows.select("window")
         .distinct()
-        .withColumn("n_words", F.col("length"))
-        .withColumn("size", F.least("length", F.lit(shingle)))
+        .withColumn("words", F.split("window", " "))
+        .withColumn("n_words", F.size("words"))
+        .withColumn("size", F.least("n_words", F.lit(shingle)))
     )
     by_size = F.coalesce(*(F.when(F.col("size") == n, _shingle(F.col("at"), n)) for n in range(1, shingle + 1)))
-    tokens = windows.withColumn("at", F.explode(F.expr("sequence(0, length - size)"))).withColumn("token", by_size)
-    held = tokens.groupBy("token").agg(F.countDistinct("words").alias("windows"))
+    tokens = cut.withColumn("at", F.explode(F.expr("sequence(0, n_words - size)"))).withColumn("token", by_size)
+    held = tokens.groupBy("token").agg(F.countDistinct("window").alias("windows"))
     return (
         tokens.join(held, "token")
-        .groupBy("item", "length", "size", F.col("words").alias("window_words"))
+        .groupBy("window", F.col("n_words").alias("length"), "size")
         .agg(F.min(F.struct("windows", "token", "at")).alias("rarest"))
-        .select("item", "length", "size", "window_words", "rarest.token", "rarest.at")
+        .select("window", F.split("window", " ").alias("window_words"), "length", "size", "rarest.token", "rarest.at")
     )
 
 
@@ -84,7 +91,7 @@ def _occurrences(docs: DataFrame, prefixes: DataFrame, sizes: list[int], every:
     return joined.where(found | end if every else found).select(
         "doc", "text_hash", "n_words",
         F.when(found, F.struct(start.alias("start"), F.col("length").alias("length"))).alias("hit"),
-        F.when(found, F.col("item")).alias("item"),
+        F.when(found, F.col("window")).alias("window"),
         end.alias("is_end"),
     )
 
@@ -107,8 +114,9 @@ def contamination(
     hits words and is not listed. Repeated items count once, repeated rows of ``docs`` stay rows. An empty
     benchmark hits nothing, empty ``docs`` give no rows. Other columns are not read.
     """
-    prefixes = settle(prefix_tokens(benchmark, item_col, item_text_col, window, shingle), "prefixes")
-    row_bytes = F.sum(F.expr("aggregate(window_words, 96, (n, w) -> n + 32 + octet_length(w))"))
+    members = settle(item_windows(benchmark, item_col, item_text_col, window), "members")
+    prefixes = settle(prefix_tokens(members, shingle), "prefixes")
+    row_bytes = F.sum(F.expr("aggregate(window_words, 96 + octet_length(window), (n, w) -> n + 32 + octet_length(w))"))
     sizes, total = [], 0
     for size, octets in prefixes.groupBy("size").agg(row_bytes).collect():  # at most `shingle` rows
         sizes.append(size)
@@ -119,7 +127,7 @@ def contamination(
         F.xxhash64(F.col(f"`{text_col}`")).alias("text_hash"),
         words(F.col(f"`{text_col}`")).alias("words"),
     ).withColumn("n_words", F.size("words"))
-    in_block = F.pmod(F.xxhash64("token"), F.lit(blocks))
+    in_block = F.pmod(F.xxhash64("window"), F.lit(blocks))
     found = reduce(
         DataFrame.union,
         (
@@ -128,16 +136,21 @@ def contamination(
         ),
     )
     covered = "size(array_distinct(flatten(transform(hits, h -> sequence(h.start, h.start + h.length - 1)))))"
-    return (
+    by_document = (
         found.groupBy("doc", "text_hash", "n_words")
-        .agg(
-            F.collect_set("hit").alias("hits"),
-            F.array_sort(F.collect_set("item")).alias("items"),
-            F.count_if("is_end").alias("copies"),
-        )
+        .agg(F.collect_set("hit").alias("hits"), F.collect_set("window").alias("windows"), F.count_if("is_end").alias("copies"))
+        .withColumn("n_hit", F.expr(covered).cast("long"))
+    )
+    # Documents without a window look for one of their own, which no item has: they spread over all tasks.
+    own = F.concat(F.lit(" "), F.col("text_hash").cast("string"), F.coalesce(F.col("doc").cast("string"), F.lit("")))
+    asked = by_document.select("doc", "text_hash", "n_words", "n_hit", "copies", F.explode_outer("windows").alias("window"))
+    return (
+        asked.withColumn("window", F.coalesce("window", own))
+        .join(members, "window", "left")
+        .groupBy("doc", "text_hash", "n_words", "n_hit", "copies")
+        .agg(F.array_sort(F.collect_set("item")).alias("items"))
         .select(
-            F.col("doc").alias(id_col), "text_hash", F.col("n_words").cast("long").alias("n_words"),
-            F.expr(covered).cast("long").alias("n_hit"), "items",
+            F.col("doc").alias(id_col), "text_hash", F.col("n_words").cast("long").alias("n_words"), "n_hit", "items",
             F.explode(F.expr("sequence(1L, copies)")).alias("copy"),
         )
         .drop("copy")

@@ -134,6 +134,25 @@ def test_contamination(spark, docs, texts, block_bytes):
     assert clean.columns == docs.columns and sorted(r.doc_id for r in clean.collect()) == [row[0] for row in expected if not row[2]]
 
 
+@pytest.mark.parametrize("block_bytes", [30_000, 64 << 20])
+def test_a_window_of_all_items_is_one_prefix_row(spark, block_bytes):
+    shared = "one two three four five six seven eight nine ten"
+    items = [(f"i{n}", f"{shared} own{n}" if n % 3 else shared) for n in range(300)] + [(None, shared), ("short", "alpha beta"), ("none", None)]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    members = decontaminate.item_windows(bench, "item_id", "text", 10)
+    prefixes = decontaminate.prefix_tokens(members, 5)
+    assert members.where(F.col("window") == shared).count() == 301
+    assert prefixes.where(F.col("window") == shared).count() == 1 and prefixes.count() == 1 + 200 + 1
+    texts = [f"x {shared} own4 y {shared}", shared.upper(), "alpha  beta", "clean words", "", None, f"{shared} {shared}"]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(None, shared)], "doc_id long, text string")
+    found = {row.doc_id: row for row in decontaminate.contamination(docs, bench, block_bytes=block_bytes).collect()}
+    everyone = sorted(f"i{n}" for n in range(300))
+    assert len(found) == 8
+    assert [found[i].n_hit for i in range(7)] == [21, 10, 2, 0, 0, 0, 20] and found[None].n_hit == 10
+    assert all(found[i].items == everyone for i in (0, 1, 6, None))
+    assert found[2].items == ["short"] and all(found[i].items == [] for i in (3, 4, 5))
+
+
 def test_contamination_stays_native_and_keeps_rows(spark, docs):
     bench = spark.createDataFrame([], "item_id long, text string")
     twice = docs.union(docs)
