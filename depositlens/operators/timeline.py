@@ -32,26 +32,26 @@ def level_changes(runs: DataFrame, *keys: str, started: str = "started", ended:
     length = F.timestamp_diff("MICROSECOND", begin, end)
     steps = F.array(step(begin, 1, 1, length), step(end, -1, 0, F.lit(0).cast("long")))
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    micros = F.timestamp_diff("MICROSECOND", epoch, F.col("moment"))
+    micros_of = lambda moment: F.timestamp_diff("MICROSECOND", epoch, moment)
     slice_of = lambda width: F.col("micros") - F.pmod("micros", F.lit(width))
-    moments = (
+    changed = (
         runs.where(begin < end)
         .select(key.alias("key"), F.explode(steps).alias("step"))
-        .select("key", "step.*")
-        .groupBy("key", "moment")
-        .agg(F.sum("delta").alias("delta"), F.sum("begun").alias("begun"), F.sum("run_micros").alias("run_micros"))
-        .withColumn("micros", micros)
+        .select("key", "step.*", micros_of(F.col("step.moment")).alias("micros"))
         .withColumns({"minute": slice_of(MINUTE), "day": slice_of(DAY)})
     )
-    minutes = moments.groupBy("key", "day", "minute").agg(F.sum("delta").alias("delta"))
+    moments = changed.groupBy("key", "moment", "micros", "minute").agg(
+        F.sum("delta").alias("delta"), F.sum("begun").alias("begun"), F.sum("run_micros").alias("run_micros")
+    )
+    # Minutes straight from the runs: each task sends one row per key and minute, read twice from one exchange.
+    minutes = changed.groupBy("key", "day", "minute").agg(F.sum("delta").alias("delta"))
     days = minutes.groupBy("key", "day").agg(F.sum("delta").alias("delta"))
     none = F.lit(None).cast("long")
     into_day = days.select("key", "day", none.alias("minute"), _sum_before("day", "key").alias("delta"))
     into_minute = minutes.unionByName(into_day).withColumn("delta", _sum_before("minute", "key", "day")).where("minute IS NOT NULL")
     running = Window.partitionBy("key", "minute").orderBy(F.col("micros").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        moments.drop("day")
-        .unionByName(into_minute.drop("day"), allowMissingColumns=True)
+        moments.unionByName(into_minute.drop("day"), allowMissingColumns=True)
         .withColumn("after", F.sum("delta").over(running))
         .where("micros IS NOT NULL")
         .select("key", "moment", "micros", (F.col("after") - F.col("delta")).alias("before"), "after", "begun", "run_micros")
