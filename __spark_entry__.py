@@ -299,7 +299,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
         "text"
     ),
     "text_assign_quality": lambda t: labelling.assign_labels(
-        t.documents(), labelling.fit_labels(t.quality_examples(), "text", "quality"), "doc_id", "text"
+        t.documents(), labelling.fit_labels(t.documents(), "text", "quality", judged=t.qualities(), key="doc_id"), "doc_id", "text"
     ),
     "text_summarise": lambda t: voice.summarise(t.documents(), "text").drop("text"),
     "text_mask": lambda t: voice.mask_personal_data(t.documents(), "text"),

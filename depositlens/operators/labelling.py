@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depositlens.functions.lexicon import WORD_SEPARATOR
+from depositlens.sources.shared import fresh_path
 
 # Four hexadecimal digits of a digest name a slot; scores are thousandths.
 SLOT_DIGITS = 4
@@ -43,32 +44,51 @@ def _slot(term: Column) -> Column:
     return F.substring(F.md5(term), 1, SLOT_DIGITS)
 
 
-def _thousandths(value: Column) -> Column:
-    return F.floor(F.lit(SCALE) * F.log(value)).cast("long")
-
-
-def fit_labels(examples: DataFrame, text: str, label: str, chars: int | None = None, max_labels: int = MAX_LABELS) -> LabelModel:
+def fit_labels(
+    examples: DataFrame,
+    text: str,
+    label: str,
+    chars: int | None = None,
+    max_labels: int = MAX_LABELS,
+    judged: DataFrame | None = None,
+    key: str | None = None,
+) -> LabelModel:
     """Learn from all rows whose text and label are not missing; labels are taken as text, in ASCII order.
 
-    A label's name and counts go through the driver, ``max_labels`` of them at most; more are an error, so is no labelled text at all.
-    Texts are read twice, once for the labels and once, when the model is used, for the slots.
+    ``label`` is a column of ``examples``, or of ``judged``, which tells texts by ``key``; then a text counts once for each of its rows there. Texts are read once: uses per label and slot are written below the shared
+    folder and are all that the model reads. A label's name and counts go through the driver, ``max_labels`` of them at most; more are an error,
+    so is no labelled text at all.
     """
-    judged = examples.select(F.col(f"`{label}`").cast("string").alias("label"), F.col(f"`{text}`").alias("text")).where(
-        "label IS NOT NULL AND text IS NOT NULL"
+    spark = examples.sparkSession
+    words = F.col(f"`{text}`").alias("text")
+    named = F.col(f"`{label}`").cast("string").alias("label")
+    if judged is None:
+        met = examples.select(named, words)
+    else:
+        met = examples.select(F.col(f"`{key}`").alias("key"), words).join(judged.select(F.col(f"`{key}`").alias("key"), named), "key")
+    path = fresh_path(spark, "label-uses")
+    (
+        met.where("label IS NOT NULL AND text IS NOT NULL")
+        .select("label", F.explode(F.array_append(terms(F.col("text"), chars), F.lit(None).cast("string"))).alias("term"))
+        .groupBy("label", _slot(F.col("term")).alias("slot"))  # the missing slot counts texts
+        .agg(F.count("*").alias("uses"))
+        .write.parquet(path)
     )
-    counted = judged.withColumn("terms", terms(F.col("text"), chars))
-    found = counted.groupBy("label").agg(F.count("*").alias("texts"), F.sum(F.size("terms")).alias("uses"))
-    rows = sorted(found.limit(max_labels + 1).collect())
+    uses = spark.read.schema("label string, slot string, uses long").parquet(path)
+    of_texts = F.sum(F.when(F.col("slot").isNull(), F.col("uses")).otherwise(0)).alias("texts")
+    of_terms = F.sum(F.when(F.col("slot").isNotNull(), F.col("uses")).otherwise(0)).alias("terms")
+    rows = sorted(uses.groupBy("label").agg(of_texts, of_terms).limit(max_labels + 1).collect())
     if not rows:
         raise ValueError("no labelled text to learn from")
     if len(rows) > max_labels:
         raise ValueError(f"more than {max_labels} labels")
     texts = sum(row.texts for row in rows)
     priors = tuple(floor(SCALE * log(row.texts / texts)) for row in rows)
-    costs = tuple(floor(SCALE * log(row.uses + SLOTS)) for row in rows)
-    uses = [_thousandths(F.count_if(F.col("label") == row.label) + 1) for row in rows]
-    slots = counted.select("label", F.explode("terms").alias("term")).groupBy(_slot(F.col("term")).alias("slot")).agg(F.array(*uses).alias("gains"))
-    return LabelModel(slots, tuple(row.label for row in rows), priors, costs, chars)
+    costs = tuple(floor(SCALE * log(row.terms + SLOTS)) for row in rows)
+    used = (F.coalesce(F.sum(F.when(F.col("label") == row.label, F.col("uses"))), F.lit(0)) for row in rows)
+    gains = F.array(*(F.floor(F.lit(SCALE) * F.log(n + 1)).cast("long") for n in used))
+    by_slot = uses.where("slot IS NOT NULL").groupBy("slot").agg(gains.alias("gains"))
+    return LabelModel(by_slot, tuple(row.label for row in rows), priors, costs, chars)
 
 
 def assign_labels(df: DataFrame, model: LabelModel, key: str, text: str, output: str = "label") -> DataFrame:
@@ -81,7 +101,7 @@ def assign_labels(df: DataFrame, model: LabelModel, key: str, text: str, output:
     asked = df.select(
         F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").isNotNull().alias("there"), F.explode_outer(terms(F.col(f"`{text}`"), model.chars)).alias("term")
     ).withColumn("slot", _slot(F.col("term")))
-    gain = lambda i: F.coalesce(F.get("gains", F.lit(i)), F.lit(0)) - F.when(F.col("term").isNotNull(), F.lit(model.costs[i])).otherwise(0)
+    gain = lambda i: F.coalesce(F.get("gains", F.lit(i)), F.lit(0)) - F.when(F.col("slot").isNotNull(), F.lit(model.costs[i])).otherwise(0)
     sums = (
         asked.join(F.broadcast(model.slots), "slot", "left")
         .groupBy("key")

@@ -225,7 +225,6 @@ class Tables:
     def documents(self) -> DataFrame:
         return self.raw("documents").select("doc_id", "text")
 
-    def quality_examples(self) -> DataFrame:
-        """The texts somebody has judged."""
-        judged = self.raw("labels").select("doc_id", F.concat(F.lit("quality_"), F.col("quality")).alias("quality"))
-        return self.documents().join(judged, "doc_id")
+    def qualities(self) -> DataFrame:
+        """What somebody has judged some of the documents to be."""
+        return self.raw("labels").select("doc_id", F.concat(F.lit("quality_"), F.col("quality")).alias("quality"))

@@ -75,6 +75,15 @@ def test_ties_one_label_and_too_many(spark):
     assert len(labels) == 64 and labels[1] == "1" and labels[2] == "10"
 
 
+def test_labels_from_another_table(spark):
+    texts = spark.createDataFrame([(1, "x y"), (2, "z"), (3, None), (None, "x"), (4, "q")], "id int, text string")
+    judged = spark.createDataFrame([(1, "a"), (1, "b"), (2, "b"), (3, "a"), (4, None), (None, "a"), (9, "c")], "id int, key string")
+    model = labelling.fit_labels(texts, "text", "key", judged=judged, key="id")
+    same = labelling.fit_labels(spark.createDataFrame([("x y", "a"), ("x y", "b"), ("z", "b")], "text string, key string"), "text", "key")
+    assert (model.labels, model.priors, model.costs) == (same.labels, same.priors, same.costs) == (("a", "b"), model.priors, model.costs)
+    assert sorted(model.slots.collect()) == sorted(same.slots.collect())
+
+
 def test_a_hot_label_and_long_texts(spark):
     rows = spark.range(3_000).select(
         F.concat(F.lit("word"), F.col("id") % 7, F.lit(" "), F.repeat(F.lit("filler "), 50)).alias("text"),
