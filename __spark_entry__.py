@@ -19,7 +19,7 @@ from depositlens import schemas
 from depositlens.functions import lexicon
 from depositlens.functions.dates import months_back
 from depositlens.functions.masking import mask_phone
-from depositlens.operators import access, groups, labelling, quality, silver, targets, timeline, usage, voice
+from depositlens.operators import access, groups, labelling, profile, quality, silver, targets, timeline, usage, voice
 from depositlens.plans.prepare import CUSTOMERS_SILVER, VOICE_SILVER, prepare_silver
 from depositlens.plans.refresh import DATASETS, refresh_gold
 from depositlens.sources import namespace
@@ -205,6 +205,8 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "row_reconcile": lambda t: quality.row_reconcile(t.customers(), _silver(t)),
     "row_diff": lambda t: quality.row_diff(t.customers(), t.customers_next_day(), "customer_id"),
     "null_profile": lambda t: quality.null_profile(t.customers()),
+    "column_profile": lambda t: profile.column_profile(t.customers()),
+    "frequent_values": lambda t: profile.frequent_values(t.customers(), 100),
     # projections, filters
     "customers_silver": _silver,
     "not_null_filter": lambda t: silver.drop_missing(t.customers()),
