@@ -2,11 +2,13 @@
 
 The URLs that a rule decides are the labelled ones. The trees see nothing that names a rule, only lexical features:
 lengths, depth, share of digits, entropy of the characters, numbers of parameters and of other marks, and the share of blocked
-URLs among the labelled ones with the same host suffix. They are fitted by Spark on at most ``SAMPLE_ROWS`` labelled URLs.
+URLs among the labelled ones with the same host suffix. The suffix statistic counts all labelled rows; the trees are fitted by
+Spark on at most ``SAMPLE_ROWS`` different labelled URLs, each with the weight of its rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -16,12 +18,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from depositlens.llm.common import lower_az
+from depositlens.llm.common import forget, lower_az, settle
 
 ALLOW, BLOCK = "allow", "block"
 SAMPLE_ROWS = 20_000
-SAMPLE_CLASSES = 1 << 12
-MAX_SUFFIXES = 1_000
+SAMPLE_BITS = 24
+SAMPLE_CLASSES = 1 << SAMPLE_BITS
+SAMPLE_SPARE = 1.2
+PRIOR_ROWS = 10
 
 
 class Rule(NamedTuple):
@@ -104,29 +108,44 @@ def with_features(urls: DataFrame) -> DataFrame:
     return urls.withColumns(features | {"suffix": F.substring_index("host", ".", -1)})
 
 
-def bounded_sample(labelled: DataFrame, rows: int) -> DataFrame:
-    """At most about ``rows`` of the labelled URLs: all if there are no more, else whole classes of the URL's hash."""
-    total = labelled.count()
-    if total <= rows:
-        return labelled
-    classes = max(1, SAMPLE_CLASSES * rows // total)
-    return labelled.where(F.pmod(F.xxhash64("url"), F.lit(SAMPLE_CLASSES)) < classes).limit(2 * rows)
+def suffix_counts(labelled: DataFrame) -> DataFrame:
+    """(suffix, n, blocked, urls) over all labelled rows, written once: rows, blocked rows and about how many different URLs."""
+    counted = with_features(labelled).groupBy("suffix").agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("verdict") == BLOCK).alias("blocked"),
+        F.approx_count_distinct("url").alias("urls"),
+    )
+    return settle(counted, "suffixes")
+
+
+def bounded_sample(labelled: DataFrame, rows: int, distinct: int) -> DataFrame:
+    """At most ``rows`` different labelled URLs with ``n``, how many rows each has: the first by a hash of the URL, written once.
+
+    ``distinct`` is about how many there are; only classes of the hash that will be needed are grouped.
+    """
+    hashed = F.xxhash64("url")
+    classes = SAMPLE_CLASSES if distinct <= rows else max(1, math.ceil(SAMPLE_CLASSES * SAMPLE_SPARE * rows / distinct))
+    chosen = labelled.where(F.shiftrightunsigned(hashed, 64 - SAMPLE_BITS) < classes)
+    counted = chosen.groupBy("url", "host", "path", "verdict").agg(F.count("*").cast("double").alias("n"))
+    return settle(counted.orderBy(hashed, "url").limit(rows), "urls")
 
 
 class UrlModel(NamedTuple):
-    """Blocked share by host suffix, the share over all, and the trees (None: one verdict only)."""
+    """Rows and blocked rows by host suffix, the blocked share over all, and the trees (None: one verdict only)."""
 
-    shares: dict[str, float]
+    suffixes: DataFrame
     prior: float
     trees: GBTClassificationModel | None
 
 
-def _with_suffix_share(urls: DataFrame, shares: dict[str, float], prior: float) -> DataFrame:
-    known = F.lit(prior)
-    if shares:
-        table = F.create_map(*(F.lit(x) for pair in sorted(shares.items()) for x in pair))
-        known = F.coalesce(F.try_element_at(table, F.col("suffix")), known)
-    return urls.withColumn("suffix_blocked", known)
+def _with_suffix_share(urls: DataFrame, suffixes: DataFrame, prior: float) -> DataFrame:
+    """``suffix_blocked``: the blocked share among all labelled rows of the suffix, drawn to that of all by ten rows.
+
+    The join carries no hint: Spark broadcasts the written table while its size is below the session's threshold.
+    """
+    share = ((F.col("blocked") + prior * PRIOR_ROWS) / (F.col("n") + PRIOR_ROWS)).alias("suffix_blocked")
+    known = urls.join(suffixes.select("suffix", share), "suffix", "left")
+    return known.withColumn("suffix_blocked", F.coalesce("suffix_blocked", F.lit(prior)))
 
 
 def _vectors(urls: DataFrame, model_input: str = "lexical") -> DataFrame:
@@ -134,21 +153,23 @@ def _vectors(urls: DataFrame, model_input: str = "lexical") -> DataFrame:
 
 
 def train(labelled: DataFrame, rows: int = SAMPLE_ROWS, trees: int = 12, depth: int = 4) -> UrlModel:
-    """Fit on ``labelled`` (url, host, path, verdict)."""
-    sample = with_features(bounded_sample(labelled.select("url", "host", "path", "verdict"), rows))
-    blocked = F.avg((F.col("verdict") == BLOCK).cast("double"))
-    by_suffix = (
-        sample.groupBy("suffix").agg(F.count("*").alias("n"), blocked.alias("share")).orderBy(F.desc("n"), "suffix")
-    )
-    counts = by_suffix.limit(MAX_SUFFIXES).collect()
-    total = sum(row.n for row in counts)
-    prior = sum(row.n * row.share for row in counts) / total if total else 0.0
-    shares = {row.suffix: (row.share * row.n + prior * 10) / (row.n + 10) for row in counts}
+    """Fit on ``labelled`` (url, host, path, verdict): statistics over all rows, the trees on at most ``rows`` different URLs, weighted by their rows."""
+    columns = labelled.select("url", "host", "path", "verdict")
+    suffixes = suffix_counts(columns)
+    total = suffixes.agg(F.sum("n").alias("n"), F.sum("blocked").alias("blocked"), F.sum("urls").alias("urls")).first()
+    prior = total.blocked / total.n if total.n else 0.0
     if prior in (0.0, 1.0):
-        return UrlModel(shares, prior, None)
-    ready = _with_suffix_share(sample, shares, prior).withColumn("label", (F.col("verdict") == BLOCK).cast("double"))
-    fit = GBTClassifier(featuresCol="lexical", maxIter=trees, maxDepth=depth, maxBins=32, stepSize=0.3, seed=7)
-    return UrlModel(shares, prior, fit.fit(_vectors(ready).select("lexical", "label").repartition(4)))
+        return UrlModel(suffixes, prior, None)
+    sample = bounded_sample(columns, rows, total.urls)
+    ready = _with_suffix_share(with_features(sample), suffixes, prior).withColumn(
+        "label", (F.col("verdict") == BLOCK).cast("double")
+    )
+    fit = GBTClassifier(
+        featuresCol="lexical", weightCol="weight", maxIter=trees, maxDepth=depth, maxBins=32, stepSize=0.3, seed=7
+    )
+    model = fit.fit(_vectors(ready).select("lexical", "label", F.col("n").alias("weight")).repartition(4))
+    forget(sample)
+    return UrlModel(suffixes, prior, model)
 
 
 def judge_urls(
@@ -169,10 +190,11 @@ def judge_urls(
     model = train(ruled.where("rule IS NOT NULL"), sample_rows)
     out = [F.col("id").alias(id_col), "host", "path", "rule"]
     if model.trees is None:
+        forget(model.suffixes)
         score = F.when(F.col("rule").isNull(), F.lit(model.prior))
         other = F.lit(BLOCK if model.prior == 1.0 else ALLOW)
         return ruled.select(*out, F.coalesce("verdict", other).alias("verdict"), score.alias("score"))
-    scored = model.trees.transform(_vectors(_with_suffix_share(with_features(ruled), model.shares, model.prior)))
+    scored = model.trees.transform(_vectors(_with_suffix_share(with_features(ruled), model.suffixes, model.prior)))
     other = F.when(F.col("prediction") == 1.0, BLOCK).otherwise(ALLOW)
     probability = F.when(F.col("rule").isNull(), F.get(vector_to_array("probability"), F.lit(1)))
     return scored.select(*out, F.coalesce("verdict", other).alias("verdict"), probability.alias("score"))

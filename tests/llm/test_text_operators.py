@@ -1,6 +1,7 @@
 """Operators that work text by text: surrogates, main text, BPE, URL filter, language."""
 
 import hashlib
+import math
 
 import numpy as np
 import public_tokenizers
@@ -289,6 +290,46 @@ def test_trees_learn_lexical_features(spark):
     assert [row.verdict for row in found] == ["allow", "block"]
 
 
+def labelled_urls(spark):
+    """A URL on a third of the rows, and 3000 others under seven suffixes."""
+    rows = [("http://hot.org/a", "hot.org", "/a", "allow")] * 1500
+    rows += [(f"http://h{n}.s{n % 7}/de/{n}", f"h{n}.s{n % 7}", f"/de/{n}", "block" if n % 3 else "allow") for n in range(3000)]
+    return spark.createDataFrame(rows, "url string, host string, path string, verdict string")
+
+
+def test_suffix_statistic_counts_all_labelled_rows(spark):
+    counted = {row.suffix: (row.n, row.blocked) for row in url_trees.suffix_counts(labelled_urls(spark)).collect()}
+    expected = {f"s{k}": (len(range(k, 3000, 7)), sum(n % 3 > 0 for n in range(k, 3000, 7))) for k in range(7)}
+    assert counted == expected | {"org": (1500, 0)}
+    model = url_trees.train(labelled_urls(spark), rows=100, trees=2)
+    assert model.prior == 2000 / 4500 and model.suffixes.agg({"n": "sum"}).first()[0] == 4500
+
+
+@pytest.mark.parametrize("rows", [50, 400, 3001, 10_000])
+def test_sample_holds_different_urls_in_a_fixed_order(spark, rows):
+    urls = labelled_urls(spark)
+    sample = [tuple(row) for row in url_trees.bounded_sample(urls, rows, 3001).collect()]
+    again = [tuple(row) for row in url_trees.bounded_sample(urls.repartition(7).orderBy(F.rand()), rows, 3001).collect()]
+    assert sorted(sample) == sorted(again) and len({row[0] for row in sample}) == len(sample) == min(rows, 3001)
+    assert all(n == (1500 if url == "http://hot.org/a" else 1) for url, *_, n in sample)
+
+
+def test_features_equal_their_definitions(spark):
+    urls = ["https://a-b.co.uk/x/12/y9?p=1&q=%20#f", "http://h.org", "x://\U0001f600.é/ß?=", "no url", "", None, "http://a.b//c?", "a://b/" + "7" * 5000]
+    parsed = spark.createDataFrame([(u,) for u in urls], "url string").withColumns({"host": url_trees.host_of(F.col("url")), "path": url_trees.path_of(F.col("url"))})
+    for row in url_trees.with_features(parsed).collect():
+        url, host, path = row.url or "", row.host, row.path
+        query = url.split("#")[0].partition("?")[2]
+        size = max(len(url), 1)
+        assert row.entropy == pytest.approx(-sum(url.count(c) / size * math.log2(url.count(c) / size) for c in set(url)))
+        assert (row.url_length, row.host_length, row.path_length, row.query_length) == (len(url), len(host), len(path), len(query))
+        assert row.digit_ratio == sum(c in "0123456789" for c in url) / size
+        assert row.path_depth == sum(part != "" for part in path.split("/")[1:])
+        assert row.parameters == (query.count("&") + 1 if query else 0)
+        assert (row.hyphens, row.dots, row.percents) == (url.count("-"), url.count("."), url.count("%"))
+        assert (row.has_fragment, row.is_https, row.suffix) == ("#" in url, url.startswith("https"), host.split(".")[-1])
+
+
 # --- language ------------------------------------------------------------------------------------------
 
 
