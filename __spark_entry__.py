@@ -206,7 +206,9 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "row_diff": lambda t: quality.row_diff(t.customers(), t.customers_next_day(), "customer_id"),
     "null_profile": lambda t: quality.null_profile(t.customers()),
     "column_profile": lambda t: profile.column_profile(t.customers()),
+    "document_profile": lambda t: profile.column_profile(t.raw("documents")),
     "frequent_values": lambda t: profile.frequent_values(t.customers(), 100),
+    "document_frequent_values": lambda t: profile.frequent_values(t.raw("documents"), 100),
     # projections, filters
     "customers_silver": _silver,
     "not_null_filter": lambda t: silver.drop_missing(t.customers()),

@@ -355,11 +355,10 @@ def _text_summarise() -> str:
         FROM documents d LEFT JOIN summary s ON s.doc_id = d.doc_id"""
 
 
-def _column_profile() -> str:
+def _column_profile(table: str, columns: dict[str, str]) -> str:
     """Each column on its own: 4096 registers with the least hash of each, and quartiles by bucket."""
     parts = []
-    for place, field in enumerate(schemas.CUSTOMERS.fields):
-        kind, name = field.dataType.simpleString(), field.name
+    for name, kind in columns.items():
         day = kind == "date"
         number = f"CAST({name} - DATE '1970-01-01' AS DOUBLE)" if day else f"CAST({name} AS DOUBLE)"
         bucket = (
@@ -369,12 +368,12 @@ def _column_profile() -> str:
         )
         parts.append(f"""
             SELECT '{name}' AS column_name, '{kind}' AS data_type, h.*, q.* EXCLUDE (of) FROM
-              (SELECT coalesce(sum(n), 0) + (SELECT count(*) FROM customers WHERE {name} IS NULL) AS row_count,
-                      (SELECT count(*) FROM customers WHERE {name} IS NULL) AS null_count,
+              (SELECT coalesce(sum(n), 0) + (SELECT count(*) FROM {table} WHERE {name} IS NULL) AS row_count,
+                      (SELECT count(*) FROM {table} WHERE {name} IS NULL) AS null_count,
                       CAST(round(count(*) * 1152921504606846976.0::DOUBLE
                                  / (CAST(coalesce(sum(least), 0) AS DOUBLE) + (4096 - count(*)) * 281474976710656.0::DOUBLE)) AS BIGINT) AS distinct_estimate
                FROM (SELECT count(*) AS n, min(CAST('0x' || substr(md5(CAST({name} AS VARCHAR)), 4, 12) AS BIGINT)) AS least
-                     FROM customers WHERE {name} IS NOT NULL GROUP BY substr(md5(CAST({name} AS VARCHAR)), 1, 3))) h,""")
+                     FROM {table} WHERE {name} IS NOT NULL GROUP BY substr(md5(CAST({name} AS VARCHAR)), 1, 3))) h,""")
         if kind == "string":
             parts[-1] += """
               (SELECT NULL AS of, NULL::VARCHAR AS smallest, NULL::VARCHAR AS lower_quartile, NULL::VARCHAR AS median,
@@ -385,17 +384,21 @@ def _column_profile() -> str:
               (SELECT 1 AS of, CAST(min(low) AS VARCHAR) AS smallest, {at(1)} AS lower_quartile, {at(2)} AS median, {at(3)} AS upper_quartile, {at(4)} AS largest
                FROM (SELECT low, high, sum(n) OVER (ORDER BY bucket) AS upto, sum(n) OVER () AS total
                      FROM (SELECT {bucket} AS bucket, count(*) AS n, min({name}) AS low, max({name}) AS high
-                           FROM customers WHERE {name} IS NOT NULL GROUP BY ALL))) q"""
-    return _with("\nUNION ALL".join(parts), "customers")
+                           FROM {table} WHERE {name} IS NOT NULL GROUP BY ALL))) q"""
+    return _with("\nUNION ALL".join(parts), *([table] if table in TABLES else []))
 
 
-def _frequent_values(one_in: int) -> str:
+def _frequent_values(table: str, columns: dict[str, str], one_in: int) -> str:
     parts = (
-        f"""SELECT '{name}' AS column_name, CAST({name} AS VARCHAR) AS value, count(*) AS value_count FROM customers WHERE {name} IS NOT NULL
-            GROUP BY ALL HAVING count(*) * {one_in} >= (SELECT count(*) FROM customers)"""
-        for name in schemas.CUSTOMERS.names
+        f"""SELECT '{name}' AS column_name, CAST({name} AS VARCHAR) AS value, count(*) AS value_count FROM {table} WHERE {name} IS NOT NULL
+            GROUP BY ALL HAVING count(*) * {one_in} >= (SELECT count(*) FROM {table})"""
+        for name in columns
     )
-    return _with(" UNION ALL ".join(parts), "customers")
+    return _with(" UNION ALL ".join(parts), *([table] if table in TABLES else []))
+
+
+_CUSTOMER_TYPES = {field.name: field.dataType.simpleString() for field in schemas.CUSTOMERS.fields}
+_DOCUMENT_TYPES = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"}
 
 
 # --- one statement per query --------------------------------------------------------------------------
@@ -461,8 +464,10 @@ ORACLE: dict[str, str] = {
         "customers",
     ),
     "null_profile": _null_profile(),
-    "column_profile": _column_profile(),
-    "frequent_values": _frequent_values(100),
+    "column_profile": _column_profile("customers", _CUSTOMER_TYPES),
+    "document_profile": _column_profile("documents", _DOCUMENT_TYPES),
+    "frequent_values": _frequent_values("customers", _CUSTOMER_TYPES, 100),
+    "document_frequent_values": _frequent_values("documents", _DOCUMENT_TYPES, 100),
     "customers_silver": _with(f"SELECT {_SILVER} FROM silver", "silver"),
     "not_null_filter": _with(
         f"SELECT {_CUSTOMERS} FROM customers WHERE deposit_balance_manyen IS NOT NULL", "customers"

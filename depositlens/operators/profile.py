@@ -18,6 +18,7 @@ REGISTERS, HASHES = 16**REGISTER_DIGITS, 16**HASH_DIGITS
 WIDTH = 1.01  # a bucket of numbers ends 1 % above its start
 SECONDS = 3600  # a bucket of timestamps is an hour
 NOT_HASHED = -1
+_HASHED, _PRESENT, _NUMBER = 0, 1, 2
 LEAST_ONE_IN = 1000
 _INDEX_SHIFT, _BEYOND = 100_000, 1_000_000
 
@@ -35,11 +36,11 @@ def _value(field: T.StructField) -> Column:
     return F.col(f"`{field.name}`")
 
 
-def _digest(field: T.StructField) -> Column:
+def _text(field: T.StructField) -> Column:
     value = _value(field)
     if isinstance(field.dataType, T.FloatType | T.DoubleType):
         value = value + F.lit(0.0).cast(field.dataType)  # -0.0 is 0.0
-    return F.md5(value.cast("string").cast("binary"))
+    return value.cast("string")
 
 
 def _register(digest: Column) -> Column:
@@ -60,18 +61,22 @@ def _number(field: T.StructField) -> Column:
     return value.cast("double")
 
 
-def _bucket(field: T.StructField, number: Column) -> Column:
-    """Buckets in the order of their numbers: a day, an hour, or numbers of one sign within a hundredth of each other."""
+def _unit(field: T.StructField) -> float | None:
+    """The width of a bucket that has a fixed one: a day, an hour."""
     if isinstance(field.dataType, T.DateType):
-        return number.cast("long")
-    if isinstance(field.dataType, _TIMES):
-        return F.floor(number / SECONDS).cast("long")
+        return 1.0
+    return SECONDS if isinstance(field.dataType, _TIMES) else None
+
+
+def _bucket(number: Column, unit: Column) -> Column:
+    """Buckets in the order of their numbers: of a fixed width, or numbers of one sign within a hundredth of each other."""
     size = F.abs(number)
     endless = F.isnan(number) | (size == math.inf)
     usual = F.when(~endless & (size > 0), size).otherwise(1.0)
-    index = (F.ceil(F.log(usual) / math.log(WIDTH)) + _INDEX_SHIFT).cast("long")
+    index = F.ceil(F.log(usual) / math.log(WIDTH)) + _INDEX_SHIFT
     return (
-        F.when(F.isnan(number), _BEYOND + 1)
+        F.when(unit.isNotNull(), F.floor(number / unit))
+        .when(F.isnan(number), _BEYOND + 1)
         .when(endless, F.signum(number) * _BEYOND)
         .when(number == 0, 0)
         .otherwise(F.signum(number) * index)
@@ -79,6 +84,10 @@ def _bucket(field: T.StructField, number: Column) -> Column:
     )
 
 
+def _cells(entries: list[Column], df: DataFrame) -> DataFrame:
+    return df.select(F.explode(F.array(*entries)).alias("cell")).select("cell.*")
+
+
 def column_sketch(df: DataFrame) -> DataFrame:
     """(place, register, bucket, row_count, least_hash, least, largest): the sketch of every column, by its place in the table.
 
@@ -87,23 +96,30 @@ def column_sketch(df: DataFrame) -> DataFrame:
     the buckets its numbers reach.
     """
 
-    def entry(place: int, register=None, bucket=None, hashed=None, number=None) -> Column:
-        kinds = {"place": "int", "register": "int", "bucket": "long", "hashed": "long", "number": "double"}
-        given = {"place": F.lit(place), "register": register, "bucket": bucket, "hashed": hashed, "number": number}
-        return F.struct(*((F.lit(None) if given[name] is None else given[name]).cast(kind).alias(name) for name, kind in kinds.items()))
-
     entries = []
     for place, field in enumerate(df.schema.fields):
-        digest = _digest(field)
+
+        def entry(kind: int, text: Column | None = None, number: Column | None = None, unit: float | None = None) -> Column:
+            given = {"place": (place, "int"), "kind": (kind, "int"), "unit": (unit, "double")}  # noqa: B023
+            fixed = (F.lit(value).cast(type_).alias(name) for name, (value, type_) in given.items())
+            return F.struct(*fixed, (F.lit(None).cast("string") if text is None else text).alias("text"), (F.lit(None).cast("double") if number is None else number).alias("number"))
+
         if isinstance(field.dataType, _NESTED):
-            parts = [entry(place, register=F.lit(NOT_HASHED))]
+            entries.append(entry(_PRESENT, F.when(_value(field).isNotNull(), F.lit(""))))
         else:
-            parts = [entry(place, register=_register(digest), hashed=_hash(digest))]
+            entries.append(entry(_HASHED, _text(field)))
         if isinstance(field.dataType, _MEASURED):
-            number = _number(field)
-            parts.append(entry(place, bucket=_bucket(field, number), number=number))
-        entries.append(F.when(_value(field).isNull(), F.array(entry(place))).otherwise(F.array(*parts)))
-    cells = df.select(F.explode(F.concat(*entries)).alias("cell")).select("cell.*")
+            entries.append(entry(_NUMBER, number=_number(field), unit=_unit(field)))
+    # Digests and buckets come after the explode: one short expression for all columns instead of one long one per column.
+    digested = _cells(entries, df).where((F.col("kind") != _NUMBER) | F.col("number").isNotNull()).withColumn("digest", F.md5(F.col("text").cast("binary")))
+    here = F.col("text").isNotNull()
+    cells = digested.select(
+        "place",
+        F.when(here, F.when(F.col("kind") == _PRESENT, NOT_HASHED).otherwise(_register(F.col("digest")))).alias("register"),
+        _bucket(F.col("number"), F.col("unit")).alias("bucket"),
+        F.when(here & (F.col("kind") == _HASHED), _hash(F.col("digest"))).alias("hashed"),
+        "number",
+    )
     return cells.groupBy("place", "register", "bucket").agg(
         F.count("*").alias("row_count"),
         F.min("hashed").alias("least_hash"),
@@ -198,21 +214,16 @@ def frequent_values(df: DataFrame, one_in: int = 100) -> DataFrame:
         raise ValueError(f"one_in is between 1 and {LEAST_ONE_IN}")
     fields = _fields(df)
 
-    def cells(*parts) -> DataFrame:
-        entries = F.array(*(F.struct(F.lit(place).alias("place"), *(part(field) for part in parts)) for place, field in enumerate(fields)))
-        return df.select(F.explode(entries).alias("cell")).select("cell.*")
-
-    register = lambda field: _register(_digest(field)).alias("register")
-    text = lambda field: _value(field).cast("string").alias("value")
     if not fields:
         return df.sparkSession.createDataFrame([], "column_name string, value string, value_count long")
-    counted = cells(register).groupBy("place", "register").agg(F.count("*").alias("n"))
+    values = _cells([F.struct(F.lit(place).alias("place"), _text(field).alias("value")) for place, field in enumerate(fields)], df)
+    cells = values.withColumn("register", _register(F.md5(F.col("value").cast("binary"))))
+    counted = cells.groupBy("place", "register").agg(F.count("*").alias("n"))
     rows = counted.withColumn("row_count", F.sum("n").over(Window.partitionBy("place")))
     heavy = rows.where(F.col("register").isNotNull() & (F.col("n") * one_in >= F.col("row_count"))).drop("n")
     names = F.element_at(F.array(*(F.lit(field.name) for field in fields)), F.col("place") + 1)
     return (
-        cells(register, text)
-        .where("register IS NOT NULL")
+        cells.where("register IS NOT NULL")
         .join(F.broadcast(heavy), ["place", "register"])
         .groupBy("place", "value")
         .agg(F.count("*").alias("value_count"), F.first("row_count").alias("row_count"))

@@ -29,7 +29,7 @@ RAW_SCHEMAS = {
     "lineitem": "l_partkey long, l_quantity double, l_returnflag string, l_linestatus string,"
     " l_shipdate timestamp_ntz",
     "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double",
-    "documents": "doc_id long, text string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
     "labels": "doc_id long, quality int",
 }
 
