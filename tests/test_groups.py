@@ -1,3 +1,6 @@
+import os
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,6 +34,44 @@ def test_a_diamond_counts_once(spark):
     assert found == {("a", g) for g in "bcde"} | {("b", "d"), ("c", "d"), ("b", "e"), ("c", "e"), ("d", "e")}
 
 
+def rounds(monkeypatch, tmp_path):
+    """How far each round of the closure got, as a call that reads what the rounds wrote."""
+    monkeypatch.setattr(groups, "fresh_path", lambda spark, name: f"{tmp_path}/{name}")
+    return lambda: sorted(int(name.split("-")[-1]) for name in os.listdir(tmp_path / "groups"))
+
+
+def test_a_round_goes_twice_as_far(spark, monkeypatch, tmp_path):
+    reached = rounds(monkeypatch, tmp_path)
+    tree = [(f"g{n}", f"g{n // 2}") for n in range(2, 64)]
+    chain = [(f"c{n}", f"c{n + 1}") for n in range(40)]
+    found = closure(spark, [*tree, *chain])
+    assert found == {(f"g{n}", f"g{n >> up}") for n in range(2, 64) for up in range(1, 6) if n >> up} | {
+        (f"c{n}", f"c{m}") for n in range(41) for m in range(n + 1, 41)
+    }
+    assert reached() == [1, 2, 4, 8, 16, 32, 40]
+
+
+def test_many_ways_to_the_same_groups(spark, monkeypatch, tmp_path):
+    reached = rounds(monkeypatch, tmp_path)
+    layers = [[f"g{layer}_{n}" for n in range(24)] for layer in range(8)]
+    found = closure(spark, [(low, high) for layer in range(7) for low in layers[layer] for high in layers[layer + 1]])
+    assert found == {(a, b) for low in range(8) for high in range(low + 1, 8) for a in layers[low] for b in layers[high]}
+    assert reached() == [1, 2, 3, 4, 5, 7]  # 24 ways to each pair: at first one step joins more than four rows for each known pair
+
+
+def test_random_nestings(spark):
+    for seed, (size, links) in enumerate([(30, 25), (25, 40), (12, 60)]):
+        draw = random.Random(seed)
+        pairs = {(f"g{draw.randrange(size)}", f"g{draw.randrange(size)}") for _ in range(links)}
+        above = {(low, high) for low, high in pairs if low != high}
+        while True:
+            more = above | {(low, top) for low, high in above for mid, top in pairs if high == mid}
+            if more == above:
+                break
+            above = more
+        assert closure(spark, sorted(pairs)) == {(low, high) for low, high in above if low != high}
+
+
 def test_memberships_through_groups(spark):
     members = spark.createDataFrame([("u", "team"), ("u", "team"), ("v", "club"), ("w", "staff"), (None, "club"), ("x", None)], MEMBERS)
     nesting = spark.createDataFrame([("team", "unit"), ("unit", "staff"), ("club", "staff"), ("staff", "unit")], NESTING)
