@@ -68,9 +68,14 @@ def _stride(onward: DataFrame, most: int) -> int:
 def all_memberships(memberships: DataFrame, nesting: DataFrame) -> DataFrame:
     """(user, group) with the groups a user belongs to through others; each pair once.
 
-    The memberships meet the closure by one join, in which adaptive execution splits a group that a third of all users are in.
+    The different memberships are written below the shared folder first, so Spark knows their size: it broadcasts few of them, and the closure stays
+    where it is. More meet the closure by one join, in which adaptive execution splits a group that a third of all users are in.
     """
-    own = memberships.select("user", "group").where("`group` IS NOT NULL")
+    spark = memberships.sparkSession
+    path = fresh_path(spark, "memberships")
+    different = memberships.select("user", "group").where("`group` IS NOT NULL").distinct()
+    different.write.parquet(path)
+    own = spark.read.schema(different.schema).parquet(path)
     closure = group_closure(nesting)
     through = own.alias("own").join(closure.alias("all"), F.col("own.group") == F.col("all.member"))
     return own.unionByName(through.select("own.user", "all.group")).distinct()

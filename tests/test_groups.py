@@ -72,6 +72,17 @@ def test_random_nestings(spark):
         assert closure(spark, sorted(pairs)) == {(low, high) for low, high in above if low != high}
 
 
+def test_few_memberships_leave_the_closure_where_it_is(spark, settings):
+    settings({"spark.sql.autoBroadcastJoinThreshold": "20000"})
+    number = lambda name, value: F.concat(F.lit(name), value)
+    members = spark.range(300_000).select(number("user_", F.col("id") % 3).alias("user"), number("g", F.col("id") % 2 + 900).alias("group"))
+    nesting = spark.range(2, 3000).select(number("g", F.col("id")).alias("member"), number("g", F.floor(F.col("id") / 2)).alias("group"))
+    found = groups.all_memberships(members, nesting)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert {tuple(row) for row in found.collect()} == {(f"user_{u}", f"g{g >> up}") for u in range(3) for g in (900, 901) for up in range(10)}
+
+
 def test_memberships_through_groups(spark):
     members = spark.createDataFrame([("u", "team"), ("u", "team"), ("v", "club"), ("w", "staff"), (None, "club"), ("x", None)], MEMBERS)
     nesting = spark.createDataFrame([("team", "unit"), ("unit", "staff"), ("club", "staff"), ("staff", "unit")], NESTING)
