@@ -242,6 +242,47 @@ def test_both_merges_agree(vocabulary):
         assert vocabulary._merge_short(list(parts)) == vocabulary._merge_long(list(parts))
 
 
+def test_words_merged_together_equal_the_single_merge(vocabulary):
+    words = ["a", "the", "internationalization", "aaaaaaaa", "abababab" * 3, "x" * 500, "!!!", "q" * 24, "q" * 25, *vocabulary.words("Straße éàü"), *vocabulary.words("日本語 \U0001f600")]
+    words += ["".join(x) for x in zip("thequickbrownfox" * 9, "jumpsoverthelazy" * 9, "ingtheofandation" * 9, strict=True)]
+    for some in (words, words[::-1], words[:1], []):
+        counts, ids = vocabulary.merge_all(some)
+        assert [part.tolist() for part in np.split(ids, np.cumsum(counts))[:-1]] == [vocabulary.merge(word) for word in some]
+
+
+def test_find_equals_the_single_walk(vocabulary):
+    words = {word: [n] * (n + 1) for n, word in enumerate([b"walking", b"talking", b"walked", b"", b"walk"])}
+    automaton = bpe_lexicon.Transducer(bpe_lexicon.compile_transducer(words))
+    asked = [*words, b"wal", b"walkingx", b"x", b"\xff", b"walk"]
+    starts, counts = automaton.find(asked)
+    ids = automaton.parts[6]
+    assert [ids[x : x + n].tolist() if x >= 0 else None for x, n in zip(starts, counts, strict=True)] == [automaton(word) for word in asked]
+    assert bpe_lexicon.Transducer(bpe_lexicon.compile_transducer({})).find([b"a"])[0].tolist() == [-1]
+
+
+def test_a_batch_asks_for_each_chunk_once(vocabulary, monkeypatch):
+    asked = []
+    split = vocabulary.words
+    monkeypatch.setattr(vocabulary, "words", lambda chunk: asked.append(chunk) or split(chunk))
+    encoder = bpe_lexicon.Encoder(vocabulary, bpe_lexicon.Transducer(bpe_lexicon.compile_transducer({})))
+    n, ids, _ = encoder.encode("unheard qwzx unheard qwzx unheard")
+    assert sorted(asked) == ["qwzx", "unheard"]
+    assert encoder.encode("unheard")[1] == ids[: ids.index(" " + encoder.encode("qwzx")[1])] and len(asked) == 2
+
+
+def test_a_batch_of_all_kinds_of_texts_equals_the_library(vocabulary, monkeypatch):
+    monkeypatch.setattr(bpe_lexicon, "CACHED_CHUNKS", 5)
+    library = Tokenizer.from_file(PATH)
+    texts = ["The  end.\n", "é\u2003È x", "a\x1cb c", "É\x1d É\x1eB", "a <|endoftext|>b<|x", "", " ", "İ ǅ ﬁ", "y" * 100, "The end"]
+    encoder = bpe_lexicon.Encoder(vocabulary, bpe_lexicon.Transducer(bpe_lexicon.compile_transducer({b"end": vocabulary.merge("end")})))
+    for some in (texts, texts[::-1], texts[5:7]):
+        counts, ids, tokens = encoder.encode_all(bpe_lexicon.pa.array([*some, None]), lists=True)
+        own = [library.encode(text, add_special_tokens=False).ids for text in some] + [[]]
+        assert ids.to_pylist() == own and counts.tolist() == list(map(len, own))
+        assert tokens.to_pylist() == [library.decode(x, skip_special_tokens=False) for x in own]
+        assert encoder.encode_all(bpe_lexicon.pa.array(some))[1].to_pylist() == [" ".join(map(str, x)) for x in own[:-1]]
+
+
 def test_transducer_shares_suffixes(vocabulary):
     words = {word: [n, n + 1] for n, word in enumerate([b"walking", b"talking", b"walked", b"talked", b"", b"walk"])}
     automaton = bpe_lexicon.Transducer(bpe_lexicon.compile_transducer(words))
