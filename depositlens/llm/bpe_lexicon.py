@@ -22,17 +22,15 @@ import mmap
 import os
 import re
 import struct
-import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import cache, cached_property, lru_cache
+from functools import cache, cached_property
 from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -426,11 +424,12 @@ def mapped(path: str | None, octets: bytes) -> mmap.mmap | bytes:
         return mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
 
 
-def frequent_words(docs: DataFrame, shared: Broadcast, text_col: str, words: int) -> set[str]:
-    """The words of the most frequent chunks, ``words`` chunks at most; ``shared`` has the tokenizer file."""
+def frequent_words(docs: DataFrame, definition: str, text_col: str, words: int) -> set[str]:
+    """The words of the most frequent chunks, ``words`` chunks at most; ``definition`` is the tokenizer file's text."""
+    shared = docs.sparkSession.sparkContext.broadcast(Lexicon(definition))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, chunks = vocabulary_of(shared.value), Counter()
+        vocabulary, chunks = shared.value.vocabulary, Counter()
 
         def flush() -> pa.RecordBatch:
             batch = pa.RecordBatch.from_arrays([pa.array(chunks.keys(), pa.string()), pa.array(chunks.values(), pa.int64())], ["chunk", "n"])
@@ -450,7 +449,7 @@ def frequent_words(docs: DataFrame, shared: Broadcast, text_col: str, words: int
     counted = settle(texts.mapInArrow(count, "chunk string, n bigint").groupBy("chunk").agg(F.sum("n").alias("n")), "chunk-counts")
     found = most_frequent(counted, "chunk", "n", words)
     forget(counted)
-    vocabulary = vocabulary_of(shared.value)
+    vocabulary = vocabulary_of(definition)
     return {word for chunk, _ in found if chunk not in vocabulary.special for word in vocabulary.words(chunk)}
 
 
@@ -541,10 +540,20 @@ class Encoder:
         return int(counts[0]), ids[0].as_py(), tokens[0].as_py()
 
 
-@lru_cache(1)
-def encoder_of(name: str, definition: str, path: str | None, octets: bytes) -> Encoder:
-    """The worker's encoder for a lexicon, kept from task to task."""
-    return Encoder(vocabulary_of(definition), Transducer(mapped(path, octets)))
+class Lexicon:
+    """What workers encode with, made by each at first use. A worker keeps it from task to task as the value of a broadcast, and drops it
+    with the first task that does not read that broadcast, so steps after this one have the memory for themselves."""
+
+    def __init__(self, definition: str, path: str | None = None, octets: bytes | None = None):
+        self.definition, self.path, self.octets = definition, path, octets
+
+    @cached_property
+    def vocabulary(self) -> Vocabulary:
+        return Vocabulary(self.definition)
+
+    @cached_property
+    def encoder(self) -> Encoder:
+        return Encoder(self.vocabulary, Transducer(mapped(self.path, self.octets)))
 
 
 def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", digest: bool = False, keep_text: bool = True, lexicon_chunks: int = LEXICON_CHUNKS) -> DataFrame:
@@ -559,10 +568,10 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", digest:
     with open(tokenizer_path, encoding="utf-8") as file:
         definition = file.read()
     spark = docs.sparkSession
-    vocabulary, shared = vocabulary_of(definition), spark.sparkContext.broadcast(definition)
-    lexicon = {word.encode(): vocabulary.merge(word) for word in frequent_words(docs, shared, text_col, lexicon_chunks)}
-    octets, name = compile_transducer(lexicon), uuid.uuid4().hex
-    compiled = spark.sparkContext.broadcast((publish(spark, octets), octets))
+    vocabulary = vocabulary_of(definition)
+    lexicon = {word.encode(): vocabulary.merge(word) for word in frequent_words(docs, definition, text_col, lexicon_chunks)}
+    octets = compile_transducer(lexicon)
+    shared = spark.sparkContext.broadcast(Lexicon(definition, publish(spark, octets), octets))
     new = [T.StructField("n_tokens", T.LongType())]
     if digest:
         new += [T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
@@ -577,7 +586,7 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", digest:
         return pa.array((hashlib.sha256(text).hexdigest() for text in texts.cast(pa.large_binary()).to_pylist()), pa.string())
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(name, shared.value, *compiled.value)
+        encoder = shared.value.encoder
         for batch in pieces(batches, read[place].name, PIECE):
             counts, ids, tokens = encoder.encode_all(batch.column(place), lists=not digest)
             made = [pa.array(counts), *((digests(ids), digests(tokens)) if digest else (ids.cast(pa.list_(pa.int32())), tokens.cast(pa.string())))]

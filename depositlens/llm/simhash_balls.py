@@ -2,8 +2,8 @@
 
 Two fingerprints differ in two bits at most if and only if some 64-bit value is within one bit of both. Each
 distinct fingerprint is sent, with a note of the flipped bit, to the 65 values within one bit of it. What
-arrives at a value fits a fixed-size state, 64 marks and a flag, so it is combined on the map side and a
-value never holds more than 65 fingerprints, however many copies a document has. Fingerprints of one value
+arrives at a value fits a fixed-size state, 64 marks and a flag: a value never holds more than 65
+fingerprints, however many copies a document has. Fingerprints of one value
 all differ by two bits at most; each is linked to the smallest, so that no link between components is lost and no pairs are listed.
 """
 
@@ -61,16 +61,22 @@ def with_fingerprint(docs: DataFrame, name: str, text_col: str = "text", shingle
 
 
 def links(fingerprints: DataFrame) -> DataFrame:
-    """(x, y): enough links of at most two bits between distinct fingerprints ``fp`` to connect all that are linked."""
+    """(x, y): enough links of at most two bits between distinct fingerprints ``fp`` to connect all that are linked.
+
+    Fingerprints are dealt to all partitions before each becomes 65 rows, and balls are counted only where they meet: few
+    fingerprints share a value, so combining them before the shuffle would hold 65 entries for each and save no row.
+    """
+    parts = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     balls = (
-        fingerprints.select("fp", F.explode(F.sequence(F.lit(0), F.lit(64))).alias("bit"))
-        .selectExpr(
-            "CASE WHEN bit < 64 THEN fp ^ shiftleft(1L, bit) ELSE fp END AS ball",
-            "CASE WHEN bit < 64 THEN shiftleft(1L, bit) ELSE 0L END AS flip",
-            "CAST(bit = 64 AS INT) AS own",
-        )
+        fingerprints.repartition(parts, "fp")
+        .select("fp", F.explode(F.sequence(F.lit(0), F.lit(64))).alias("bit"))
+        .selectExpr("CASE WHEN bit < 64 THEN fp ^ shiftleft(1L, bit) ELSE fp END AS ball", "CAST(bit AS TINYINT) AS bit")
+        .repartition("ball")
         .groupBy("ball")
-        .agg(F.bit_or("flip").alias("flips"), F.max("own").alias("own"))
+        .agg(
+            F.expr("bit_or(CASE WHEN bit < 64 THEN shiftleft(1L, bit) ELSE 0L END)").alias("flips"),
+            F.expr("max(CAST(bit = 64 AS INT))").alias("own"),
+        )
         .where("bit_count(flips) + own >= 2")
     )
     members = balls.selectExpr(
@@ -123,15 +129,17 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """One row of each class, that with the smallest id; columns and other rows as they are.
 
     Rows without an id stay only if their class has no id at all; of rows that repeat id and fingerprint one stays.
+    Which rows stay is settled on numbers of rows; whole rows are shuffled once.
     """
-    mark = free_name(docs, "fp")
-    marked = settle(with_fingerprint(docs, mark, text_col), "marked")
-    marks = marked.select(F.col(f"`{mark}`").alias("fp"), F.col(f"`{id_col}`").alias("id"))
+    mark, row = free_name(docs, "fp"), free_name(docs, "row")
+    marked = settle(with_fingerprint(docs, mark, text_col).withColumn(row, F.monotonically_increasing_id()), "marked")
+    marks = marked.select(F.col(f"`{mark}`").alias("fp"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{row}`").alias("row"))
     found = classes(marks, "id")
     chosen = (
         found.where(F.col("first").eqNullSafe(F.col("component_id")))
         .groupBy("label")
         .agg(F.min("fp").alias("chosen_fp"), F.min("component_id").alias("chosen_id"))
     )
-    same = marked[f"`{id_col}`"].eqNullSafe(chosen["chosen_id"]) & (marked[f"`{mark}`"] == chosen["chosen_fp"])
-    return marked.join(chosen, same, "left_semi").dropDuplicates([id_col, mark]).drop(mark)
+    same = marks["id"].eqNullSafe(chosen["chosen_id"]) & (marks["fp"] == chosen["chosen_fp"])
+    kept = marks.join(chosen, same, "left_semi").groupBy("fp").agg(F.min("row").alias("kept"))
+    return marked.join(kept, marked[f"`{row}`"] == kept["kept"], "left_semi").drop(mark, row)

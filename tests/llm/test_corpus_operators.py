@@ -106,6 +106,23 @@ def test_near_copies_with_nulls_and_repeats(spark):
     assert simhash_balls.near_copy_classes(spark.createDataFrame([], DOCS)).isEmpty()
 
 
+def test_near_copies_hold_no_balls_before_the_shuffle(spark):
+    plan = simhash_balls.links(spark.range(5).withColumnRenamed("id", "fp"))._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange hashpartitioning(ball", 1)
+    assert "HashAggregate" in above and "Generate explode" in below
+    assert "Aggregate" not in below
+    assert "Exchange" in below.split("Generate explode", 1)[1]  # fingerprints are spread before they become 65 rows
+
+
+def test_near_copies_sort_and_gather_no_whole_rows(spark, docs, settings):
+    settings({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    plan = simhash_balls.drop_near_copies(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "text" in plan
+    assert not [line for line in plan.splitlines() if "Aggregate" in line and "text" in line]
+    rows = plan.split("FileScan parquet", 1)[0]
+    assert rows.count("Exchange hashpartitioning(") == 1, plan
+
+
 # --- decontamination -----------------------------------------------------------------------------------
 
 

@@ -1,10 +1,12 @@
 """Operators that work text by text: surrogates, main text, BPE, URL filter, language."""
 
+import gc
 import hashlib
 import math
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings as bounds
 from hypothesis import strategies as st
@@ -303,6 +305,18 @@ def test_encoding_in_spark(spark):
     assert bpe_lexicon.encode(docs(spark, []), PATH).isEmpty()
 
 
+def test_workers_drop_the_lexicon_with_the_step(spark):
+    some = docs(spark, ["it's one text", "and two"]).repartition(4).cache()
+    assert bpe_lexicon.encode(some, PATH).count() == 2
+
+    def held(batches):
+        list(batches)
+        kinds = [type(x).__name__ for x in gc.get_objects() if type(x).__module__ == bpe_lexicon.__name__]
+        yield pa.RecordBatch.from_arrays([pa.array([" ".join(kinds)])], ["kinds"])
+
+    assert {row.kinds for row in some.mapInArrow(held, "kinds string").collect()} == {""}
+
+
 # --- URL filter ----------------------------------------------------------------------------------------
 
 
